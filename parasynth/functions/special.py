@@ -294,3 +294,18 @@ def student_t_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def wilcoxon_udf(w: pd.Series, n: pd.Series, tie_term: pd.Series, exact: pd.Series) -> pd.Series:
     return _over(lambda a, b, c, e: wilcoxon_p(float(a), int(b), float(c), bool(e)), w, n, tie_term, exact)
+
+
+@F.pandas_udf(T.DoubleType())
+def mean_nearest_udf(points: pd.Series) -> pd.Series:
+    """Mean distance to the nearest other point, per (bounded) set of points."""
+    out = []
+    for listed in points:
+        x = np.array([np.asarray(p, dtype=float) for p in listed])
+        nearest = []
+        for i in range(len(x)):
+            gap = ((x - x[i]) ** 2).sum(axis=1)
+            gap[i] = np.inf
+            nearest.append(math.sqrt(gap.min()))
+        out.append(float(np.mean(nearest)) if nearest else float("nan"))
+    return pd.Series(out, dtype=float)

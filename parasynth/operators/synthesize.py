@@ -101,7 +101,7 @@ def _generate(rows: DataFrame, parameters: Parameters, noise: float, seed: int,
     if placed:
         df = df.withColumns(placed)
     columns = [_marginal(v, i, by_normal[i], noise).alias(v.name) for i, v in enumerate(variables)]
-    return df.select(*(["row_id"] if keep else []), *columns)
+    return rng.sealed(df.select(*(["row_id"] if keep else []), *columns))
 
 
 def _is_normal(v: Variable) -> bool:
@@ -268,7 +268,7 @@ def synthesize_many(
         scale = F.transform("v", lambda e: F.when(proper(e), e["std"] * e["std"] / e["mean"]))
         parts = df.select("source_id", "row_id", "x", "p", shape.alias("shape"), scale.alias("scale"))
         return parts.mapInPandas(_gamma_places, "source_id string, row_id bigint, x array<double>")
-    return df.select("source_id", "row_id", "x")
+    return rng.sealed(df.select("source_id", "row_id", "x"))
 
 
 def _rekeyed(keys: Column, step: Column) -> Column:
@@ -400,4 +400,4 @@ def sample_copula(spark: SparkSession, fitted: FittedCopula, n_rows: int, seed:
         else:
             shares = np.cumsum([p for _, p in fitted.categorical[c]])
             columns.append(_label(F.col(f"__z{i}"), [normal_quantile(s) for s in shares], [l for l, _ in fitted.categorical[c]]).alias(c))
-    return df.select("row_id", *columns)
+    return rng.sealed(df.select("row_id", *columns))
