@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numeric import safe_ratio
-from ..schemas import CATEGORIES, CORRELATION_COLUMNS, VARIABLE_COLUMNS
+from ..schemas import CATEGORIES, CORRELATION_COLUMNS, CORRELATIONS, VARIABLE_COLUMNS
 from ..session import cut_lineage
 
 
@@ -137,7 +137,6 @@ def profile_table(
     """
     labels = [c for c in categorical if c != target] + ([target] if target else [])
     cell = cut_lineage(cells(df, continuous, labels, source))
-    moments = continuous_moments(cell, continuous)
     order = {c: i for i, c in enumerate([*continuous, *labels])}
     rows = [
         F.struct(
@@ -152,6 +151,7 @@ def profile_table(
     ]
     parts = []
     if rows:
+        moments = continuous_moments(cell, continuous)
         parts.append(moments.select("source_id", F.explode(F.array(*rows)).alias("v")).select("source_id", "v.*"))
     shares = category_shares(cell, labels)
     if labels:
@@ -165,7 +165,10 @@ def profile_table(
         )
     variables = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     pairs = pair_list(continuous, [c for c in labels if c != target], target)
-    correlations = pair_correlations(cell, shares, list(continuous), labels, pairs)
+    if pairs:
+        correlations = pair_correlations(cell, shares, list(continuous), labels, pairs)
+    else:
+        correlations = df.sparkSession.createDataFrame([], CORRELATIONS)
     return Profile(
         variables.select("source_id", "var_pos", *VARIABLE_COLUMNS),
         correlations.select("source_id", "corr_pos", *CORRELATION_COLUMNS),

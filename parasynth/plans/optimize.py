@@ -84,6 +84,7 @@ def run_loop(
     """
     if variables.isEmpty():
         raise ValueError("no variables were extracted: nothing to synthesise")
+    variables, correlations = cut_lineage(variables), cut_lineage(correlations)
     state = start or variables.select("source_id").distinct().select(
         "source_id", F.lit(fv.START_SCORE).alias("best_score"), F.lit(None).cast("int").alias("best_iteration"),
         F.lit(None).cast("double").alias("best_noise"), F.lit(fv.INITIAL_NOISE).alias("noise"), F.lit(0).cast("long").alias("streak"),
