@@ -319,9 +319,9 @@ def synth_by_source(spark, sf):
 
 @query
 def rank_match(spark, sf):
-    li = inputs.lineitem_row(table(spark, sf, "lineitem"))
-    placed = synthesize.rank_match(li.select("row_id", "l_discount"), "l_discount", "row_id", li.select("l_extendedprice"), "l_extendedprice")
-    return placed.select("row_id", "rank", "l_extendedprice")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.unix_timestamp(F.date_trunc("month", "o_orderdate")).alias("month"))
+    placed = synthesize.rank_match(o.select("o_orderkey", "month"), "month", "o_orderkey", o.select("o_totalprice"), "o_totalprice")
+    return placed.select("o_orderkey", "rank", "o_totalprice")
 
 
 @query

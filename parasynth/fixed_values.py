@@ -55,11 +55,11 @@ CATEGORY_PAIR = r"'([^']+)'\s+with\s+probability\s+(" + PROBABILITY + r")"
 CATEGORY_JOINER = r"(?:\s*,\s*(?:and\s+)?|\s+and\s+)?"
 CATEGORICAL_HEADER = r"categorical\s+variable\s+(\w+)\s+takes\s+value\s+"
 
-# --- fixed values: sentences of a source text ------------------------------------
-MEAN_STD_SENTENCE = "The variable %s has mean %.4f and std %.4f."
-CATEGORY_PHRASE = "'%s' with probability %.4f"
+# --- fixed values: sentences of a source text (numbers in four decimals) ------------------------------------
+MEAN_STD_SENTENCE = "The variable %s has mean %s and std %s."
+CATEGORY_PHRASE = "'%s' with probability %s"
 CATEGORICAL_SENTENCE = "The categorical variable %s takes value %s."
-CORRELATION_SENTENCE = "The correlation between %s and %s is %.4f."
+CORRELATION_SENTENCE = "The correlation between %s and %s is %s."
 
 # --- fixed values: names of extraction methods -------------------------------------
 METHOD_REPLY = "llm"

@@ -59,7 +59,7 @@ def average_rank(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFr
 
 
 def ordinal_rank(df: DataFrame, value: str, row: str, out: str = "rank") -> DataFrame:
-    """Add 1..n by ``value``, equal values in order of ``row``.
+    """Add 1..n by ``value``, equal values in order of the unique ``row``.
 
     Only rows that share their value are ranked a second time, by ``row``
     within the value and again in buckets.

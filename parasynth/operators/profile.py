@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numeric import safe_ratio
+from ..functions.text import fixed4
 from ..schemas import CATEGORIES, CORRELATION_COLUMNS, CORRELATIONS, VARIABLE_COLUMNS
 from ..session import cut_lineage
 
@@ -178,7 +179,7 @@ def profile_table(
 def sentences(variables: DataFrame, correlations: DataFrame) -> DataFrame:
     """(source_id, section, pos, line): one line per parameter."""
     phrases = F.transform(
-        "categories", lambda c: F.format_string(fv.CATEGORY_PHRASE, c["label"], c["prob"])
+        "categories", lambda c: F.format_string(fv.CATEGORY_PHRASE, c["label"], fixed4(c["prob"]))
     )
     size = F.size("categories")
     listed = (
@@ -190,11 +191,11 @@ def sentences(variables: DataFrame, correlations: DataFrame) -> DataFrame:
     described = variables.select(
         "source_id", F.when(categorical, 1).otherwise(0).alias("section"), F.col("var_pos").alias("pos"),
         F.when(categorical, F.format_string(fv.CATEGORICAL_SENTENCE, "name", listed))
-        .otherwise(F.format_string(fv.MEAN_STD_SENTENCE, "name", "mean", "std")).alias("line"),
+        .otherwise(F.format_string(fv.MEAN_STD_SENTENCE, "name", fixed4(F.col("mean")), fixed4(F.col("std")))).alias("line"),
     )
     related = correlations.select(
         "source_id", F.lit(2).alias("section"), F.col("corr_pos").alias("pos"),
-        F.format_string(fv.CORRELATION_SENTENCE, "var1", "var2", "correlation").alias("line"),
+        F.format_string(fv.CORRELATION_SENTENCE, "var1", "var2", fixed4(F.col("correlation"))).alias("line"),
     )
     return described.unionByName(related)
 
