@@ -162,7 +162,7 @@ labels AS (SELECT source_id, name, unnest(range(len(regexp_extract_all(blob, '{_
 
 ORACLES["extract_categorical"] = f"""
 WITH {BY_SUPPLIER}, {TEXT}, {RUNS}
-SELECT source_id, name, code, label, round(p / sum(p) OVER (PARTITION BY source_id, name), 3) AS prob FROM labels
+SELECT source_id, name, code, label, round(p / sum(p) OVER (PARTITION BY source_id, name), 6) AS prob FROM labels
 QUALIFY count(*) OVER (PARTITION BY source_id, name) >= 2"""
 
 

@@ -75,7 +75,7 @@ def extract_mean_std(spark, sf):
 def extract_categorical(spark, sf):
     v, _ = extract.extract_regex(inputs.supplier_texts(spark, sf))
     labels = v.filter("distribution = 'categorical'").select("source_id", "name", F.posexplode("categories").alias("code", "c"))
-    return _round(labels.select("source_id", "name", F.col("code").cast("long").alias("code"), F.col("c.label").alias("label"), F.col("c.prob").alias("prob")), 3, "prob")
+    return _round(labels.select("source_id", "name", F.col("code").cast("long").alias("code"), F.col("c.label").alias("label"), F.col("c.prob").alias("prob")), 6, "prob")
 
 
 @query

@@ -104,18 +104,6 @@ def box_muller(u: Column, v: Column, cosine: bool) -> Column:
     return F.sqrt(F.ln(u) * -2.0) * (F.cos(angle) if cosine else F.sin(angle))
 
 
-def sealed(df: DataFrame) -> DataFrame:
-    """Keep later filters above the generated columns.
-
-    Pushing a predicate down replaces each column by its definition, and the
-    mixing steps mention theirs twice: through a dozen steps the predicate
-    would grow without end.  A generator node stops that at the cost of one
-    small array per row.
-    """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.select(F.inline(F.array(row)))
-
-
 def uniform_array(key_structs: Column, row: Column) -> Column:
     """Array form: ``key_structs`` is array<struct<k0,k1,k2,k3>> of longs."""
 

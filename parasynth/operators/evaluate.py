@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import ranks, rng
 from ..functions.numeric import safe_ratio
 from ..functions.special import student_t_udf, wilcoxon_udf
-from ..session import cut_lineage
+from ..session import cut_lineage, sealed
 
 SPLIT_BUCKETS = 1 << 12
 
@@ -26,7 +26,7 @@ def stratified_split(df: DataFrame, target: str, row: str, test_size: float = 0.
     found from a histogram of hashes and the few rows of one bucket, so a class
     holding most of the rows is never sorted; the split itself is a map.
     """
-    df = rng.sealed(rng.hash_order(df, row, seed, "__h", "split"))
+    df = sealed(rng.hash_order(df, row, seed, "__h", "split"))
     slot = F.floor(F.col("__h") * SPLIT_BUCKETS).cast("long")
     hist = cut_lineage(df.groupBy(target, slot.alias("__s")).agg(F.count(F.lit(1)).alias("n")))
     classes = hist.groupBy(target).agg(F.sum("n").alias("size"))

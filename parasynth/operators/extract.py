@@ -25,6 +25,7 @@ from ..schemas import (
     settled_distribution,
     valid_correlation,
 )
+from ..session import cut_lineage, sealed, spread
 
 VARIABLE_ARRAY = f"array<struct<{VARIABLE_FIELDS.replace(' ', ':').replace(',:', ',')}>>"
 CORRELATION_ARRAY = f"array<struct<{CORRELATION_FIELDS.replace(' ', ':').replace(',:', ',')}>>"
@@ -147,6 +148,7 @@ def _regex_arrays(df: DataFrame) -> DataFrame:
 
 
 def _tables(nested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    nested = sealed(nested.select("source_id", "found_variables", "found_correlations"))
     variables = nested.select("source_id", F.posexplode("found_variables").alias("var_pos", "v")).select(
         "source_id", F.col("var_pos").cast("long"), *[f"v.{c}" for c in VARIABLE_COLUMNS]
     )
@@ -158,7 +160,7 @@ def _tables(nested: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def extract_regex(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(source_id, text) -> variables, correlations."""
-    return _tables(_regex_arrays(texts.select("source_id", "text")))
+    return _tables(_regex_arrays(spread(texts.select("source_id", "text"))))
 
 
 # --- model replies ----------------------------------------------------------------
@@ -254,7 +256,7 @@ def _reply_arrays(df: DataFrame) -> DataFrame:
 
 def parse_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(source_id, response_json) -> variables, correlations, (source_id, valid)."""
-    parsed = _reply_arrays(responses.select("source_id", "response_json"))
+    parsed = sealed(_reply_arrays(spread(responses.select("source_id", "response_json"))).drop("response_json"))
     good = parsed.filter("reply_valid").select(
         "source_id", F.col("reply_variables").alias("found_variables"), F.col("reply_correlations").alias("found_correlations")
     )
@@ -271,7 +273,7 @@ def extract_parameters(
     per source.
     """
     keep = ["source_id", "text"] + (["source"] if "source" in texts.columns else [])
-    df = texts.select(*keep)
+    df = spread(texts.select(*keep))
     if "source" not in keep:
         df = df.withColumn("source", F.col("source_id"))
     if responses is None:
@@ -285,6 +287,8 @@ def extract_parameters(
             "found_correlations": F.when(F.col("reply_valid"), F.col("reply_correlations")).otherwise(F.col("found_correlations")),
             "extraction_method": F.when(F.col("reply_valid"), fv.METHOD_REPLY).otherwise(fv.METHOD_REGEX),
         })
+    # Three tables come from the same pass: keep the parameters (not the texts).
+    nested = cut_lineage(nested.select("source_id", "source", "extraction_method", "found_variables", "found_correlations"))
     at = F.to_timestamp(F.lit(extracted_at)) if extracted_at else F.current_timestamp()
     meta = nested.select("source_id", "source", at.alias("extracted_at"), "extraction_method")
     return (*_tables(nested), meta)

@@ -24,6 +24,7 @@ from ..functions.numeric import norm_cdf
 from ..functions.special import gamma_ppf, gamma_ppf_udf
 from ..params import Parameters, Variable
 from ..schemas import has_categories
+from ..session import sealed
 
 MANY_LABELS = 64
 ROW_BLOCK = 1000
@@ -101,7 +102,7 @@ def _generate(rows: DataFrame, parameters: Parameters, noise: float, seed: int,
     if placed:
         df = df.withColumns(placed)
     columns = [_marginal(v, i, by_normal[i], noise).alias(v.name) for i, v in enumerate(variables)]
-    return rng.sealed(df.select(*(["row_id"] if keep else []), *columns))
+    return sealed(df.select(*(["row_id"] if keep else []), *columns))
 
 
 def _is_normal(v: Variable) -> bool:
@@ -232,7 +233,10 @@ def synthesize_many(
         base = base.withColumn("keys", _rekeyed(F.col("keys"), F.lit(str(iteration))))
     blocks = -(-n_rows // ROW_BLOCK)
     df = base.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    df = df.repartition("source_id", "block")
+    spark = df.sparkSession
+    # A number keeps AQE from merging these few bytes, which stand for many rows.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = df.repartition(parts, "source_id", "block")
     first = F.col("block") * ROW_BLOCK
     df = df.withColumn("row_id", F.explode(F.sequence(first, F.least(first + ROW_BLOCK, F.lit(n_rows)) - 1)))
     df = df.withColumn("u", rng.uniform_array(F.col("keys"), F.col("row_id")))
@@ -268,7 +272,7 @@ def synthesize_many(
         scale = F.transform("v", lambda e: F.when(proper(e), e["std"] * e["std"] / e["mean"]))
         parts = df.select("source_id", "row_id", "x", "p", shape.alias("shape"), scale.alias("scale"))
         return parts.mapInPandas(_gamma_places, "source_id string, row_id bigint, x array<double>")
-    return rng.sealed(df.select("source_id", "row_id", "x"))
+    return sealed(df.select("source_id", "row_id", "x"))
 
 
 def _rekeyed(keys: Column, step: Column) -> Column:
@@ -400,4 +404,4 @@ def sample_copula(spark: SparkSession, fitted: FittedCopula, n_rows: int, seed:
         else:
             shares = np.cumsum([p for _, p in fitted.categorical[c]])
             columns.append(_label(F.col(f"__z{i}"), [normal_quantile(s) for s in shares], [l for l, _ in fitted.categorical[c]]).alias(c))
-    return rng.sealed(df.select("row_id", *columns))
+    return sealed(df.select("row_id", *columns))

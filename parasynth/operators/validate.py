@@ -25,7 +25,7 @@ from ..schemas import (
     uniform_high,
     uniform_low,
 )
-from ..session import broadcast_if_small, cut_lineage, small
+from ..session import broadcast_if_small, cut_lineage, sealed, small
 from .synthesize import declared_pairs, indexed
 
 DIRECT_PAIRS = 60
@@ -75,7 +75,7 @@ def distribution_positions(vectors: DataFrame, v: DataFrame) -> DataFrame:
     if not v.filter(is_gamma()).isEmpty():
         skewed = cells.filter(is_gamma()).select("source_id", "idx", "value", gamma_shape().alias("a"), gamma_scale().alias("b"))
         out = out.unionByName(skewed.select("source_id", "idx", gamma_cdf_udf("value", "a", "b").alias("u")))
-    return rng.sealed(out)
+    return sealed(out)
 
 
 def summary(vectors: DataFrame, v: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def privacy_score(vectors: DataFrame, variables: DataFrame, sample_size: int = f
 
 
 def _privacy(vectors: DataFrame, v: DataFrame, found: DataFrame, sample_size: int = fv.PRIVACY_SAMPLE, seed: int = 0) -> DataFrame:
-    keyed = rng.sealed(rng.hash_order(vectors.select("source_id", "row_id", "x"), "row_id", seed, "h", "privacy"))
+    keyed = sealed(rng.hash_order(vectors.select("source_id", "row_id", "x"), "row_id", seed, "h", "privacy"))
     rank = F.row_number().over(Window.partitionBy("source_id").orderBy("h", "row_id"))
     sample = keyed.withColumn("r", rank).filter(F.col("r") <= sample_size)
     points = standardised(sample, v, found)

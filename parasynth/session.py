@@ -48,3 +48,24 @@ def small(df: DataFrame, rows: int = 200_000) -> bool:
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """Broadcast hint only behind a size check; otherwise a shuffle join."""
     return F.broadcast(df) if small(df, rows) else df
+
+
+def sealed(df: DataFrame) -> DataFrame:
+    """Keep later filters above the computed columns.
+
+    Pushing a predicate down replaces each column by its definition: costly
+    ones (text matching) would run again per predicate, and chains whose steps
+    mention the previous one twice (random numbers) would grow without end.
+    A generator node stops that at the cost of one small array per row.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.array(row)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work on an input of few partitions.
+
+    Larger inputs already have more partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
