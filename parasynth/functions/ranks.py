@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 RANK_BLOCK = 10_000
 
 
@@ -25,16 +27,19 @@ def _bucketed(df: DataFrame, value: str, splits: list[float]) -> DataFrame:
 
 
 def cumulative(
-    df: DataFrame, value: str, weights: dict[str, Column] | None = None, group: Sequence[str] = (), buckets: int = 256
+    df: DataFrame, value: str, weights: dict[str, Column] | None = None, group: Sequence[str] = (), buckets: int = 256,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per distinct (group, value): each weight's sum there and below it.
 
     Columns ``<w>`` and ``<w>_below``; the default weight ``n`` counts rows.
+    ``cuts_from`` may be a cheaper table to take the bucket cuts from.
     """
     weights = weights or {"n": F.lit(1)}
     df = df.filter(F.col(value).isNotNull())
     step = 1.0 / buckets
-    splits = df.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i * step for i in range(1, buckets)], step / 4)
+    sampled = df if cuts_from is None else cuts_from
+    splits = sampled.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i * step for i in range(1, buckets)], step / 4)
     reduced = df.groupBy(*group, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
     reduced = _bucketed(reduced.withColumn("__v", F.col(value).cast("double")), "__v", splits).drop("__v")
     before = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,11 +69,11 @@ def ordinal_rank(df: DataFrame, value: str, row: str, out: str = "rank") -> Data
     Only rows that share their value are ranked a second time, by ``row``
     within the value and again in buckets.
     """
-    counts = cumulative(df, value)
+    counts = cut_lineage(cumulative(df, value))
     marked = df.join(counts, value)
     alone = marked.filter(F.col("n") == 1).withColumn(out, (F.col("n_below") + 1).cast("long")).drop("n", "n_below")
     shared = marked.filter(F.col("n") > 1).withColumnRenamed("n_below", "__base").drop("n")
-    places = cumulative(shared, row, group=[value]).select(value, row, F.col("n_below").alias("__place"))
+    places = cumulative(shared, row, group=[value], cuts_from=df).select(value, row, F.col("n_below").alias("__place"))
     shared = shared.join(places, [value, row]).withColumn(
         out, (F.col("__base") + F.col("__place") + 1).cast("long")
     ).drop("__base", "__place")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.arrays import first_by_key, first_place_last_value
+from ..functions.arrays import bind, first_by_key, first_place_last_value
 from ..schemas import (
     CATEGORIES,
     CORRELATION_COLUMNS,
@@ -109,15 +109,15 @@ def _categorical(runs: Column, n_continuous: Column) -> Column:
     )
     usable = F.filter(runs, lambda r: (F.size(r["pairs"]) >= 2) & ~numbered(r["name"]))
 
-    def variable(r):
-        categories = normalised(first_place_last_value(r["pairs"], "label"))
+    def variable(r, categories):
         return F.struct(
             r["name"].alias("name"), settled_distribution(F.lit("categorical"), categories).alias("distribution"),
             F.lit(0.0).alias("mean"), F.lit(1.0).alias("std"), F.lit(None).cast("double").alias("min"),
             F.lit(None).cast("double").alias("max"), categories.alias("categories"),
         )
 
-    return F.transform(first_by_key(usable, "name"), variable)
+    shares = lambda r: normalised(first_place_last_value(r["pairs"], "label"))
+    return F.transform(first_by_key(usable, "name"), lambda r: bind(shares(r), lambda categories: variable(r, categories)))
 
 
 def _correlations(text: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
+from .functions.arrays import bind
 from .functions.numeric import clamp
 
 CATEGORY = "struct<label:string,prob:double>"
@@ -34,11 +35,13 @@ def known_distribution(name: Column) -> Column:
 
 def normalised(categories: Column) -> Column:
     """Probabilities summing to one; no usable mass gives NULL."""
-    total = F.aggregate(categories, F.lit(0.0), lambda acc, c: acc + c["prob"])
-    shares = F.transform(
-        categories, lambda c: F.struct(c["label"].alias("label"), F.try_divide(c["prob"], total).alias("prob"))
+    total = lambda cs: F.aggregate(cs, F.lit(0.0), lambda acc, c: acc + c["prob"])
+    shares = lambda cs, t: F.transform(
+        cs, lambda c: F.struct(c["label"].alias("label"), F.try_divide(c["prob"], t).alias("prob"))
     )
-    return F.when(F.size(categories) == 0, categories).when(total > 0, shares)
+    return bind(categories, lambda cs: F.when(F.size(cs) == 0, cs).otherwise(
+        bind(total(cs), lambda t: F.when(t > 0, shares(cs, t)))
+    ))
 
 
 def has_categories(categories: Column) -> Column:
