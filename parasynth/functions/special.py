@@ -37,11 +37,13 @@ def _gamma_series(a, x):
     term = 1.0 / a
     total = term.copy()
     n = a.copy()
+    live = np.ones(a.shape, bool)  # a settled element stays as it is, whatever its batch
     for _ in range(100000):
         n += 1.0
         term = term * x / n
-        total += term
-        if np.all(np.abs(term) < np.abs(total) * 1e-16):
+        total = np.where(live, total + term, total)
+        live &= np.abs(term) >= np.abs(total) * 1e-16
+        if not live.any():
             break
     return total
 
@@ -51,6 +53,7 @@ def _gamma_fraction(a, x):
     c = np.full(a.shape, 1.0 / TINY)
     d = 1.0 / b
     h = d.copy()
+    live = np.ones(a.shape, bool)
     for i in range(1, 100000):
         an = -i * (i - a)
         b = b + 2.0
@@ -60,8 +63,9 @@ def _gamma_fraction(a, x):
         c = np.where(np.abs(c) < TINY, TINY, c)
         d = 1.0 / d
         step = d * c
-        h *= step
-        if np.all(np.abs(step - 1.0) < 1e-15):
+        h = np.where(live, h * step, h)
+        live &= np.abs(step - 1.0) >= 1e-15
+        if not live.any():
             break
     return h
 
@@ -84,6 +88,7 @@ def gamma_ppf(a: np.ndarray, u: np.ndarray) -> np.ndarray:
     low_start = np.exp((np.log(u) + lgam + np.log(a)) / a)
     x = np.where((a < 1) | (start <= 0) | (u < 0.01), np.maximum(low_start, TINY), start)
     low, high = np.zeros_like(x), np.full_like(x, np.inf)
+    live = np.ones(x.shape, bool)
     for _ in range(200):
         p = gamma_p(a, x)
         low = np.where(p < u, x, low)
@@ -92,9 +97,10 @@ def gamma_ppf(a: np.ndarray, u: np.ndarray) -> np.ndarray:
         step = x - (p - u) / np.maximum(density, TINY)
         middle = np.where(np.isinf(high), 2 * x + 1e-12, 0.5 * (low + high))
         new = np.where((step > low) & (step < high), step, middle)
-        done = np.abs(new - x) <= 1e-13 * np.abs(x)
-        x = new
-        if done.all():
+        moved = np.abs(new - x) > 1e-13 * np.abs(x)
+        x = np.where(live, new, x)
+        live &= moved
+        if not live.any():
             break
     out[ok] = x
     return out
