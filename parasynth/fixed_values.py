@@ -65,3 +65,29 @@ CORRELATION_SENTENCE = "The correlation between %s and %s is %s."
 METHOD_REPLY = "llm"
 METHOD_REGEX = "regex_fallback"
 METHOD_TRUTH = "ground_truth"
+
+# --- fixed values: layout of the data card -------------------------------------------
+DATACARD = """# DATACARD: Synthetic Dataset
+
+## Overview
+- **Source**: %s
+- **Generated**: %s
+- **Rows**: %d
+- **Columns**: %d
+- **Fidelity Score**: **%s**/100
+
+## Statistical Fidelity
+
+### Distribution Fit (KS-test)
+%s
+
+### Correlation Preservation
+**Correlation Similarity**: %s
+
+## Bias Detection
+**Bias Score**: %.2f%%
+
+## Privacy
+**Avg Nearest-Neighbour Distance**: %s
+**Privacy Score**: %s
+"""

@@ -324,15 +324,9 @@ def datacard(fidelity: DataFrame, variables: DataFrame, meta: DataFrame, custom_
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", line.alias("line")))), lambda e: e["line"]), "\n").alias("lines"),
         F.count(F.lit(1)).alias("columns"),
     )
-    body = (
-        "# DATACARD: Synthetic Dataset\n\n## Overview\n- **Source**: %s\n- **Generated**: %s\n- **Rows**: %d\n- **Columns**: %d\n"
-        "- **Fidelity Score**: **%s**/100\n\n## Statistical Fidelity\n\n### Distribution Fit (KS-test)\n%s\n\n"
-        "### Correlation Preservation\n**Correlation Similarity**: %s\n\n## Bias Detection\n**Bias Score**: %.2f%%\n\n"
-        "## Privacy\n**Avg Nearest-Neighbour Distance**: %s\n**Privacy Score**: %s\n"
-    )
     full = fidelity.join(lines, "source_id", "left").join(meta.select("source_id", "source", "extracted_at"), "source_id")
     return full.select("source_id", F.format_string(
-        body, "source", F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ss"), "n_rows", F.coalesce("columns", F.lit(0)),
+        fv.DATACARD, "source", F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ss"), "n_rows", F.coalesce("columns", F.lit(0)),
         F.col("overall_score").cast("string"), F.coalesce("lines", F.lit("")), fixed4(F.col("corr_score") / 100.0), "bias_score",
         F.coalesce(F.col("avg_min_dist").cast("string"), F.lit("n/a")), F.coalesce(F.col("privacy_score").cast("string"), F.lit("n/a")),
     ).alias("card"))
