@@ -22,17 +22,29 @@ def local_session(cores: int = 8, app: str = "parasynth", memory: str = "8g") ->
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a
-    temporary one is set only where none is configured (tests).
+    Where none is named, a local session gets a temporary one; on a cluster
+    that would be the driver's own disk, so it is an error there.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="parasynth-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    current = context._jsc.sc().getCheckpointDir()
+    if not folder and not current.isEmpty():
+        return current.get()
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="parasynth-checkpoint-")
+    if current.isEmpty():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
