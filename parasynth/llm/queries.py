@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import simhash
+from . import oracles, quality_rules, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -20,3 +20,13 @@ def query(fn):
 def op1_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, at most 4 differing bits)."""
     return simhash.near_duplicates(table(spark, sf, "documents"), 4, 4).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of every document and the verdict of base rules and certified thresholds."""
+    judged = quality_rules.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+ORACLES["op4_quality_rules"] = oracles.quality_rules()
