@@ -61,3 +61,17 @@ def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
+
+
+def replace_texts(df: DataFrame, text_col: str, work: Callable[[list], list]) -> DataFrame:
+    """``df`` with ``text_col`` changed by ``work`` on lists of texts; all other columns pass through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                at = part.schema.get_field_index(text_col)
+                columns = part.columns
+                columns[at] = pa.array(work(part.column(at).to_pylist()), pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    return df.mapInArrow(run, df.schema)

@@ -46,3 +46,28 @@ def quality_rules() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND lvl > coalesce(level, 0) AS kept
     FROM r LEFT JOIN best ON r.stratum = best.stratum"""
+
+
+def line_templates(min_docs: int, depth: int, similarity: float) -> str:
+    """Lines unnested, templates as strings, votes per place of a leaf."""
+    leaf = " || ' ' || ".join(["len(toks)", *[f"toks[{i + 1}]" for i in range(depth)]])
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    x AS (SELECT doc_id, t, unnest(range(0, len(ls))) AS n, unnest(ls) AS line FROM d),
+    y AS (SELECT doc_id, t, n, list_transform(list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda w: w <> ''),
+                 lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS toks FROM x),
+    z AS (SELECT *, array_to_string(toks, ' ') AS f FROM y WHERE len(toks) > 0),
+    rf AS (SELECT f, arg_min(t, doc_id) AS ft FROM z GROUP BY f HAVING count(DISTINCT t) >= {min_docs}),
+    v AS (SELECT *, {leaf} AS leaf, toks[{depth + 1}:] AS p FROM z WHERE len(toks) > {depth}),
+    w AS (SELECT * FROM v WHERE leaf IN (SELECT leaf FROM v GROUP BY leaf HAVING count(*) >= {min_docs} AND count(DISTINCT f) > 1)),
+    u AS (SELECT doc_id, n, leaf, unnest(range(0, len(p))) AS pos, unnest(p) AS w FROM w),
+    votes AS (SELECT leaf, pos, w, count(*) AS c FROM u GROUP BY ALL),
+    fixed AS (SELECT leaf, pos, arg_max(w, c) AS w FROM votes GROUP BY leaf, pos HAVING 2 * max(c) > sum(c)),
+    held AS (SELECT doc_id, n, count(*) AS c FROM u JOIN fixed USING (leaf, pos, w) GROUP BY doc_id, n),
+    g AS (SELECT w.* FROM w JOIN held USING (doc_id, n) WHERE c >= {similarity} * len(p)),
+    rg AS (SELECT leaf, arg_min(t, doc_id) AS ft FROM g GROUP BY leaf HAVING count(DISTINCT t) >= {min_docs}),
+    m AS (SELECT doc_id, n FROM z JOIN rf USING (f) WHERE t <> ft UNION SELECT doc_id, n FROM g JOIN rg USING (leaf) WHERE t <> ft),
+    drops AS (SELECT doc_id, list(n) AS ns FROM m GROUP BY doc_id)
+    SELECT d.doc_id, len(ls) AS n_lines, coalesce(len(ns), 0) AS n_dropped,
+           array_to_string(list_filter(ls, lambda l, i: ns IS NULL OR NOT list_contains(ns, i - 1)), chr(10)) AS text
+    FROM d LEFT JOIN drops USING (doc_id)"""

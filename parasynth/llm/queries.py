@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
-from . import oracles, quality_rules, simhash
+from . import line_templates, oracles, quality_rules, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +32,25 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op4_quality_rules"] = oracles.quality_rules()
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines whose template recurs in ten texts or more."""
+    return line_templates.drop_recurring_lines(table(spark, sf, "documents"), counts=True).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+ORACLES["op10_line_dedup"] = oracles.line_templates(line_templates.MIN_DOCS, line_templates.DEPTH, line_templates.SIMILARITY)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of secrets in every document: patterns, and credential values that are hard to guess."""
+    found = secrets.find_secrets(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
