@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import line_templates, oracles, quality_rules, secrets, simhash
+from . import bin_slack, line_templates, oracles, quality_rules, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,9 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
     counts = [number(kind) for kind in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of every document and their places in sequences of at most 1,024 tokens."""
+    return bin_slack.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
