@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bin_slack, line_templates, oracles, quality_rules, secrets, simhash
+from . import backtrack_bpe, bin_slack, line_templates, oracles, quality_rules, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,9 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of every document and their places in sequences of at most 1,024 tokens."""
     return bin_slack.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document under the ranked vocabulary, and their bytes again."""
+    return backtrack_bpe.digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
