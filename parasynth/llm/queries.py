@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import backtrack_bpe, bin_slack, line_templates, oracles, quality_rules, secrets, simhash
+from . import backtrack_bpe, bin_slack, line_templates, oracles, order_minhash, quality_rules, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,9 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op6_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document under the ranked vocabulary, and their bytes again."""
     return backtrack_bpe.digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op3_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Order MinHash of every document and of its edited text, and their likeness."""
+    return order_minhash.compare_with_next(table(spark, sf, "documents"))
