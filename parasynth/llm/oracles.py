@@ -71,3 +71,23 @@ def line_templates(min_docs: int, depth: int, similarity: float) -> str:
     SELECT d.doc_id, len(ls) AS n_lines, coalesce(len(ns), 0) AS n_dropped,
            array_to_string(list_filter(ls, lambda l, i: ns IS NULL OR NOT list_contains(ns, i - 1)), chr(10)) AS text
     FROM d LEFT JOIN drops USING (doc_id)"""
+
+
+def licenses(templates: list[tuple[str, str]], least: float) -> str:
+    """Units unnested and joined with the templates."""
+    values = ", ".join(f"({i}, '{name}', '{wording.replace(chr(39), chr(39) * 2)}')" for i, (name, wording) in enumerate(templates))
+    words = r"list_filter(string_split(lower(regexp_replace({}, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '')"
+    grams = "list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))"
+    return rf"""
+    WITH t AS (SELECT name, {grams} AS b FROM (SELECT name, {words.format('wording')} AS ws FROM (VALUES {values}) v(i, name, wording))),
+    u AS (
+      SELECT doc_id, unnest(list_distinct(string_split(t, chr(10)) || regexp_split_to_array(t, '\n[ \t]*\n') || [t])) AS unit
+      FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+    a AS (SELECT doc_id, {grams} AS a FROM (SELECT doc_id, {words.format('unit')} AS ws FROM u) WHERE len(ws) > 1),
+    m AS (
+      SELECT doc_id, max({{'d': dice, 'n': name}}) AS top FROM (
+        SELECT doc_id, a, name, 2 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM a, t)
+      WHERE dice >= {least} GROUP BY doc_id, a),
+    g AS (SELECT doc_id, max(top) AS best, list_sort(list(DISTINCT top.n)) AS names, count(*) AS n FROM m GROUP BY doc_id)
+    SELECT d.doc_id, best.n AS license, round(best.d, 6) AS dice, coalesce(array_to_string(names, ','), '') AS licenses, coalesce(n, 0) AS n_units
+    FROM documents d LEFT JOIN g USING (doc_id)"""

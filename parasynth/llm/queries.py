@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import backtrack_bpe, bin_slack, line_templates, oracles, order_minhash, quality_rules, secrets, simhash
+from . import backtrack_bpe, bin_slack, licenses, line_templates, oracles, order_minhash, quality_rules, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,12 @@ def op6_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def op3_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     """Order MinHash of every document and of its edited text, and their likeness."""
     return order_minhash.compare_with_next(table(spark, sf, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The licence notices and texts of every document."""
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
+ORACLES["op2_license_scan"] = oracles.licenses(licenses.TEMPLATES, licenses.LEAST)
