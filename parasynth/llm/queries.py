@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import backtrack_bpe, bin_slack, licenses, line_templates, oracles, order_minhash, quality_rules, secrets, simhash
+from . import backtrack_bpe, bin_slack, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,9 @@ def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op2_license_scan"] = oracles.licenses(licenses.TEMPLATES, licenses.LEAST)
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without passages of 400 bytes that occur elsewhere."""
+    return repeats.drop_repeats(table(spark, sf, "documents")).drop("kept")
