@@ -1,6 +1,6 @@
 """Inputs the queries share, all derived from the given tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import merge, profile
@@ -85,13 +85,16 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def passage_queries(spark: SparkSession, sf: str) -> DataFrame:
-    """The three longest words of each benchmark passage."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))
-    ranked = F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-    return table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.lit(0).alias("query_pos"),
-        F.array_join(F.transform(F.slice(ranked, 1, 3), lambda e: e["w"]), " ").alias("query"),
-    )
+    """Each benchmark passage as a query, all of its words."""
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.lit(0).alias("query_pos"), F.col("text").alias("query"))
+
+
+def asked_and_answered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Every user turn as a query, and the turn after it as the reply."""
+    c = table(spark, sf, "conversations")
+    name = lambda turn: F.concat_ws("-", "conv_id", turn).alias("query_id")
+    asked = c.filter("role = 'user'").select(name(F.col("turn")), F.col("text").alias("query"))
+    return asked, c.filter("role <> 'user'").select(name(F.col("turn") - 1), F.col("text").alias("reply"))
 
 
 def page_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,7 +112,8 @@ def judged_results(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     from ..operators import discover
 
     hits = discover.search_corpus(passage_queries(spark, sf), corpus(spark, sf))
-    results = hits.filter("source_type = 'html'").select("query_id", "result_pos", "doc_id")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("source_type", "result_pos")) - 1
+    results = hits.select("query_id", place.alias("result_pos"), "doc_id")
     replies = table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"),
         F.when(F.col("item_id") % 5 == 0, "None")

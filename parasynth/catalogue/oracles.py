@@ -236,8 +236,7 @@ SELECT g AS source_id, a || '__' || b AS key, round(avg(r), 5) AS correlation FR
 
 ORACLES["merge_sources"] = """
 SELECT CAST(s_nationkey AS VARCHAR) AS source_id,
-  CASE WHEN count(*) = 1 THEN min(s_name) WHEN count(*) <= 1000 THEN 'merged(' || string_agg(s_name, ', ' ORDER BY s_suppkey) || ')'
-       ELSE 'merged(' || count(*) || ' sources)' END AS source,
+  CASE WHEN count(*) = 1 THEN min(s_name) ELSE 'merged(' || string_agg(s_name, ', ' ORDER BY s_suppkey) || ')' END AS source,
   'regex_fallback' AS extraction_method FROM supplier GROUP BY s_nationkey"""
 
 ORACLES["merge_lineage"] = """
@@ -273,15 +272,23 @@ ORACLES["assemble_pages"] = "SELECT conv_id AS doc_id, string_agg(text, chr(10)
 ORACLES["statistical_density"] = r"""
 SELECT doc_id, round(coalesce(len(regexp_extract_all(text, '[0-9]+(?:\.[0-9]+)?')) / nullif(len(regexp_extract_all(text, '[A-Za-z0-9_]+')), 0)::DOUBLE, 0), 6) AS density FROM documents"""
 
-ORACLES["expand_queries"] = """
-WITH l AS (SELECT conv_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(12) || chr(11))), lambda x: x <> '')[1:4] AS extra
-           FROM conversations WHERE turn = 1),
-q AS (SELECT conv_id, list_concat([text], coalesce(extra, [])) AS qs FROM conversations LEFT JOIN l USING (conv_id) WHERE turn = 0)
-SELECT conv_id AS query_id, unnest(range(len(qs))) AS query_pos, unnest(qs) AS query FROM q"""
+EXPAND = """
+l AS (SELECT conv_id, turn - 1 AS turn, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(12) || chr(11))), lambda x: x <> '')[1:4] AS extra
+      FROM conversations WHERE role <> 'user'),
+qs AS (SELECT conv_id || '-' || turn AS query_id, list_concat([text], coalesce(extra, [])) AS qs FROM (SELECT * FROM conversations WHERE role = 'user') LEFT JOIN l USING (conv_id, turn)),
+ex AS (SELECT query_id, unnest(range(len(qs))) AS query_pos, unnest(qs) AS query FROM qs)"""
+ORACLES["expand_queries"] = f"WITH {EXPAND} SELECT * FROM ex"
+ORACLES["run_discovery"] = f"""
+WITH {EXPAND},
+q AS (SELECT query_id, query_pos, unnest(list_distinct(regexp_extract_all(lower(query), '[a-z0-9]+'))) AS term FROM ex),
+d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM documents),
+h AS (SELECT query_id, query_pos, doc_id, CASE WHEN doc_id % 4 = 0 THEN 'pdf' ELSE 'html' END AS source_type, count(*) AS hits FROM q JOIN d USING (term) GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY query_id, query_pos, source_type ORDER BY hits DESC, doc_id) - 1 AS result_pos FROM h QUALIFY result_pos < 5)
+SELECT query_id, query_pos, result_pos, doc_id, hits, source_type FROM top
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY query_id, query_pos, source_type, result_pos) = 1"""
 
 SEARCH = """
-w AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM benchmark),
-q AS (SELECT item_id AS query_id, term FROM w QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY length(term) DESC, term) <= 3),
+q AS (SELECT item_id AS query_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM benchmark),
 d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM documents),
 h AS (SELECT query_id, doc_id, CASE WHEN doc_id % 4 = 0 THEN 'pdf' ELSE 'html' END AS source_type, count(*) AS hits FROM q JOIN d USING (term) GROUP BY ALL),
 top AS (SELECT *, row_number() OVER (PARTITION BY query_id, source_type ORDER BY hits DESC, doc_id) - 1 AS result_pos FROM h QUALIFY result_pos < 5)"""
@@ -300,7 +307,7 @@ WITH {PAGE_SOURCES} SELECT page_id, CASE WHEN url LIKE '%.pdf' THEN 'pdf' ELSE '
   CASE WHEN url LIKE '%.pdf' THEN 1.0::DOUBLE ELSE 0.8::DOUBLE END AS relevance_score FROM src"""
 
 SUGGEST = f"""
-{SEARCH}, res AS (SELECT query_id, result_pos, doc_id FROM top WHERE source_type = 'html'),
+{SEARCH}, res AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY source_type, result_pos) - 1 AS result_pos, doc_id FROM top),
 marked AS (SELECT *, query_id % 5 <> 0 AND (result_pos = query_id % 4 OR result_pos = 2 OR result_pos = 17) AS suggested FROM res)"""
 ORACLES["suggest_sources"] = f"WITH {SUGGEST} SELECT query_id, result_pos, doc_id, suggested FROM marked"
 ORACLES["select_sources"] = f"WITH {SUGGEST} SELECT query_id, result_pos, doc_id FROM marked WHERE suggested"
@@ -436,7 +443,7 @@ SELECT o_orderstatus, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus
 
 ORACLES["label_encode"] = "SELECT c_custkey, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code FROM customer"
 ORACLES["unseen_labels"] = """
-SELECT DISTINCT p_name FROM part WHERE p_size > 20 AND p_name NOT IN (SELECT p_name FROM part WHERE p_size <= 2)"""
+SELECT DISTINCT p_name FROM part WHERE p_size > 20 AND p_name NOT IN (SELECT p_name FROM part WHERE p_size <= 20)"""
 ORACLES["positive_label"] = "SELECT coalesce(min(o_orderpriority) FILTER (trim(o_orderpriority) LIKE '>%'), max(o_orderpriority)) AS positive FROM orders"
 
 GUESS = """

@@ -217,10 +217,13 @@ def statistical_density(spark, sf):
 
 @query
 def expand_queries(spark, sf):
-    c = table(spark, sf, "conversations")
-    asked = c.filter("turn = 0").select(F.col("conv_id").alias("query_id"), F.col("text").alias("query"))
-    replies = c.filter("turn = 1").select(F.col("conv_id").alias("query_id"), F.col("text").alias("reply"))
-    return discover.expand_queries(asked, replies)
+    return discover.expand_queries(*inputs.asked_and_answered(spark, sf))
+
+
+@query
+def run_discovery(spark, sf):
+    found = discover.run_discovery(*inputs.asked_and_answered(spark, sf), inputs.corpus(spark, sf))
+    return found.select("query_id", "query_pos", "result_pos", "doc_id", "hits", "source_type")
 
 
 @query
@@ -440,7 +443,7 @@ def ratchet_best(spark, sf):
 @query
 def optimization_loop(spark, sf):
     v, c, _ = inputs.merged_by_nation(spark, sf)
-    state, _ = optimize.run_loop(v, c, 3, 1000)
+    state, _ = optimize.run_loop(v, c, 5, 10_000)
     return state.select("source_id", "best_score", "best_iteration", "best_noise")
 
 
@@ -469,7 +472,7 @@ def label_encode(spark, sf):
 @query
 def unseen_labels(spark, sf):
     p = table(spark, sf, "part")
-    return evaluate.unseen_labels(p.filter("p_size > 20"), "p_name", p.filter("p_size <= 2")).select("p_name")
+    return evaluate.unseen_labels(p.filter("p_size > 20"), "p_name", p.filter("p_size <= 20")).select("p_name")
 
 
 @query

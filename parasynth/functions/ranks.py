@@ -27,7 +27,7 @@ def _bucketed(df: DataFrame, value: str, splits: list[float]) -> DataFrame:
 
 
 def cumulative(
-    df: DataFrame, value: str, weights: dict[str, Column] | None = None, group: Sequence[str] = (), buckets: int = 256,
+    df: DataFrame, value: str, weights: dict[str, Column] | None = None, group: Sequence[str] = (), buckets: int | None = None,
     cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per distinct (group, value): each weight's sum there and below it.
@@ -37,8 +37,10 @@ def cumulative(
     """
     weights = weights or {"n": F.lit(1)}
     df = df.filter(F.col(value).isNotNull())
-    step = 1.0 / buckets
     sampled = df if cuts_from is None else cuts_from
+    # A bucket is sorted by one task: their number follows the rows, within what a plan can hold.
+    buckets = buckets or max(256, min(20_000, sampled.count() // 1_000_000))
+    step = 1.0 / buckets
     splits = sampled.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i * step for i in range(1, buckets)], step / 4)
     reduced = df.groupBy(*group, value).agg(*[F.sum(w).alias(n) for n, w in weights.items()])
     reduced = _bucketed(reduced.withColumn("__v", F.col(value).cast("double")), "__v", splits).drop("__v")
@@ -57,12 +59,6 @@ def cumulative(
     )
 
 
-def average_rank(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
-    """(group, value, n, rank): the shared rank of equal values."""
-    c = cumulative(df, value, group=group)
-    return c.select(*group, value, "n", (F.col("n_below") + (F.col("n") + 1) / 2.0).alias("rank"))
-
-
 def ordinal_rank(df: DataFrame, value: str, row: str, out: str = "rank") -> DataFrame:
     """Add 1..n by ``value``, equal values in order of the unique ``row``.
 
@@ -83,18 +79,25 @@ def ordinal_rank(df: DataFrame, value: str, row: str, out: str = "rank") -> Data
 def value_at_rank(df: DataFrame, rank: str, values: DataFrame, value: str) -> DataFrame:
     """Add the ``rank``-th smallest ``value`` of ``values`` to each row.
 
-    Values stand for intervals of ranks.  Intervals are cut at fixed blocks of
-    ranks and joined by block, so a value repeated many times is many balanced
-    pieces and no rank range is joined as a whole.
+    Values stand for intervals of ranks, cut at fixed blocks of ranks, so one
+    repeated many times is many balanced pieces. Within a block, rows and the
+    starts of intervals are put in one order and each row takes the value that
+    started last: work in proportion to rows and pieces.
     """
     block = lambda r: F.floor((r - 1) / F.lit(RANK_BLOCK)).cast("long")
     spans = cumulative(values, value).select(
         value, (F.col("n_below") + 1).alias("__from"), (F.col("n_below") + F.col("n")).alias("__to")
     )
-    pieces = spans.withColumn("__block", F.explode(F.sequence(block(F.col("__from")), block(F.col("__to")))))
-    left = df.withColumn("__block", block(F.col(rank)))
-    near = left.join(pieces, "__block")
-    return near.filter(F.col(rank).between(F.col("__from"), F.col("__to"))).drop("__block", "__from", "__to")
+    pieces = spans.withColumn("__block", F.explode(F.sequence(block(F.col("__from")), block(F.col("__to"))))).select(
+        "__block", F.greatest(F.col("__from"), F.col("__block") * RANK_BLOCK + 1).alias("__rank"), F.lit(0).alias("__kind"),
+        F.struct(value, "__to").alias("__span"),
+    )
+    rows = df.select(
+        block(F.col(rank)).alias("__block"), F.col(rank).cast("long").alias("__rank"), F.lit(1).alias("__kind"), F.struct("*").alias("__row")
+    )
+    order = Window.partitionBy("__block").orderBy("__rank", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = pieces.unionByName(rows, allowMissingColumns=True).withColumn("__last", F.last("__span", True).over(order))
+    return both.filter((F.col("__kind") == 1) & (F.col("__rank") <= F.col("__last.__to"))).select("__row.*", F.col(f"__last.{value}").alias(value))
 
 
 def auc(df: DataFrame, score: str, positive: Column) -> DataFrame:

@@ -4,15 +4,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..session import broadcast_if_small
 
 TERM = r"[a-z0-9]+"
 
 
-def expand_queries(queries: DataFrame, replies: DataFrame) -> DataFrame:
-    """(query_id, query_pos, query): the query, then up to four reply lines."""
+def expand_queries(queries: DataFrame, replies: DataFrame, most: int = fv.MAX_EXPANDED_QUERIES) -> DataFrame:
+    """(query_id, query_pos, query): the query, then up to ``most`` reply lines."""
     lines = F.filter(F.transform(F.split("reply", "\n"), lambda x: F.trim(x, F.lit(" \t\r\f\u000b"))), lambda x: x != "")
     joined = queries.select("query_id", "query").join(replies.select("query_id", "reply"), "query_id", "left")
-    extra = F.coalesce(F.slice(lines, 1, fv.MAX_EXPANDED_QUERIES), F.array().cast("array<string>"))
+    extra = F.coalesce(F.slice(lines, 1, most), F.array().cast("array<string>"))
     return joined.select("query_id", F.posexplode(F.concat(F.array("query"), extra)).alias("query_pos", "query"))
 
 
@@ -29,10 +30,6 @@ def classify_sources(df: DataFrame) -> DataFrame:
     })
 
 
-def known_source_type(kind: Column) -> Column:
-    return F.when(kind.isin(*fv.SOURCE_TYPES), kind).otherwise(F.lit(fv.DEFAULT_SOURCE_TYPE))
-
-
 def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
@@ -48,10 +45,13 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     keys = ["query_id", "query_pos"]
     wanted = queries.select(*keys, F.explode(terms(F.col("query"))).alias("term"))
     posted = corpus.select("doc_id", "url", F.explode(terms(F.col("text"))).alias("term"))
-    hits = posted.join(wanted, "term").groupBy(*keys, "doc_id", "url").agg(F.count(F.lit(1)).alias("hits"))
+    # Sent to the tasks where a count shows it small: a document's terms then meet and are summed in its own task.
+    hits = posted.join(broadcast_if_small(wanted), "term").groupBy(*keys, "doc_id", "url").agg(F.count(F.lit(1)).alias("hits"))
     typed = classify_sources(hits)
     best = Window.partitionBy(*keys, "source_type").orderBy(F.col("hits").desc(), "doc_id")
-    return typed.withColumn("result_pos", F.row_number().over(best) - 1).filter(F.col("result_pos") < max_results)
+    # The filter is on the bare row number, which Spark then also applies before the shuffle.
+    ranked = typed.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= max_results)
+    return ranked.withColumn("result_pos", F.col("nth") - 1).drop("nth")
 
 
 def dedup_sources(results: DataFrame) -> DataFrame:
@@ -82,3 +82,11 @@ def suggest_sources(results: DataFrame, replies: DataFrame) -> DataFrame:
 def select_sources(results: DataFrame, use_suggested: bool) -> DataFrame:
     """The suggested sources, or by default the first one of each query."""
     return results.filter(F.col("suggested") if use_suggested else F.col("result_pos") == 0)
+
+
+def run_discovery(queries: DataFrame, replies: DataFrame, corpus: DataFrame, max_results: int = fv.MAX_RESULTS_PER_KIND) -> DataFrame:
+    """Expand the queries, search for each, and keep the first result per URL."""
+    found = search_corpus(expand_queries(queries, replies), corpus, max_results)
+    numbered = found.withColumn("query_pos", F.struct("query_id", "query_pos")).withColumn("result_pos", F.struct("source_type", "result_pos"))
+    first = dedup_sources(numbered)
+    return first.select("query_pos.query_id", "query_pos.query_pos", "result_pos.result_pos", "doc_id", "url", "hits", "source_type", "relevance_score")

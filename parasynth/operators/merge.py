@@ -1,14 +1,11 @@
 """Parameters of several sources into one set per group."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..schemas import CATEGORIES, coerce_correlations, coerce_variables
 
-NAME_LIST_LIMIT = 1000
-POSITION_STEP = 1 << 24
-
 
 def lineage(meta: DataFrame, group: str = "merge_group", position: str = "source_pos") -> DataFrame:
     """(source_id of the merged set, source_pos, member, source): always whole."""
@@ -34,9 +31,8 @@ def merge_parameters(
     label probabilities over the sources that have the variable instead.
 
     All aggregates combine map-side, so a group with most of the sources does
-    not concentrate on one task.  ``var_pos`` of a merged variable is an order
-    key (first source, then place in it), not a dense number: numbering would
-    sort each group in one task.
+    not concentrate on one task.  The variables of a merged set are numbered by
+    first source, then place in it, after the sources are combined.
     """
     members = meta.select("source_id", F.col(group).cast("string").alias("merged_id"), F.col(position).alias("pos"))
     sizes = members.groupBy("merged_id").agg(F.count(F.lit(1)).alias("n_sources"))
@@ -57,7 +53,7 @@ def merge_parameters(
         categories = F.when(single, F.col("categories")).otherwise(F.lit(None).cast(CATEGORIES))
     out_variables = coerce_variables(
         merged.select(
-            F.col("merged_id").alias("source_id"), _order(F.col("place.pos"), F.col("place.var_pos"), single).alias("var_pos"),
+            F.col("merged_id").alias("source_id"), _order(F.col("place.var_pos"), single).alias("var_pos"),
             "name", "distribution", "mean", "std",
             F.when(single, F.col("min")).otherwise(F.col("mean") - spread).alias("min"),
             F.when(single, F.col("max")).otherwise(F.col("mean") + spread).alias("max"),
@@ -71,15 +67,16 @@ def merge_parameters(
             first("var1"), first("var2"), first("direction"),
             F.avg("correlation").alias("correlation"), F.min("place").alias("place"),
         ).join(sizes, "merged_id").select(
-            F.col("merged_id").alias("source_id"), _order(F.col("place.pos"), F.col("place.corr_pos"), single).alias("corr_pos"),
+            F.col("merged_id").alias("source_id"), _order(F.col("place.corr_pos"), single).alias("corr_pos"),
             "key", "var1", "var2", "correlation", "direction",
         )
     )
     return out_variables, out_correlations, _merged_meta(meta, members, sizes)
 
 
-def _order(source_pos, place, single):
-    return F.when(single, place).otherwise(source_pos.cast("long") * F.lit(POSITION_STEP) + place).cast("long")
+def _order(place, single):
+    number = F.row_number().over(Window.partitionBy("merged_id").orderBy("place")) - 1
+    return F.when(single, place).otherwise(number).cast("long")
 
 
 def _averaged_categories(v: DataFrame) -> DataFrame:
@@ -98,11 +95,7 @@ def _averaged_categories(v: DataFrame) -> DataFrame:
 
 
 def _merged_meta(meta: DataFrame, members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """One row per group; names are joined for groups up to a fixed size.
-
-    Beyond that size a joined string would gather the whole group in one row:
-    it is then ``merged(n sources)`` and :func:`lineage` lists the members.
-    """
+    """One row per group, its title naming every member in order."""
     joined = meta.join(members, "source_id").join(sizes, "merged_id")
     first = joined.groupBy("merged_id").agg(
         F.first("n_sources").alias("n_sources"),
@@ -110,13 +103,11 @@ def _merged_meta(meta: DataFrame, members: DataFrame, sizes: DataFrame) -> DataF
         F.min_by("extraction_method", "pos").alias("extraction_method"),
         F.min_by("source", "pos").alias("first_source"),
     )
-    names = joined.filter(F.col("n_sources").between(2, NAME_LIST_LIMIT)).groupBy("merged_id").agg(
+    names = joined.filter(F.col("n_sources") > 1).groupBy("merged_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "source"))), lambda x: x["source"]), ", ").alias("names")
     )
     title = (
-        F.when(F.col("n_sources") == 1, F.col("first_source"))
-        .when(F.col("names").isNotNull(), F.format_string("merged(%s)", "names"))
-        .otherwise(F.format_string("merged(%d sources)", "n_sources"))
+        F.when(F.col("n_sources") == 1, F.col("first_source")).otherwise(F.format_string("merged(%s)", "names"))
     )
     return first.join(names, "merged_id", "left").select(
         F.col("merged_id").alias("source_id"), title.alias("source"), "extracted_at", "extraction_method"

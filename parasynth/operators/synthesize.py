@@ -231,8 +231,14 @@ def synthesize_many(
     else:
         base = source_rows(variables, correlations, seed, F.lit("")).withColumns({"noise": F.lit(float(noise))})
         base = base.withColumn("keys", _rekeyed(F.col("keys"), F.lit(str(iteration))))
+    if n_rows <= 0:
+        return variables.sparkSession.createDataFrame([], "source_id string, row_id bigint, x array<double>")
     blocks = -(-n_rows // ROW_BLOCK)
-    df = base.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+    # Two steps, so that no row holds one number per block of a very long table.
+    strides = -(-blocks // ROW_BLOCK)
+    df = base.withColumn("stride", F.explode(F.sequence(F.lit(0), F.lit(strides - 1)).cast("array<bigint>")))
+    start = F.col("stride") * ROW_BLOCK
+    df = df.withColumn("block", F.explode(F.sequence(start, F.least(start + ROW_BLOCK, F.lit(blocks)) - 1))).drop("stride")
     spark = df.sparkSession
     # A number keeps AQE from merging these few bytes, which stand for many rows.
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -281,6 +287,17 @@ def _rekeyed(keys: Column, step: Column) -> Column:
     return F.transform(keys, lambda k: F.struct(*[k[f"k{w}"].bitwiseXOR(salt).alias(f"k{w}") for w in range(4)]))
 
 
+def wide_form(vectors: DataFrame, parameters: Parameters) -> DataFrame:
+    """Vectors of one source as a table with a column per variable, labels spelled out."""
+    columns = []
+    for i, v in enumerate(parameters.variables):
+        cell = F.get("x", F.lit(i))
+        if v.distribution == "categorical":
+            cell = F.get(F.array(*[F.lit(label) for label, _ in v.categories]), cell.cast("int"))
+        columns.append(cell.alias(v.name))
+    return vectors.select(*columns)
+
+
 def long_form(vectors: DataFrame, variables: DataFrame) -> DataFrame:
     """(source_id, row_id, name, num_value, str_value)."""
     listed = variables.groupBy("source_id").agg(

@@ -122,15 +122,22 @@ def chi_square(comparison: DataFrame) -> DataFrame:
     )
 
 
+def without_nan(vectors: DataFrame) -> DataFrame:
+    """NaN counts as missing, so that one such value doesn't spoil every mean."""
+    return sealed(vectors.withColumn("x", F.transform("x", lambda e: F.when(~F.isnan(e), e))))
+
+
 def distribution_fit(
     vectors: DataFrame, variables: DataFrame, present: list[str] | None = None, buckets: int = 4096
 ) -> DataFrame:
     """(source_id, idx, name, test, n, statistic, pvalue) per variable.
 
     Continuous variables: KS against the declared distribution, without noise.
-    Categorical ones: chi-square.  Variables absent from the data are skipped.
+    Categorical ones: chi-square.  Variables absent from the data are skipped;
+    one that can't be tested (declared deviation 0, no value) has p = 0 and no
+    statistic, so it fails.
     """
-    v = _present(variables, present)
+    v, vectors = _present(variables, present), without_nan(vectors)
     return _fit(vectors, v, summary(vectors, v), buckets)
 
 
@@ -142,7 +149,11 @@ def _present(variables: DataFrame, present: list[str] | None) -> DataFrame:
 def _fit(vectors: DataFrame, v: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
     groups = v.count() if small(v) else None
     ks = ks_statistic(distribution_positions(vectors, v), ["source_id", "idx"], groups, buckets)
-    ks = ks.select("source_id", "idx", "n", F.col("d").alias("statistic"), kolmogorov_sf_udf("d", "n").alias("pvalue"), F.lit("ks").alias("test"))
+    ks = ks.select("source_id", "idx", "n", F.col("d").alias("statistic"), kolmogorov_sf_udf("d", "n").alias("p"))
+    declared = v.filter(~is_categorical()).select("source_id", "idx").join(vectors.select("source_id").distinct(), "source_id", "left_semi")
+    ks = declared.join(ks, ["source_id", "idx"], "left").select(
+        "source_id", "idx", F.coalesce("n", F.lit(0)).alias("n"), "statistic", F.coalesce("p", F.lit(0.0)).alias("pvalue"), F.lit("ks").alias("test")
+    )
     chi = chi_square(label_comparison(found, v)).withColumn("test", F.lit("chi2")).drop("unknown")
     return ks.unionByName(chi).join(v.select("source_id", "idx", "name"), ["source_id", "idx"])
 
@@ -275,7 +286,7 @@ def validate(
 ) -> DataFrame:
     """One fidelity row per source.  ``vectors`` needs ``row_id`` for privacy."""
     limits = thresholds(custom_thresholds)
-    v = _present(variables, None)
+    v, vectors = _present(variables, None), without_nan(vectors)
     found = cut_lineage(summary(vectors, v))
     fit = _fit(vectors, v, found, buckets)
     passed = F.avg((F.col("pvalue") >= limits["ks_pvalue"]).cast("double")) * 100.0

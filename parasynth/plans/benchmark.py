@@ -59,24 +59,25 @@ def tstr(spec: DatasetSpec, n_seeds: int = 5, iterations: int = 3) -> DataFrame:
         best = state.first()
         frames = {
             "real": train,
-            "parameters": synthesize.synthesize(spark, parameters, n, best.best_noise, seed, best.best_iteration),
+            "parameters": synthesize.wide_form(optimize.best_data(v, c, state, n, seed), parameters),  # the very rows that were scored
             "independent": synthesize.synthesize_independent(spark, parameters, n, seed),
             "fitted_copula": synthesize.sample_copula(
                 spark, synthesize.fit_copula(train, spec.continuous, [*spec.categorical, spec.target]), n, seed
             ),
         }
+        positive = evaluate.positive_label(train, spec.target).first()[0]
         encoders = {c: evaluate.encoder(train, c) for c in [*spec.categorical, spec.target]}
+        code = list(encoders[spec.target].labels).index(positive)
         for source, frame in frames.items():
             if any(not evaluate.unseen_labels(frame, c, train).isEmpty() for c in encoders):
                 continue
             scored = evaluate.train_and_score(frame, test, spec.continuous, spec.categorical, spec.target, encoders).persist()
             basic = evaluate.classifier_metrics(scored).first()
             rates = scored.agg(
-                evaluate.rate(F.col("prediction") == 1).alias("pred"), evaluate.rate(F.col("label") == 1).alias("true")
+                evaluate.rate(F.col("prediction") == code).alias("pred"), evaluate.rate(F.col("label") == code).alias("true")
             ).first()
             auc = evaluate.roc_auc(scored, "label", "score").first()[0]
-            coded = evaluate.label_encode(frame.select(*columns), spec.target, train)
-            prevalence = coded.agg(evaluate.rate(F.col(f"{spec.target}_code") == 1)).first()[0]
+            prevalence = frame.agg(evaluate.rate(F.col(spec.target) == positive)).first()[0]
             scored.unpersist()
             rows.append((
                 spec.name, spec.domain, seed, source, basic.accuracy, basic.f1, auc, rates.pred, rates.true, prevalence,

@@ -80,7 +80,8 @@ def run_loop(
     One job per iteration over all sources.  The state is a row per source
     (best score, its draw and noise, current noise, streak); data is not kept,
     because a draw is reproduced from seed, iteration and noise by
-    :func:`best_data`.  ``start`` continues from an earlier state.
+    :func:`best_data`.  ``start`` continues from an earlier state, at the
+    iteration after its last one, so no draw is scored twice.
     """
     if variables.isEmpty():
         raise ValueError("no variables were extracted: nothing to synthesise")
@@ -88,8 +89,9 @@ def run_loop(
     state = start or variables.select("source_id").distinct().select(
         "source_id", F.lit(fv.START_SCORE).alias("best_score"), F.lit(None).cast("int").alias("best_iteration"),
         F.lit(None).cast("double").alias("best_noise"), F.lit(fv.INITIAL_NOISE).alias("noise"), F.lit(0).cast("long").alias("streak"),
+        F.lit(0).alias("next_iteration"),
     )
-    first = (state.agg(F.max("best_iteration")).first()[0] or -1) + 1 if start is not None else 0
+    first = state.agg(F.max("next_iteration")).first()[0] or 0
     state, logs = cut_lineage(state), []
     for iteration in range(first, first + iterations):
         vectors = synthesize.synthesize_many(
@@ -110,7 +112,7 @@ def run_loop(
             F.when(F.col("improved"), F.lit(iteration)).otherwise(F.col("best_iteration")).alias("best_iteration"),
             F.when(F.col("improved"), F.col("noise")).otherwise(F.col("best_noise")).alias("best_noise"),
             F.when(F.col("improved"), F.col("noise")).otherwise(next_noise(F.col("new_streak"), F.col("noise"))).alias("noise"),
-            F.col("new_streak").alias("streak"),
+            F.col("new_streak").alias("streak"), F.lit(iteration + 1).alias("next_iteration"),
         )
     log = logs[0] if logs else variables.sparkSession.createDataFrame(
         [], "source_id string, iteration int, noise_level double, score double, improved boolean, approved boolean"
@@ -133,19 +135,23 @@ def noise_grid(
 ) -> DataFrame:
     """(text_id, seed, iterations, score) over sources x seeds x loop lengths.
 
-    Every cell of one seed runs its own loop; cells of the same source and seed
-    share draws, so a loop of ten iterations already contains the shorter ones
-    and each seed needs a single run of the longest.  Zero iterations score the
-    first draw.
+    Every cell draws for itself: seed and length make its sources, which all
+    cells run through one loop together, so there is one job per iteration and
+    not one per cell and iteration. Zero iterations score the first draw.
     """
-    cells = []
-    for seed in range(n_seeds):
-        _, log = run_loop(variables, correlations, max(max(iterations_grid), 1), n_rows, seed)
-        cells.append(log.withColumn("seed", F.lit(seed)))
-    log = cells[0]
-    for part in cells[1:]:
-        log = log.unionByName(part)
-    length = F.explode(F.array(*[F.lit(i) for i in iterations_grid])).alias("iterations")
-    spread = log.select("source_id", "seed", "iteration", "score", length)
-    kept = spread.filter(F.col("iteration") < F.greatest("iterations", F.lit(1)))
-    return kept.groupBy(F.col("source_id").alias("text_id"), "seed", "iterations").agg(F.max("score").alias("score"))
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(s).alias("seed"), F.lit(i).alias("iterations")) for s in range(n_seeds) for i in iterations_grid
+    ])).alias("cell")
+
+    def spread(df: DataFrame) -> DataFrame:
+        named = F.concat_ws("/", "source_id", F.col("cell.seed"), F.col("cell.iterations"))
+        return df.select("*", cells).withColumn("source_id", named).drop("cell")
+
+    longest = max(max(iterations_grid), 1)
+    names = variables.select("source_id").distinct().select(F.col("source_id").alias("text_id"), cells).select(
+        "text_id", F.col("cell.seed").alias("seed"), F.col("cell.iterations").alias("iterations"),
+        F.concat_ws("/", "text_id", F.col("cell.seed"), F.col("cell.iterations")).alias("source_id"),
+    )
+    _, log = run_loop(spread(variables), spread(correlations), longest, n_rows, 0)
+    kept = log.join(names, "source_id").filter(F.col("iteration") < F.greatest("iterations", F.lit(1)))
+    return kept.groupBy("text_id", "seed", "iterations").agg(F.max("score").alias("score"))
