@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .common import checkpointed, text_key, texts
 
 #: A template in this many different texts is dropped.
@@ -49,6 +50,8 @@ def _marked(lines: DataFrame, by: str, min_docs: int) -> DataFrame:
 def _generalised(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, min_docs: int, depth: int, similarity: float) -> DataFrame:
     """Lines that belong to the template of their leaf, for leaves of several templates in enough texts."""
     leaves = lines.where(F.col("n") > depth).groupBy("leaf").agg(F.min("full").alias("least"), F.max("full").alias("most"), F.count(F.lit(1)).alias("n")).where((F.col("least") != F.col("most")) & (F.col("n") >= min_docs)).select("leaf")
+    # Few leaves are left, and each row of them is one long: where a count bears that out, lines are filtered as they are read.
+    leaves = broadcast_if_small(checkpointed(leaves))
     rows = _lines(docs, id_col, text_col, depth).where(F.size("tokens") > depth).join(leaves, "leaf", "left_semi")
     places = F.transform(F.slice("tokens", F.lit(depth + 1), F.size("tokens") - depth), lambda t: F.xxhash64(t))
     rows = checkpointed(rows.select("doc_id", "ka", "kb", "line_no", "leaf", places.alias("places")))
