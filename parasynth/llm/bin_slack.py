@@ -10,6 +10,7 @@ pieces of equal length.
 
 from __future__ import annotations
 
+import base64
 import functools
 import os
 import re
@@ -35,44 +36,67 @@ class Encoder:
     """Ids of a tokenizer file, as little-endian unsigned 32-bit bytes.
 
     What lies between two joints is encoded on its own and kept, so common
-    words are encoded once. Texts that spell a special token are encoded whole.
+    words are encoded once; new ones are encoded together by the ranks of the
+    same vocabulary, which is several times faster than one at a time. Texts
+    that spell a special token are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use all cores
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.ranked = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+        self.size = np.zeros(max(known.values()) + 1, np.int64)
+        for token, rank in known.items():
+            self.size[rank] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
+    def _one_by_one(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Words that follow a space and end in a visible character, so tokens end where words do."""
+        ids = np.array(self.ranked.encode_ordinary(" " + " ".join(words)), np.int64)
+        ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
+        cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1
+        made = ids.astype("<u4").tobytes()
+        return [made[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
     def __call__(self, batch: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(batch) if any(s in t for s in self.special)}
         cut = [[t] if i in whole else JOINT.split(t) for i, t in enumerate(batch)]
-        first = self._encode([parts[0] for parts in cut])
+        first = self._one_by_one([parts[0] for parts in cut])
         if len(self.known) > CACHE:
             self.known.clear()
-        new = list({w for parts in cut for w in parts[1:]}.difference(self.known))
+        new = {w for parts in cut for w in parts[1:]}.difference(self.known)
+        blank = [w for w in new if not w or w[-1].isspace()]
+        self.known.update(zip(blank, self._one_by_one([" " + w for w in blank])))
+        new = list(new.difference(blank))
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
-            self.known.update(zip(some, self._encode([" " + w for w in some])))
+            self.known.update(zip(some, self._together(some)))
         return [head + b"".join(map(self.known.__getitem__, parts[1:])) for head, parts in zip(first, cut)]
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, ranks: str, pattern: str) -> Encoder:
+    return Encoder(path, ranks, pattern)
+
 
+def pieces(docs: DataFrame, tokenizer: tuple[str, str, str], capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``: documents cut so that only the first piece is short.
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``: documents cut so that only the first piece is short."""
+    ``tokenizer``: tokenizer file, ranks of the same vocabulary, pattern of its pieces.
+    """
 
     def work(batch: pa.RecordBatch) -> dict:
         ids, rows = batch.column(0).to_pylist(), []
-        for doc_id, made in zip(ids, encoder(tokenizer)(batch.column(1).to_pylist())):
+        for doc_id, made in zip(ids, encoder(*tokenizer)(batch.column(1).to_pylist())):
             made += np.array([end], "<u4").tobytes()
             n = len(made) // 4
             at, piece = 0, 0
@@ -130,7 +154,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return runs
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: tuple[str, str, str], capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``: one row per piece.
 
     A null text counts as empty; an empty one is the end token alone. Repeated

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ..session import table
 from . import backtrack_bpe, bin_slack, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash
 
+#: Tokenizer file, ranks of the same vocabulary, pattern of its pieces.
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 
@@ -59,7 +62,7 @@ def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of every document and their places in sequences of at most 1,024 tokens."""
-    return bin_slack.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return bin_slack.pack(table(spark, sf, "documents"), TOKENIZER)
 
 
 @query
