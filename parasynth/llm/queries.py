@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import backtrack_bpe, bin_slack, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash
+from . import backtrack_bpe, bin_slack, kneser_ney, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash
 
 #: Tokenizer file, ranks of the same vocabulary, pattern of its pieces.
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -90,3 +90,9 @@ ORACLES["op2_license_scan"] = oracles.licenses(licenses.TEMPLATES, licenses.LEAS
 def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without passages of 400 bytes that occur elsewhere."""
     return repeats.drop_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and the verdict per language."""
+    return kneser_ney.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
