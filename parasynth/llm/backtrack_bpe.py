@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Callable
+from hashlib import sha256
 
 import ahocorasick
 import numpy as np
@@ -140,19 +140,14 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _over_texts(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, schema: str, row: Callable) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``ids`` (array of int) of every whole text; null and empty ones have no ids."""
+
     def work(batch: pa.RecordBatch) -> dict:
         own = codec(path, pattern)
-        made = [row(own, own.encode(t)) for t in batch.column(1).to_pylist()]
-        names = [c.split()[0] for c in schema.split(", ")]
-        return {"doc_id": batch.column(0), **{n: [m[i] for m in made] for i, n in enumerate(names)}}
+        return {"doc_id": batch.column(0), "ids": pa.array([own.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))}
 
-    return per_batch(texts(docs, id_col, text_col), work, f"doc_id long, {schema}")
-
-
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids`` (array of int) of every whole text; null and empty ones have no ids."""
-    return _over_texts(docs, path, pattern, id_col, text_col, "ids array<int>", lambda own, ids: (ids,))
+    return per_batch(texts(docs, id_col, text_col), work, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -170,9 +165,14 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     One row per row of ``docs``; a null text counts as empty.
     """
-    from hashlib import sha256
 
-    def row(own: Codec, ids: list[int]) -> tuple:
-        return len(ids), sha256(own.listed(ids).encode()).hexdigest(), sha256(own.decode(ids)).hexdigest()
-
-    return _over_texts(docs, path, pattern, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", row)
+    def work(batch: pa.RecordBatch) -> dict:
+        own, out = codec(path, pattern), {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for text in batch.column(1).to_pylist():
+            ids = own.encode(text)
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(sha256(own.listed(ids).encode()).hexdigest())
+            out["decoded_sha256"].append(sha256(own.decode(ids)).hexdigest())
+        return {"doc_id": batch.column(0), **out}
+
+    return per_batch(texts(docs, id_col, text_col), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
