@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, sealed
 from .common import checkpointed, text_key, texts
 
 #: A template in this many different texts is dropped.
@@ -25,13 +25,21 @@ DEPTH, SIMILARITY = 3, 0.6
 VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """Each line with a token: key of its text, number, tokens, leaf and template hash."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, longest: int | None = None) -> DataFrame:
+    """Each line with a token (of ``longest`` characters at most): key of its text, number, tokens, leaf and template hash.
+
+    Filters are on the plain line: one on its tokens would have them made twice.
+    """
     key = text_key(F.col("text"))
     rows = texts(docs, id_col, text_col).select("doc_id", key["a"].alias("ka"), key["b"].alias("kb"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.select("doc_id", "ka", "kb", "line_no", F.array_remove(F.split(F.regexp_replace("line", VARIABLE, "<*>"), r"\s+"), "").alias("tokens")).where(F.size("tokens") > 0)
+    rows = rows.where(F.col("line").rlike(r"\S"))
+    if longest is not None:
+        rows = rows.where(F.length("line") <= longest)
+    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", VARIABLE, "<*>")).otherwise(F.col("line"))
+    spaced = F.when(F.col("line").rlike(r"[\t\x0B\f\r]"), F.regexp_replace(masked, r"[\t\x0B\f\r]", " ")).otherwise(masked)
+    rows = sealed(rows.select("doc_id", "ka", "kb", "line_no", F.length("line").alias("chars"), F.array_remove(F.split(spaced, " "), "").alias("tokens")))
     leaf = F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(depth)])
-    return rows.select("doc_id", "ka", "kb", "line_no", "tokens", leaf.alias("leaf"), F.xxhash64(F.array_join("tokens", " ")).alias("full"))
+    return rows.select("doc_id", "ka", "kb", "line_no", "chars", "tokens", leaf.alias("leaf"), F.xxhash64("tokens").alias("full"))
 
 
 def _recurring(lines: DataFrame, by: str, min_docs: int) -> DataFrame:
@@ -49,10 +57,11 @@ def _marked(lines: DataFrame, by: str, min_docs: int) -> DataFrame:
 
 def _generalised(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, min_docs: int, depth: int, similarity: float) -> DataFrame:
     """Lines that belong to the template of their leaf, for leaves of several templates in enough texts."""
-    leaves = lines.where(F.col("n") > depth).groupBy("leaf").agg(F.min("full").alias("least"), F.max("full").alias("most"), F.count(F.lit(1)).alias("n")).where((F.col("least") != F.col("most")) & (F.col("n") >= min_docs)).select("leaf")
+    leaves = lines.where(F.col("n") > depth).groupBy("leaf").agg(F.min("full").alias("least"), F.max("full").alias("most"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("n")).where((F.col("least") != F.col("most")) & (F.col("n") >= min_docs)).select("leaf", "chars")
     # Few leaves are left, and each row of them is one long: where a count bears that out, lines are filtered as they are read.
-    leaves = broadcast_if_small(checkpointed(leaves))
-    rows = _lines(docs, id_col, text_col, depth).where(F.size("tokens") > depth).join(leaves, "leaf", "left_semi")
+    leaves = checkpointed(leaves)
+    longest = leaves.agg(F.max("chars")).first()[0] or 0
+    rows = _lines(docs, id_col, text_col, depth, longest).where(F.size("tokens") > depth).join(broadcast_if_small(leaves.select("leaf")), "leaf", "left_semi")
     places = F.transform(F.slice("tokens", F.lit(depth + 1), F.size("tokens") - depth), lambda t: F.xxhash64(t))
     rows = checkpointed(rows.select("doc_id", "ka", "kb", "line_no", "leaf", places.alias("places")))
     votes = rows.select("leaf", F.posexplode("places").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
@@ -69,7 +78,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPT
     recur. Counts are combined before each shuffle; a line in a third of all
     documents is one row from each task.
     """
-    lines = checkpointed(_lines(docs, id_col, text_col, depth).select("doc_id", "ka", "kb", "line_no", "leaf", "full", F.size("tokens").alias("n")))
+    lines = checkpointed(_lines(docs, id_col, text_col, depth).select("doc_id", "ka", "kb", "line_no", "chars", "leaf", "full", F.size("tokens").alias("n")))
     general = _generalised(docs, lines, id_col, text_col, min_docs, depth, similarity)
     marked = _marked(lines, "full", min_docs).unionAll(_marked(checkpointed(general), "leaf", min_docs))
     return marked.groupBy("ka", "kb").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
