@@ -23,6 +23,8 @@ from .common import per_batch, replace_texts, texts
 KINDS = ("assign", "access", "hex", "guess")
 #: log10 of the guesses from which on a value counts as a secret.
 MIN_GUESSES = 9.0
+#: What redaction puts in place of a secret; not one itself.
+MARK = "[SECRET]"
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -127,7 +129,7 @@ def scan(text: str, words: dict[str, int], min_guesses: float = MIN_GUESSES) ->
     low = text.lower()
     if any(s in low for s in STEMS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-        found += [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if guess_cost(m[1], words) >= min_guesses]
+        found += [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if MARK not in m[1] and guess_cost(m[1], words) >= min_guesses]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -155,7 +157,7 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(text: str | None, words: dict[str, int], mark: str = "[SECRET]", min_guesses: float = MIN_GUESSES) -> str | None:
+def redact(text: str | None, words: dict[str, int], mark: str = MARK, min_guesses: float = MIN_GUESSES) -> str | None:
     """The text with each secret (overlapping ones as one) replaced by ``mark``."""
     if not text:
         return text
