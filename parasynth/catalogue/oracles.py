@@ -494,3 +494,6 @@ SELECT event_type AS provider, 'm' || (user_id % 3) AS model, count(*) AS n, rou
 ORACLES["token_savings"] = """
 WITH s AS (SELECT role, CAST(sum(length(text)) AS BIGINT) AS v, CAST(sum(len(regexp_split_to_array(trim(text, ' '), '[ ]+'))) AS BIGINT) AS k FROM conversations GROUP BY 1)
 SELECT role, v AS verbose_tokens, k AS short_tokens, round((v - k) / v * 100, 6) AS reduction_pct FROM s"""
+
+# The same texts in markup give the same parameters.
+ORACLES["process_pages"] = ORACLES["extract_with_fallback"]

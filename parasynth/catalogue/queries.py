@@ -112,6 +112,17 @@ def extract_with_fallback(spark, sf):
     return meta.join(n, "source_id", "left").join(k, "source_id", "left").select("source_id", "extraction_method", "n_variables", "n_correlations")
 
 
+@query
+def process_pages(spark, sf):
+    lines = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "\n")
+    page = F.concat(F.lit("<html><head><title>mean 1 std 2</title></head><body><nav>menu</nav>"), lines, F.lit("<script>mean = 3</script></body></html>"))
+    pages = inputs.part_texts(spark, sf).select("source_id", page.alias("html"))
+    v, c, meta = extract.process_pages(pages, inputs.part_replies(spark, sf), "2026-01-01 00:00:00")
+    n = v.groupBy("source_id").agg(F.count(F.lit(1)).alias("n_variables"))
+    k = c.groupBy("source_id").agg(F.count(F.lit(1)).alias("n_correlations"))
+    return meta.join(n, "source_id", "left").join(k, "source_id", "left").select("source_id", "extraction_method", "n_variables", "n_correlations")
+
+
 @query
 def normalize_parameters(spark, sf):
     c = table(spark, sf, "customer")

@@ -26,6 +26,7 @@ from ..schemas import (
     valid_correlation,
 )
 from ..session import cut_lineage, sealed, spread
+from . import clean
 
 VARIABLE_ARRAY = f"array<struct<{VARIABLE_FIELDS.replace(' ', ':').replace(',:', ',')}>>"
 CORRELATION_ARRAY = f"array<struct<{CORRELATION_FIELDS.replace(' ', ':').replace(',:', ',')}>>"
@@ -356,3 +357,8 @@ def score_extraction(variables: DataFrame, truth: DataFrame) -> DataFrame:
         F.try_divide("s.mean_err", "s.matched").alias("mean_rel_err"),
         F.try_divide("s.std_err", "s.matched").alias("std_rel_err"),
     )
+
+
+def process_pages(pages: DataFrame, responses: DataFrame | None = None, extracted_at: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw pages (source_id, html) to parameters: visible text, then the reply or the patterns."""
+    return extract_parameters(clean.html_to_text(pages).select("source_id", "text"), responses, extracted_at)

@@ -176,9 +176,40 @@ def vector_correlations(vectors: DataFrame, k: int) -> DataFrame:
         sized = flat.groupBy("source_id").agg(*[correlation(F.col(f"x{i}"), F.col(f"x{j}")).alias(f"r{i}_{j}") for i, j in pairs])
         rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs])
         return sized.select("source_id", F.explode(rows).alias("p")).select("source_id", "p.*")
-    first = vectors.select("source_id", "x", F.posexplode("x").alias("i", "a"))
-    both = first.select("source_id", "i", "a", F.posexplode("x").alias("j", "b")).filter(F.col("i") < F.col("j"))
-    return both.groupBy("source_id", "i", "j").agg(correlation(F.col("a"), F.col("b")).alias("r"))
+    # Shifted by the mean, so that sums of squares keep their digits.
+    means = vectors.select("source_id", F.posexplode("x").alias("i", "a")).groupBy("source_id", "i").agg(F.avg("a").alias("m"))
+    means = means.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", F.lit(0.0)).alias("m")))).alias("ms"))
+    near = vectors.join(broadcast_if_small(means, 10_000), "source_id").select(
+        "source_id", F.zip_with("x", "ms", lambda a, m: a - m["m"]).alias("x")
+    )
+    moments = near.mapInArrow(_pair_moments, "source_id string, i int, j int, n double, a double, b double, aa double, bb double, ab double")
+    total = moments.groupBy("source_id", "i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
+    n = F.col("n")
+    spread = F.sqrt((n * F.col("aa") - F.col("a") * F.col("a")) * (n * F.col("bb") - F.col("b") * F.col("b")))
+    r = F.when(spread > 0, (n * F.col("ab") - F.col("a") * F.col("b")) / spread)
+    return total.select("source_id", "i", "j", F.coalesce(r, F.lit(0.0)).alias("r"))
+
+
+def _pair_moments(batches):
+    """Per batch and source: counts, sums and products of every pair of positions, over rows that have both."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        by_source = {}
+        for source, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            by_source.setdefault(source, []).append([np.nan if e is None else e for e in values])
+        for source, rows in by_source.items():
+            own = np.array(rows)
+            there = ~np.isnan(own)
+            own, there = np.where(there, own, 0.0), there.astype(float)
+            n, s, q, p = there.T @ there, own.T @ there, (own**2).T @ there, own.T @ own
+            i, j = np.triu_indices(own.shape[1], 1)
+            columns = [pa.array([source] * len(i), pa.string()), pa.array(i, pa.int32()), pa.array(j, pa.int32())]
+            columns += [pa.array(m) for m in (n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], p[i, j])]
+            yield pa.RecordBatch.from_arrays(columns, ["source_id", "i", "j", "n", "a", "b", "aa", "bb", "ab"])
 
 
 def correlation_similarity(vectors: DataFrame, variables: DataFrame, correlations: DataFrame) -> DataFrame:

@@ -90,3 +90,19 @@ def test_writers_and_readers(spark, tmp_path):
     (tmp_path / "x.csv").write_text("1,2.5\n2,3.5\n")
     features = files.read_headerless_csv(spark, str(tmp_path / "x.csv"), "id int, f double")
     assert files.with_targets(features, spark.createDataFrame([(1, "y")], "id int, target string"), "id").collect() == [(1, 2.5, "y")]
+
+
+@pytest.mark.parametrize("k", [12, 40])
+def test_correlations_of_many_variables(spark, k):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, k)) + 1000.0
+    x[:, 1] = x[:, 0] * 0.5 + x[:, 1]
+    x[:, 2] = 7.0
+    rows = [("s", [None if (r, c) in {(3, 0), (9, 5)} else float(x[r, c]) for c in range(k)]) for r in range(400)]
+    got = {(r.i, r.j): r.r for r in validate.vector_correlations(spark.createDataFrame(rows, "source_id string, x array<double>"), k).collect()}
+    assert len(got) == k * (k - 1) // 2 and got[0, 2] == 0.0
+    seen = np.delete(x, 3, axis=0)
+    assert got[0, 1] == pytest.approx(np.corrcoef(seen[:, 0], seen[:, 1])[0, 1], abs=1e-9)
+    assert got[3, 4] == pytest.approx(np.corrcoef(x[:, 3], x[:, 4])[0, 1], abs=1e-9)
