@@ -132,19 +132,19 @@ def _keys(grams: list[str], n: int) -> np.ndarray:
 class Shard:
     """Sorted keys and values of the entries of one shard."""
 
-    def __init__(self, rows: list, order: int, number: int, of: int):
+    def __init__(self, entries: pa.Table, order: int, number: int, of: int):
         self.order, self.number, self.of = order, number, of
-        self.unknown = {r["lang"]: r["logp"] for r in rows if r["n"] == 0}
-        kinds: dict[tuple, list] = {}
-        for r in rows:
+        self.unknown, self.tables = {}, {}
+        for (lang, n), part in entries.to_pandas().groupby(["lang", "n"]):
+            if not n:
+                self.unknown[lang] = float(part["logp"].iloc[0])
+                continue
             for what in ("logp", "logw"):
-                if r["n"] and r[what] is not None:
-                    kinds.setdefault((r["lang"], what, r["n"]), []).append((r["g"], r[what]))
-        self.tables = {}
-        for (lang, what, n), entries in kinds.items():
-            keys = _keys([g for g, _ in entries], n)
-            by = np.argsort(keys)
-            self.tables[lang, what, n] = keys[by], np.array([v for _, v in entries])[by]
+                own = part[part[what].notna()]
+                if len(own):
+                    keys = _keys(own["g"].tolist(), n)
+                    by = np.argsort(keys)
+                    self.tables[lang, what, n] = keys[by], own[what].to_numpy()[by]
 
     def _find(self, kind: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if kind not in self.tables:
@@ -189,7 +189,7 @@ def log_probabilities(docs: DataFrame, model: DataFrame, order: int = ORDER, mos
     for number in range(shards):
         home = F.coalesce(context, before)
         own = model if shards == 1 else model.where(home.isNull() | (F.pmod(home + 1, F.lit(shards)) == number))
-        shard = docs.sparkSession.sparkContext.broadcast(Shard(own.collect(), order, number, shards))
+        shard = docs.sparkSession.sparkContext.broadcast(Shard(own.toArrow(), order, number, shards))
 
         def work(batch: pa.RecordBatch, shard=shard) -> dict:
             made = [shard.value.score(lang, text) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
