@@ -98,7 +98,15 @@ def _packed(docs: DataFrame, length: int) -> DataFrame:
     rows = docs.where(F.octet_length("text") >= length).select("ka", "kb", "text")
     made = per_batch(rows, work, "ka long, kb long, body binary")
     made = made.repartition(partitions(docs), "ka", "kb")
-    return checkpointed(made.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("copies"), F.first("body").alias("body")))
+    made = made.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("copies"), F.first("body").alias("body"))
+    # A plan that may still change has no known partitioning. Fixed, it keeps its own, and later joins don't move the texts.
+    conf = docs.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return checkpointed(made)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def _anchor_rows(bodies: DataFrame, length: int, window: int) -> DataFrame:
@@ -152,8 +160,11 @@ def repeated_starts(bodies: DataFrame, length: int, window: int) -> DataFrame:
     groups = rows.groupBy("dh").agg(F.sum("copies").alias("n")).where("n > 1").select("dh")
     left = checkpointed(rows.join(groups, "dh"))
     reaches = left.groupBy("dh", "eh").agg(F.sum("copies").alias("n"), F.min(F.struct("ka", "kb", "lo")).alias("one"))
-    mixed = reaches.groupBy("dh").agg((F.min("n") == 1).alias("mixed"))
-    sorted_out = left.join(reaches, ["dh", "eh"]).join(mixed, "dh")
+    # Written down, so that a group with most of the rows is a join that Spark can split.
+    reaches = checkpointed(reaches)
+    mixed = checkpointed(reaches.groupBy("dh").agg(F.min("n").alias("least")).where("least = 1").select("dh", F.lit(True).alias("mixed")))
+    reaches = reaches.join(mixed, "dh", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
+    sorted_out = left.join(reaches, ["dh", "eh"])
     chosen = (F.col("one.ka") == F.col("ka")) & (F.col("one.kb") == F.col("kb")) & (F.col("one.lo") == F.col("lo"))
     sorted_out = checkpointed(sorted_out.select("ka", "kb", "lo", "hi", (F.col("n") == 1).alias("single"), (F.col("mixed") & ((F.col("n") == 1) | chosen)).alias("wanted")))
     windows = _window_rows(bodies, sorted_out.where("wanted"), length)
