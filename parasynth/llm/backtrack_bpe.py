@@ -25,7 +25,7 @@ from .bin_slack import JOINT
 from .common import per_batch, texts
 
 #: Entries that a worker keeps of each kind before it starts anew.
-KEPT = 400_000
+KEPT = 300_000
 
 
 def merged(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:

@@ -27,7 +27,7 @@ CAPACITY, END = 1024, 2
 #: Pieces per salt of a length, on average, when ranks are taken.
 SALTED = 20_000
 #: Cached encodings in a worker.
-CACHE = 400_000
+CACHE = 200_000
 #: Spaces after a visible character: no token of the vocabulary's pattern reaches across one.
 JOINT = re.compile(r"(?<=\S) ")
 

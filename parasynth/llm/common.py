@@ -48,7 +48,7 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     rows = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
