@@ -118,36 +118,17 @@ class Chains:
         ok[ok] = np.bitwise_count(x[ok]) <= self.max_bits
         return ok
 
-    def from_any(self, x: np.ndarray) -> np.ndarray:
-        """The same for pairs that met otherwise: some segment must start a chain within its shares."""
-        m = len(self.masks)
-        counts = np.stack([np.bitwise_count(x & mask) for mask in self.masks]).astype(np.int16)
-        some = np.zeros(x.shape, bool)
-        for start in range(m):
-            total, ok = np.zeros(x.shape, np.int16), np.ones(x.shape, bool)
-            for j in range(m - 1):
-                total += counts[(start + j) % m]
-                ok &= total <= self.share[j]
-                if not ok.any():
-                    break
-            some |= ok
-        some[some] = np.bitwise_count(x[some]) <= self.max_bits
-        return some
-
 
 def _by_chain(max_bits: int) -> Callable:
     test = Chains(max_bits)
     return lambda rows, i, j: test.from_start(rows["node"][i].view(np.uint64) ^ rows["node"][j].view(np.uint64), ((rows["key"][i] >> 56) >> 1).astype(np.int64))
 
 
-def _by_sketch(max_bits: int, similarity: float) -> Callable:
-    test = Chains(max_bits)
-
+def _by_sketch(similarity: float) -> Callable:
     def linked(rows: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        ok = test.from_any(rows["fp"][i].view(np.uint64) ^ rows["fp"][j].view(np.uint64))
-        some = np.flatnonzero(ok)
-        for at in range(0, len(some), 1 << 14):
-            part = some[at : at + (1 << 14)]
+        ok = np.zeros(len(i), bool)
+        for at in range(0, len(i), 1 << 14):
+            part = slice(at, at + (1 << 14))
             ok[part] = (rows["sketch"][i[part]] == rows["sketch"][j[part]]).mean(axis=1) >= similarity
         return ok
 
@@ -285,33 +266,31 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
     return prints.join(labelled, "fp").select("doc_id", "ka", "kb", hexed.alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, max_bits: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``ka``, ``kb`` and ``component`` (of texts): near-duplicates by likeness of their shingle sets.
 
     At a likeness of 0.8 fingerprints differ in some ten bits, too many for keys
     cut from the fingerprint. Texts meet under PAIRS keys of two sketch minima
     each instead (a pair of likeness 0.8 misses all of them once in 25,000
-    times). The chains of the ring, with ``max_bits`` (99 of 100 pairs of
-    likeness 0.8 are within 16), prune what met; the share of equal minima, 256
-    of them, then decides. Texts without a word are all alike.
+    times); the share of equal minima, 256 of them, then decides. The fingerprint
+    has no say: it counts repeated shingles, likeness doesn't. Texts without a word are all alike.
     """
 
     def work(batch: pa.RecordBatch) -> dict:
-        prints, minima, keys = [], [], []
+        minima, keys = [], []
         for t in batch.column(1).to_pylist():
             hashes = shingle_hashes(t, shingle_words)
             s = sketch(hashes)
-            prints.append(majority_bits(hashes))
             minima.append(s.astype(np.uint16).tobytes())
             picked = s[:: SKETCH // (2 * PAIRS)][: 2 * PAIRS].reshape(PAIRS, 2)
             keys.append((picked[:, 0] * np.uint64(0x9E3779B97F4A7C15) + picked[:, 1] + np.arange(PAIRS, dtype=np.uint64)).view(np.int64).tolist())
-        return {"doc_id": batch.column(0), "ka": batch.column(2), "kb": batch.column(3), "fp": np.array(prints, np.uint64).view(np.int64), "sketch": pa.array(minima, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))}
+        return {"doc_id": batch.column(0), "ka": batch.column(2), "kb": batch.column(3), "sketch": pa.array(minima, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))}
 
-    made = per_batch(_keyed(docs, id_col, text_col), work, "doc_id long, ka long, kb long, fp long, sketch binary, keys array<long>")
+    made = per_batch(_keyed(docs, id_col, text_col), work, "doc_id long, ka long, kb long, sketch binary, keys array<long>")
     made = checkpointed(made)
-    values = made.groupBy(F.col("ka").alias("node")).agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
+    values = made.groupBy(F.col("ka").alias("node")).agg(F.first("sketch").alias("sketch"))
     keys = made.select(F.col("ka").alias("node"), F.explode("keys").alias("key")).distinct()
-    found = components(_met(keys, _by_sketch(max_bits, similarity), values), "a", "b")
+    found = components(_met(keys, _by_sketch(similarity), values), "a", "b")
     return made.select("doc_id", "ka", "kb").join(found.withColumnRenamed("node", "ka"), "ka", "left").select("doc_id", "ka", "kb", F.coalesce("component", "ka").alias("component"))
 
 

@@ -125,6 +125,14 @@ def test_drop_near_duplicates(spark, odd, none):
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
+def test_repeated_shingles_hide_no_copy(spark):
+    rows = []
+    for g in range(20):
+        words = [f"g{g}w{i}" for i in range(300)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words + words[:20] * 30))]
+    assert len({r.component for r in simhash.similar_groups(docs_of(spark, rows)).collect()}) == 20
+
+
 # --- licences ---------------------------------------------------------------------------
 
 
