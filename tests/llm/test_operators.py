@@ -133,6 +133,38 @@ def test_repeated_shingles_hide_no_copy(spark):
     assert len({r.component for r in simhash.similar_groups(docs_of(spark, rows)).collect()}) == 20
 
 
+def jaccard_components(rows, least):
+    words = {i: t.lower().split() for i, t in rows}
+    sets = {i: {" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, w in words.items()}
+    label, changed = {i: i for i in sets}, True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if label[b] < label[a] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least:
+                    label[a], changed = label[b], True
+    return label
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_exact_likeness_decides(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rnd = random.Random(21)
+    rows = []
+    for g in range(60):  # of 50 or 100 shingles: one cut end each, likeness just above, at or below 0.8
+        n = rnd.choice((50, 100))
+        words = [f"g{g}w{i}" for i in range(n + 4)]
+        cut = n // 5 + rnd.choice((-2, -1, 0, 1, 2))
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[: len(words) - cut]))]
+    chain = [f"c{i}" for i in range(104)]
+    rows += [(1000 + k, " ".join(chain[5 * k : 5 * k + 64])) for k in range(9)]
+    got = {r.doc_id: r.component for r in simhash.similar_groups(docs_of(spark, rows)).collect()}
+    first = {}
+    for i in sorted(got):
+        first.setdefault(got[i], i)
+    assert {i: first[c] for i, c in got.items()} == jaccard_components(rows, 0.8)
+
+
 # --- licences ---------------------------------------------------------------------------
 
 
