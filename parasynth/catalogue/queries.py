@@ -327,7 +327,7 @@ def synth_gamma(spark, sf):
 @query
 def synth_by_source(spark, sf):
     v, c = inputs.supplier_profile(spark, sf)
-    x = synthesize.long_form(synthesize.synthesize_many(v, c, 600), v)
+    x = synthesize.long_form(synthesize.synthesize_many(v, c), v)
     return x.groupBy("source_id", "name").agg(F.count(F.lit(1)).alias("n"), F.avg("num_value").alias("mean"), F.count_distinct("str_value").alias("labels"))
 
 
@@ -461,7 +461,7 @@ def optimization_loop(spark, sf):
 @query
 def noise_grid(spark, sf):
     v, c, _ = inputs.merged_by_nation(spark, sf)
-    grid = optimize.noise_grid(v, c, (0, 1, 2), 2, 1000)
+    grid = optimize.noise_grid(v, c)
     return grid.groupBy("iterations").agg(F.avg("score").alias("mean"), F.stddev_samp("score").alias("std"), F.count(F.lit(1)).alias("count"))
 
 
@@ -584,4 +584,4 @@ def _quality_spec(spark, sf):
 
 @query
 def tstr_metrics(spark, sf):
-    return benchmark.tstr(_quality_spec(spark, sf), n_seeds=1, iterations=1)
+    return benchmark.tstr(_quality_spec(spark, sf))
