@@ -3,28 +3,30 @@
 The model is one of characters, per language, trained on trusted (labelled
 good) documents. Counts of the highest order are raw, those of lower orders
 count left extensions; discounts per order, context sums and probabilities come
-from joins of the count tables, lowest order first. The tables are sharded by
-the character before the predicted one, so all orders of a prediction lie in
-one shard; every shard has a bounded number of entries and is sent to the tasks
-by itself, and a text's sums over the shards are added up. A document stays if
-its perplexity is within a quantile of those of trusted documents of its language that the
+from joins of the count tables, lowest order first. Texts are dealt into blocks
+of bounded size per language; the distinct n-grams of each block are joined
+with the tables, and the block's texts add up what comes back, so no part of
+the model passes through the driver. A document stays if its perplexity is within a quantile of those of trusted documents of its language that the
 model has not seen.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, per_batch, text_key
+from ..session import broadcast_if_small
+from .common import checkpointed, partitions, per_batch, text_key
 
 ORDER = 5
-#: Bounds of the fit: trusted documents per language (those of least hash), entries of a shard.
-TRUSTED, SHARD = 1_000, 3_000_000
+#: Characters of a block of texts whose distinct n-grams are looked up together.
+BLOCK_CHARS = 8_000_000
 #: Documents beyond this quantile of trusted ones go; a text counts as this many more characters at its language's mean.
 QUANTILE, PRIOR = 0.999, 200
 PAD = "\x02"
@@ -62,7 +64,7 @@ def _discounted(grams: DataFrame, n: int) -> DataFrame:
         value = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         return F.when((value > 0) & (value < k), value).otherwise(F.lit(k / 2)).alias(f"d{k}")
 
-    grams = grams.join(stats.select("lang", *[discount(k) for k in (1, 2, 3)]), "lang").withColumn("h", F.substring("g", 1, n - 1))
+    grams = grams.join(broadcast_if_small(stats.select("lang", *[discount(k) for k in (1, 2, 3)])), "lang").withColumn("h", F.substring("g", 1, n - 1))
     off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     contexts = grams.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum(off).alias("taken"))
     return grams.join(contexts, ["lang", "h"]).select("lang", "g", "h", ((F.col("c") - off) / F.col("total")).alias("share"), (F.col("taken") / F.col("total")).alias("gamma"))
@@ -77,7 +79,7 @@ def _held_out() -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)) == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, trusted: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang``, ``n``, ``g``, ``logp``, ``logw``: log probability of each n-gram of order ``n`` and log weight of ``g`` as a context.
 
     Either may be null. The row of order 0 has the log probability of unknown
@@ -85,10 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, trusted: int =
     """
     good = _trusted(labels).where(~_held_out())
     rows = _rows(docs, id_col, text_col, lang_col).join(good, "doc_id", "left_semi").where(F.length("text") > 0)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "ka", "kb"))
-    picked = rows.select("lang", "doc_id", "ka", "kb").withColumn("nth", nth).where(F.col("nth") <= trusted)
-    sample = rows.join(picked.select("doc_id", "lang", "ka", "kb").distinct(), ["doc_id", "lang", "ka", "kb"], "left_semi")
-    tables = {order: checkpointed(_counts(sample, order))}
+    tables = {order: checkpointed(_counts(rows, order))}
     for n in range(order - 1, 0, -1):
         tables[n] = tables[n + 1].groupBy("lang", F.substring("g", 2, n).alias("g")).agg(F.count(F.lit(1)).alias("c"))
     alphabet = tables[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("v"))
@@ -130,7 +129,7 @@ def _keys(grams: list[str], n: int) -> np.ndarray:
 
 
 class Shard:
-    """Sorted keys and values of the entries of one shard."""
+    """Sorted keys and values of the entries of one shard: scores in memory what log_probabilities scores by joins."""
 
     def __init__(self, entries: pa.Table, order: int, number: int, of: int):
         self.order, self.number, self.of = order, number, of
@@ -179,33 +178,90 @@ class Shard:
         return total + len(place) * self.unknown[lang]
 
 
-def log_probabilities(docs: DataFrame, model: DataFrame, order: int = ORDER, most: int = SHARD, **columns) -> DataFrame:
-    """``doc_id``, ``lang``, ``n_chars``, ``logp`` (null where the model lacks the language), one row per row of ``docs``."""
+def _text_keys(text: str, order: int) -> np.ndarray:
+    """Keys of the n-grams of highest order that end at each character."""
+    points = _points(PAD * (order - 1) + text)
+    key = np.zeros(len(text), np.uint64)
+    for i in range(order):
+        key = _fold(key, points[i : i + len(text)])
+    return key
+
+
+def _distinct_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block: the distinct n-grams of each block."""
+
+    def made(block: int, lang: str, known: dict[int, str]) -> pa.RecordBatch:
+        n = len(known)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int64)), pa.array([lang] * n, pa.string()), pa.array(list(known.values()), pa.string())], ["block", "lang", "g"])
+
+    now, known = None, {}
+    for batch in batches:
+        for block, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if now != (block, lang):
+                if known:
+                    yield made(*now, known)
+                now, known = (block, lang), {}
+            keys, at = np.unique(_text_keys(text, order), return_index=True)
+            padded = PAD * (order - 1) + text
+            for key, i in zip(keys.tolist(), at.tolist()):
+                if key not in known:
+                    known[key] = padded[i : i + order]
+    if known:
+        yield made(*now, known)
+
+
+def _looked_up(need: DataFrame, model: DataFrame, n: int) -> DataFrame:
+    """``lang``, ``g``, ``logp`` of distinct n-grams of order ``n``; those the model lacks go on to the next lower order."""
+    if not n:
+        return need.join(model.where("n = 0").select("lang", "logp"), "lang")
+    own = model.where((F.col("n") == n) & F.col("logp").isNotNull()).select("lang", "g", "logp")
+    found = checkpointed(need.join(own, ["lang", "g"], "left"))
+    rest = found.where("logp IS NULL").select("lang", "g", F.substring("g", 1, n - 1).alias("h"), F.substring("g", 2, n - 1).alias("tail"))
+    lower = _looked_up(rest.select("lang", F.col("tail").alias("g")).distinct(), model, n - 1)
+    weights = model.where((F.col("n") == n - 1) & (F.col("n") > 0) & F.col("logw").isNotNull()).select("lang", F.col("g").alias("h"), "logw")
+    rest = rest.join(weights, ["lang", "h"], "left").join(lower.withColumnRenamed("g", "tail"), ["lang", "tail"])
+    return found.where("logp IS NOT NULL").unionAll(rest.select("lang", "g", F.coalesce("logw", F.lit(0.0)) + F.col("logp")))
+
+
+def log_probabilities(docs: DataFrame, model: DataFrame, order: int = ORDER, most: int = BLOCK_CHARS, **columns) -> DataFrame:
+    """``doc_id``, ``lang``, ``n_chars``, ``logp`` (null where the model lacks the language), one row per row of ``docs``.
+
+    ``most`` is the number of characters of a block, on average.
+    """
     model = checkpointed(model)
-    shards = -(-model.count() // most) or 1
-    before = F.when(F.col("n") < 2, F.lit(None)).otherwise(F.ascii(F.substring(F.col("g"), -2, 1)))
-    rows, context = _rows(docs, **columns), F.when(F.col("logw").isNotNull() & (F.col("n") > 0), F.ascii(F.substring(F.col("g"), -1, 1)))
-    sums = []
-    for number in range(shards):
-        home = F.coalesce(context, before)
-        own = model if shards == 1 else model.where(home.isNull() | (F.pmod(home + 1, F.lit(shards)) == number))
-        shard = docs.sparkSession.sparkContext.broadcast(Shard(own.toArrow(), order, number, shards))
-
-        def work(batch: pa.RecordBatch, shard=shard) -> dict:
-            made = [shard.value.score(lang, text) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            return {"lang": batch.column(0), "ka": batch.column(2), "kb": batch.column(3), "logp": made}
-
-        sums.append(per_batch(rows.select("lang", "text", "ka", "kb"), work, "lang string, ka long, kb long, logp double").groupBy("lang", "ka", "kb").agg(F.max("logp").alias("logp")))
-    total = sums[0]
-    for part in sums[1:]:
-        total = total.unionAll(part)
-    total = total.groupBy("lang", "ka", "kb").agg(F.sum("logp").alias("logp")) if shards > 1 else total
+    rows = _rows(docs, **columns).withColumn("n_chars", F.length("text").cast("long"))
     known = model.where("n = 0").select("lang", F.lit(True).alias("known"))
-    base = rows.select("doc_id", "lang", "ka", "kb", F.length("text").cast("long").alias("n_chars"))
-    return base.join(total, ["lang", "ka", "kb"]).join(known, "lang", "left").select("doc_id", "lang", "n_chars", F.when(F.col("known"), F.col("logp")).alias("logp"))
+    blocks = rows.groupBy("lang").agg(F.ceil(F.greatest(F.sum("n_chars"), F.lit(1)) / F.lit(most)).cast("long").alias("blocks")).join(known, "lang", "left")
+    rows = rows.join(broadcast_if_small(checkpointed(blocks)), "lang")
+    block = F.xxhash64("lang", F.pmod(F.xxhash64("doc_id", "ka", "kb"), F.col("blocks")))
+    rows = rows.select(block.alias("block"), "lang", "text", "doc_id", "n_chars", "known")
+    dealt = rows.where("known AND n_chars > 0").select("block", "lang", "text").repartition(partitions(docs), "block").sortWithinPartitions("block", "lang")
+    grams = dealt.mapInArrow(lambda batches: _distinct_grams(batches, order), "block long, lang string, g string")
+    scores = checkpointed(_looked_up(grams.select("lang", "g").distinct(), model, order))
+    back = grams.join(scores, ["lang", "g"]).select("block", "lang", "g", "logp")
+
+    def summed(texts: pa.Table, scored: pa.Table) -> pa.Table:
+        of = {}
+        for lang in scored.column("lang").unique().to_pylist():
+            own = scored.filter(pa.compute.equal(scored.column("lang"), lang))
+            keys = _keys(own.column("g").to_pylist(), order)
+            by = np.argsort(keys)
+            of[lang] = keys[by], own.column("logp").to_numpy()[by]
+        sums = []
+        for lang, text in zip(texts.column("lang").to_pylist(), texts.column("text").to_pylist()):
+            if lang not in of:
+                sums.append(0.0)
+                continue
+            keys, values = of[lang]
+            sums.append(float(values[np.searchsorted(keys, _text_keys(text, order))].sum()))
+        known = texts.column("known").to_pylist()
+        logp = pa.array([x if k else None for x, k in zip(sums, known)], pa.float64())
+        return pa.table({"doc_id": texts.column("doc_id"), "lang": texts.column("lang"), "n_chars": texts.column("n_chars"), "logp": logp})
+
+    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(summed, "doc_id long, lang string, n_chars long, logp double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, trusted: int = TRUSTED, quantile: float = QUANTILE, prior: int = PRIOR, **columns) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, prior: int = PRIOR, **columns) -> DataFrame:
     """``doc_id``, ``lang``, ``n_chars``, ``perplexity``, ``threshold``, ``kept``, one row per row of ``docs``.
 
     The perplexity is per character, drawn towards the language's mean by
@@ -215,7 +271,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, trusted: in
     Repeated rows are judged alike, and an empty table gives no rows.
     """
     columns = {"id_col": "doc_id", "text_col": "text", "lang_col": "lang"} | columns
-    scored = checkpointed(log_probabilities(docs, train(docs, labels, order, trusted, **columns), order, **columns))
+    scored = checkpointed(log_probabilities(docs, train(docs, labels, order, **columns), order, **columns))
     good = _trusted(labels).where(_held_out())
     held = scored.where("n_chars > 0 AND logp IS NOT NULL").join(good, "doc_id", "left_semi")
     means = checkpointed(held.groupBy("lang").agg((-F.sum("logp") / F.sum("n_chars")).alias("mean")))

@@ -373,6 +373,17 @@ def test_kneser_ney(spark, odd, labels, none):
     assert kneser_ney.classify(odd, labels).count() == 9 and kneser_ney.classify(none, labels).count() == 0
 
 
+def test_kneser_ney_trains_on_all_trusted(spark):
+    rows = [(i, f"{chr(0x4E00 + i)} some words", "en") for i in range(2600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = kneser_ney.train(frame, spark.range(2600).selectExpr("id AS doc_id", "1 AS quality"))
+    letters = {r.g for r in table.where("n = 1 AND logp IS NOT NULL").collect()}
+    assert sum(c >= chr(0x4E00) for c in letters) > 1200
+    shard = kneser_ney.Shard(table.toArrow(), 5, 0, 1)
+    got = kneser_ney.log_probabilities(frame, table, most=9_000, id_col="doc_id", text_col="text", lang_col="lang").collect()
+    assert len(got) == 2600 and all(r.logp == pytest.approx(shard.score("en", rows[r.doc_id][1])) for r in got)
+
+
 # --- packing ---------------------------------------------------------------------------------------
 
 
