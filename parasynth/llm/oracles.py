@@ -91,3 +91,18 @@ def licenses(templates: list[tuple[str, str]], least: float) -> str:
     g AS (SELECT doc_id, max(top) AS best, list_sort(list(DISTINCT top.n)) AS names, count(*) AS n FROM m GROUP BY doc_id)
     SELECT d.doc_id, best.n AS license, round(best.d, 6) AS dice, coalesce(array_to_string(names, ','), '') AS licenses, coalesce(n, 0) AS n_units
     FROM documents d LEFT JOIN g USING (doc_id)"""
+
+
+def warc() -> str:
+    """Digests as base32 of the hexadecimal SHA-1, five bits at a time."""
+    return """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS s FROM p),
+    b AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+              substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(s, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest
+          FROM d),
+    k AS (SELECT s, max(page_id) AS keeper FROM d GROUP BY s)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN keeper IS NULL OR page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN keeper IS NULL OR page_id = keeper THEN NULL ELSE keeper END AS refers_to
+    FROM b JOIN k USING (s)"""

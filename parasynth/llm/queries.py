@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
-from . import backtrack_bpe, bin_slack, kneser_ney, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash
+from ..session import checkpoint_folder, table
+from . import backtrack_bpe, bin_slack, kneser_ney, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash, warc
 
 #: Tokenizer file, ranks of the same vocabulary, pattern of its pieces.
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -96,3 +98,14 @@ def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Perplexity of every document under a model of trusted text, and the verdict per language."""
     return kneser_ney.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a record of archives written to the shared folder, read back from them."""
+    folder = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op11_warc"] = oracles.warc()
