@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_folder, table
-from . import backtrack_bpe, bin_slack, kneser_ney, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash, warc
+from . import alignment, backtrack_bpe, bin_slack, kneser_ney, licenses, line_templates, oracles, order_minhash, quality_rules, repeats, secrets, simhash, variants, warc
 
 #: Tokenizer file, ranks of the same vocabulary, pattern of its pieces.
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -109,3 +109,15 @@ def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op11_warc"] = oracles.warc()
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document, and how common its links are in the corpus."""
+    return alignment.align(table(spark, sf, "documents"), TOKENIZER[0], public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of the corpus with its commoner near word and the last of the forms that follow."""
+    return variants.group_variants(table(spark, sf, "documents"))
