@@ -34,16 +34,19 @@ from ..session import checkpoint_folder
 from .common import checkpointed, slices
 
 #: Bytes of texts of a block, segments and their bytes kept in a worker, segments encoded together.
-BLOCK, CACHE, CACHE_BYTES, TOGETHER = 8 << 20, 300_000, 64 << 20, 10_000
+BLOCK, CACHE, CACHE_BYTES, TOGETHER = 2 << 20, 150_000, 16 << 20, 10_000
 #: Links of a group up to which its pairs are listed one by one; in larger ones distinct tokens are paired.
 PLAIN = 4_096
 #: Characters that either side may take for white space.
 BLANK = r"\s\u180e\u200b\ufeff"
 SEGMENT = re.compile(rf"(?<=[^{BLANK}]) (?=[^{BLANK}])")
-ENDS_BLANK = re.compile(rf"(?:[{BLANK}]|^)\Z")
 LOWER = "\u2581"
 
 
+def ends_blank(segment: str) -> bool:
+    return segment[-1:].isspace() or segment[-1:] in "\u180e\u200b\ufeff"  # an empty one as well
+
+
 def coalesced(a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of the group of each token, given the lengths of the tokens of two ways to cut the same bytes."""
     size = np.concatenate([a_size, b_size])
@@ -102,32 +105,39 @@ class Aligner:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
-    def _all_encoded(self, new: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Like _encoded for each segment. Those that end in a visible character are joined, as tokens end where they do."""
-        apart = [i for i, s in enumerate(new) if ENDS_BLANK.search(s)]
-        out: list = [None] * len(new)
-        joined = sorted(set(range(len(new))).difference(apart))
+    def _all_encoded(self, new: list[str]) -> tuple[list[str], np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """The segments in another order, which can't be aligned, and the ids and numbers of ids of both sides.
+
+        Segments that end in a visible character are joined, as tokens end where they do.
+        """
+        order, bad, ids, numbers = [], [], ([], []), ([], [])
+        apart = [s for s in new if ends_blank(s)]
+        joined = [s for s in new if not ends_blank(s)]
         for at in range(0, len(joined), TOGETHER):
             some = joined[at : at + TOGETHER]
-            both = self._encoded(" ".join(new[i] for i in some))
+            both = self._encoded(" ".join(some))
             if both is None:
                 apart += some
                 continue
-            ends = np.cumsum([len(new[i].encode()) + 1 for i in some])
-            cuts = [np.searchsorted(np.cumsum(size[ids]), ends) + 1 for size, ids in zip((self.a_size, self.b_size), both)]
-            for i, a, b in zip(some, np.split(both[0], cuts[0][:-1]), np.split(both[1], cuts[1][:-1])):
-                out[i] = a, b
-        for i in apart:
-            out[i] = self._encoded(new[i])
-        return out
+            ends = np.cumsum(np.fromiter((len(s) + 1 if s.isascii() else len(s.encode()) + 1 for s in some), np.int64, len(some)))
+            for side, size in enumerate((self.a_size, self.b_size)):
+                cuts = np.searchsorted(np.cumsum(size[both[side]]), ends) + 1
+                ids[side].append(both[side])
+                numbers[side].append(np.diff(cuts, prepend=0))
+            order += some
+            bad += [0] * len(some)
+        for s in apart:
+            both = self._encoded(s)
+            order.append(s)
+            bad.append(int(both is None))
+            for side in (0, 1):
+                ids[side].append(np.zeros(0, np.int64) if both is None else both[side])
+                numbers[side].append(np.array([len(ids[side][-1])]))
+        return order, np.array(bad), [np.concatenate(x) for x in ids], [np.concatenate(x) for x in numbers]
 
     def _learn(self, new: list[str]) -> None:
         none = np.zeros(0, np.int64)
-        both = self._all_encoded(new)
-        bad = np.array([x is None for x in both], np.int64)
-        parts = [x or (none, none) for x in both]
-        n_a, n_b = (np.array([len(x[side]) for x in parts], np.int64) for side in (0, 1))
-        a, b = (np.concatenate([none, *(x[side] for x in parts)]) for side in (0, 1))
+        new, bad, (a, b), (n_a, n_b) = self._all_encoded(new)
         a_group, b_group = coalesced(self.a_size[a], self.b_size[b])
         groups = int(a_group[-1]) + 1 if len(a) else 0
         a_of, b_of = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
@@ -153,12 +163,14 @@ class Aligner:
         fresh = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1]))) if len(code) else none
         count = np.add.reduceat(count, fresh) if len(fresh) else none
         a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        said: list[list[str]] = [[] for _ in new]
-        for s, i, n, j, m in zip(*(x.tolist() for x in (segment, a_first, a_of, b_first, b_of))):
-            said[s].append(f"{a_text[i] if n == 1 else ','.join(a_text[i : i + n])}|{b_text[j] if m == 1 else ','.join(b_text[j : j + m])}")
+        said = [
+            f"{a_text[i] if n == 1 else ','.join(a_text[i : i + n])}|{b_text[j] if m == 1 else ','.join(b_text[j : j + m])}"
+            for i, n, j, m in zip(*(x.tolist() for x in (a_first, a_of, b_first, b_of)))
+        ]
+        ends = np.cumsum(n_groups).tolist()
         at = len(self.known)
         self.known.update(zip(new, range(at, at + len(new))))
-        self.strings += map(";".join, said)
+        self.strings += [said[i] if j - i == 1 else ";".join(said[i:j]) for i, j in zip([0, *ends], ends)]
         self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, n_groups, n_links, bad])], axis=1)
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.bincount(owner[fresh], minlength=len(new)))])
         self.codes, self.times = np.concatenate([self.codes, code[fresh]]), np.concatenate([self.times, count])
@@ -171,7 +183,7 @@ class Aligner:
             self.clear()
         new = set(chain.from_iterable(cut)).difference(self.known)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         doc = np.repeat(np.arange(len(texts)), np.array([len(c) for c in cut], np.int64))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, len(doc))
         bad = np.bincount(doc, weights=self.numbers[4, at], minlength=len(texts)) > 0
@@ -231,6 +243,7 @@ def _blocks(docs: DataFrame, tokenizer: str, model: str, id_col: str, text_col:
                 columns = [pa.array([number]), *(pa.array([x], pa.list_(k)) for x, k in zip(lists, kinds)), pa.array([links], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in BLOCKS.split(", ")])
                 number += 1
+        aligner(tokenizer, model).clear()  # later stages share the worker's memory
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     path = f"{checkpoint_folder(docs.sparkSession)}/alignment-{uuid.uuid4().hex}"
