@@ -1,17 +1,21 @@
 """Spelling variants: words one edit apart, found level by level in a relational trie.
 
-The words are the paths of a trie whose edges are a distributed table. The
-frontier holds states (word, position, node, edits). At each level it is joined
-with the edges of that depth: a state without an edit follows its own letter,
-or takes another edge as a replaced letter or as an inserted one; a state with
-an edit follows its own letters only. A state with an edit that has used up its
-word at the end of another word makes the two neighbours. Deletions are the
-insertions seen from the other word, and a replacement is looked for from the
-word with the smaller letter, so each pair is found once.
+The words are the paths of a trie whose edges are a distributed table, and so
+are the reversed words. Of two words one edit apart, either the first half of
+the shorter or smaller one is untouched or the rest is, so a word enters the
+frontier at the node where its untouched part ends, once in each direction.
+
+The frontier holds states (word, position, node, edits). At each level it is
+joined with the edges of that depth: a state without an edit follows its own
+letter, or takes another edge as a replaced letter or as an inserted one; a
+state with an edit follows its own letters only. A state with an edit that has
+used up its word at the end of another word makes the two neighbours. Deletions
+are the insertions seen from the other word, and a replacement is looked for
+from the word with the smaller letter.
 
 An edge knows the lengths of the words below it, the letters that follow, and
 the hash of the only word below it if there is one: states that can't end are
-not kept. A node with many words is split by a salt of the state's word.
+not kept, and a state with one word below it is decided at once.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_folder
-from .common import checkpointed, partitions, per_batch
+from .common import checkpointed, per_batch
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
@@ -34,8 +38,8 @@ LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
 DAMAGE, LETTERS, LEAST = 97, 5, 3
 #: A form is this many times as frequent as its variant.
 RATIO = 2
-#: Words per salt of a node; longest prefix that names its node itself, longer ones are named by their digest.
-SALTED, PLAIN = 2_000, 48
+#: Longest prefix that names its node itself; longer ones are named by their digest.
+PLAIN = 48
 
 
 def damaged(doc_id: int | None, run: str, one_in: int = DAMAGE) -> str:
@@ -68,76 +72,100 @@ def _key(prefix: Column) -> Column:
     return F.when(F.length(prefix) <= PLAIN, prefix).otherwise(F.concat(F.substring(prefix, 1, 16), F.lit("~"), F.md5(prefix)))
 
 
-def _edges(known: DataFrame) -> DataFrame:
-    """The trie: ``depth``, ``node``, ``c``, ``child``, and what is known of the words below the child; ``fan`` salts of node and child."""
-    place = known.select("word", F.length("word").alias("size"), F.explode(F.sequence(F.lit(1), F.length("word"))).alias("p"))
-    prefix = lambda p: F.substring("word", F.lit(1), p)
-    steps = place.select(
-        (F.col("p") - 1).alias("depth"), _key(prefix(F.col("p") - 1)).alias("node"), F.substring("word", F.col("p"), F.lit(1)).alias("c"), _key(prefix(F.col("p"))).alias("child"),
-        "size", (F.col("p") == F.col("size")).alias("final"), F.xxhash64("word").alias("hash"),
+def _paths(known: DataFrame) -> DataFrame:
+    """``side``, ``path``, ``start``: every word and the word reversed, and the length of the part that stays untouched."""
+    half = F.floor(F.length("word") / 2).cast("int")
+    ways = F.array(F.struct(F.lit(0).alias("side"), F.col("word").alias("path"), half.alias("start")), F.struct(F.lit(1).alias("side"), F.reverse("word").alias("path"), (F.length("word") - half).alias("start")))
+    return known.select(F.inline(ways))
+
+
+def _prefix(length: Column) -> Column:
+    return F.substring("path", F.lit(1), length)
+
+
+def _edges(paths: DataFrame, first: int) -> DataFrame:
+    """The trie from prefixes of ``first`` letters on: ``depth``, ``side``, ``node``, ``c``, ``child``, and what is known of the words below the child."""
+    p = F.col("p")
+    steps = paths.select("side", "path", F.length("path").alias("size"), F.explode(F.sequence(F.lit(first), F.length("path"))).alias("p")).select(
+        (p - 1).alias("depth"), "side", _key(_prefix(p - 1)).alias("node"), F.substring("path", p, F.lit(1)).alias("c"), _key(_prefix(p)).alias("child"),
+        "size", (p == F.col("size")).alias("final"), F.xxhash64("path").alias("hash"),
     )
-    edges = checkpointed(steps.groupBy("depth", "node", "c", "child").agg(
+    edges = checkpointed(steps.groupBy("depth", "side", "node", "c", "child").agg(
         F.count(F.lit(1)).alias("below"), F.max("final").alias("final"), F.min("size").alias("shortest"), F.max("size").alias("longest"), F.max("hash").alias("only"),
     ))
     # A node has at most as many edges as there are letters.
-    nodes = edges.groupBy("node").agg(F.ceil(F.sum("below") / F.lit(SALTED)).cast("int").alias("fan"), F.concat_ws("", F.collect_list("c")).alias("follow"))
-    child = nodes.select(F.col("node").alias("child"), F.col("fan").alias("child_fan"), F.col("follow"))
-    return edges.join(nodes.select("node", "fan"), "node").join(child, "child", "left").fillna({"child_fan": 1, "follow": ""})
+    nodes = edges.groupBy("side", F.col("node").alias("child")).agg(F.concat_ws("", F.collect_list("c")).alias("follow"))
+    return edges.join(nodes, ["side", "child"], "left").fillna({"follow": ""})
 
 
 def _next_level(states: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
-    """States one edge further down, at nodes of ``depth`` + 1."""
-    salts = edges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))).drop("fan", "depth")
-    at = lambda i: F.substring("word", i + 1, F.lit(1))
-    letter, same = at(F.col("i")), F.col("c") == at(F.col("i"))
+    """States one edge further down, at nodes of ``depth`` + 1. A node with many states is a join that Spark splits."""
+    at = lambda i: F.substring("path", i + 1, F.lit(1))
+    i, same = F.col("i"), F.col("c") == at(F.col("i"))
     step = lambda i, edits: F.struct(i.alias("i"), F.lit(edits).alias("edits"))
-    i = F.col("i")
-    replaced = (F.col("c") > letter) & (i < F.length("word"))
+    replaced = (F.col("c") > at(i)) & (i < F.length("path"))
     ways = (
         F.when(F.col("edits") == 1, F.array(step(i + 1, 1)))
         .when(same, F.array(step(i + 1, 0)))
         .when(replaced, F.array(step(i, 1), step(i + 1, 1)))
         .otherwise(F.array(step(i, 1)))
     )
-    states = states.withColumn("salt", F.pmod(F.xxhash64("word"), F.col("fan")).cast("int")).drop("fan", "found")
-    moved = states.join(salts, ["node", "salt"]).where((F.col("edits") == 0) | same)
-    moved = moved.select("word", "child", "below", "final", "shortest", "longest", "only", "child_fan", "follow", F.inline(ways))
-    rest = F.length("word") - F.col("i")
+    moved = states.join(edges.drop("depth"), ["side", "node"]).where((F.col("edits") == 0) | same)
+    moved = moved.select("side", "path", "child", "below", "final", "shortest", "longest", "only", "follow", F.inline(ways))
+    rest = F.length("path") - i
     found = (F.col("edits") == 1) & (rest == 0) & F.col("final")
-    fits = (F.lit(depth + 1) + rest).between(F.col("shortest"), F.col("longest"))
+    live = (rest > 0) & (F.instr("follow", at(i)) > 0) & (F.lit(depth + 1) + rest).between(F.col("shortest"), F.col("longest"))
+    node = F.col("child")
     if depth + 1 <= PLAIN:
-        whole = F.concat("child", F.substring("word", F.col("i") + 1, F.greatest(rest, F.lit(0))))
-        fits &= (F.col("below") > 1) | (F.xxhash64(whole) == F.col("only"))
-    live = F.when(F.col("edits") == 0, F.col("below") > 1).otherwise((rest > 0) & (F.instr("follow", at(F.col("i"))) > 0) & fits)
-    return moved.withColumn("found", found).where(F.col("found") | live).select("word", "i", F.col("child").alias("node"), "edits", F.col("child_fan").alias("fan"), "found")
+        whole = F.concat("child", F.substring("path", i + 1, F.greatest(rest, F.lit(0))))
+        alone = F.col("below") == 1
+        found |= (F.col("edits") == 1) & alone & (F.xxhash64(whole) == F.col("only"))
+        live &= ~alone
+        node = F.when(found, _key(whole)).otherwise(node)
+    live = F.when(F.col("edits") == 0, F.col("below") > 1).otherwise(live)
+    return moved.select("side", "path", "i", node.alias("node"), "edits", found.alias("found"), live.alias("live")).where("found OR live").drop("live")
 
 
-def neighbours(known: DataFrame) -> DataFrame:
+def neighbours(known: DataFrame, letters: int = LETTERS) -> DataFrame:
     """``word``, ``near``: pairs of different words of the column ``word`` that are one edit apart, both ways round.
 
-    There are as many levels as the longest prefix that two words share has
-    letters, and two more.
+    ``letters`` is the least length of a word. There are about as many levels
+    as the longest prefix that two paths share has letters.
     """
     spark = known.sparkSession
-    if known.isEmpty():
-        return spark.createDataFrame([], "word string, near string")
     folder = f"{checkpoint_folder(spark)}/variants-{uuid.uuid4().hex}"
-    _edges(known).repartition(partitions(known), "node", "c").write.partitionBy("depth").parquet(f"{folder}/edges")
-    edges = spark.read.parquet(f"{folder}/edges")
-    fan = edges.where("depth = 0").first()["fan"]
-    start = [F.lit(0).alias("i"), F.lit("").alias("node"), F.lit(0).alias("edits"), F.lit(fan).alias("fan"), F.lit(False).alias("found")]
-    states = known.select("word", *start).repartition(partitions(known), "word")
-    depth = 0
-    while True:
+    paths = checkpointed(_paths(known))
+    _edges(paths, letters // 2).hint("rebalance", "depth").write.partitionBy("depth").parquet(f"{folder}/edges")
+    edges = spark.read.schema(EDGES).parquet(f"{folder}/edges")
+    shared = edges.where("below > 1").select("side", F.col("child").alias("node"))
+    entering = paths.withColumn("node", _key(_prefix(F.col("start")))).join(shared, ["side", "node"])
+    entering = entering.select("start", "side", "path", F.col("start").alias("i"), "node", F.lit(0).alias("edits"))
+    entering.hint("rebalance", "start").write.partitionBy("start").parquet(f"{folder}/entering")
+    entering = spark.read.schema(STATES + ", start int").parquet(f"{folder}/entering")
+    levels = sorted(r["start"] for r in entering.select("start").distinct().collect())  # one per length
+    states, depth = None, 0
+    while levels or states is not None:
+        depth = levels[0] if states is None else depth
+        if levels and levels[0] == depth:
+            new = entering.where(F.col("start") == levels.pop(0)).drop("start")
+            states = new if states is None else states.unionByName(new)
         path = f"{folder}/states/level={depth + 1}"
         _next_level(states, edges.where(F.col("depth") == depth), depth).write.parquet(path)
-        states = spark.read.parquet(path).where("NOT found")
+        states = spark.read.schema(STATES + ", found boolean").parquet(path).where("NOT found").drop("found")
+        states = None if states.isEmpty() else states
         depth += 1
-        if states.isEmpty():
-            break
-    found = spark.read.parquet(f"{folder}/states").where("found").select("word", "node")
-    pairs = found.join(known.select(F.col("word").alias("near"), _key(F.col("word")).alias("node")), "node").select("word", "near")
-    return pairs.unionAll(pairs.select(F.col("near").alias("word"), F.col("word").alias("near")))
+    if not depth:
+        return spark.createDataFrame([], "word string, near string")
+    found = spark.read.schema(STATES + ", found boolean").parquet(f"{folder}/states").where("found").select("side", "path", "node")
+    ends = paths.select("side", _key(F.col("path")).alias("node"), F.col("path").alias("near"))
+    forward = lambda c: F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c)).alias(c)
+    pairs = found.join(ends, ["side", "node"]).select(forward("path"), forward("near"))
+    both = F.array(F.struct(F.col("path").alias("word"), F.col("near").alias("near")), F.struct(F.col("near").alias("word"), F.col("path").alias("near")))
+    return pairs.select(F.inline(both)).distinct()
+
+
+EDGES = "side int, child string, node string, c string, below long, final boolean, shortest int, longest int, only long, follow string, depth int"
+STATES = "side int, path string, i int, node string, edits int"
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -162,8 +190,10 @@ def group_variants(docs: DataFrame, letters: int = LETTERS, least: int = LEAST,
     text is counted whole and a very long word is a path like any other. An
     empty table gives no rows. Other columns aren't read.
     """
+    if letters < 2:
+        raise ValueError("a word has two letters or more")
     known = checkpointed(words(docs, letters, least, one_in, id_col, text_col))
-    pairs = neighbours(known).join(known.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    pairs = neighbours(known, letters).join(known.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     out = checkpointed(known.join(best, "word", "left"))
     often = -F.col("best.less") >= F.lit(ratio) * F.col("n")
