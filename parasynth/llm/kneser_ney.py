@@ -3,11 +3,13 @@
 The model is one of characters, per language, trained on trusted (labelled
 good) documents. Counts of the highest order are raw, those of lower orders
 count left extensions; discounts per order, context sums and probabilities come
-from joins of the count tables, lowest order first. Texts are dealt into blocks
-of bounded size per language; the distinct n-grams of each block are joined
-with the tables, and the block's texts add up what comes back, so no part of
-the model passes through the driver. A document stays if its perplexity is within a quantile of those of trusted documents of its language that the
-model has not seen.
+from joins of the count tables, lowest order first, each written down once. A
+model of few rows, which are counted, is sent to the tasks and texts are scored
+where they are. Beyond that, texts are dealt into blocks of bounded size per
+language; the distinct n-grams of each block are joined with the tables, and
+the block's texts add up what comes back. A document stays if its perplexity is
+within a quantile of those of trusted documents of its language that the model
+has not seen.
 """
 
 from __future__ import annotations
@@ -21,12 +23,14 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, small
 from .common import checkpointed, partitions, per_batch, text_key
 
 ORDER = 5
 #: Characters of a block of texts whose distinct n-grams are looked up together.
 BLOCK_CHARS = 8_000_000
+#: Rows of a model that a task may hold: 16 bytes each, a few numbers per language beside them.
+MODEL_ROWS = 3_000_000
 #: Documents beyond this quantile of trusted ones go; a text counts as this many more characters at its language's mean.
 QUANTILE, PRIOR = 0.999, 200
 PAD = "\x02"
@@ -64,7 +68,9 @@ def _discounted(grams: DataFrame, n: int) -> DataFrame:
         value = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         return F.when((value > 0) & (value < k), value).otherwise(F.lit(k / 2)).alias(f"d{k}")
 
-    grams = grams.join(broadcast_if_small(stats.select("lang", *[discount(k) for k in (1, 2, 3)])), "lang").withColumn("h", F.substring("g", 1, n - 1))
+    # One row per language, written down before it is counted.
+    discounts = checkpointed(stats.select("lang", *[discount(k) for k in (1, 2, 3)]))
+    grams = grams.join(broadcast_if_small(discounts), "lang").withColumn("h", F.substring("g", 1, n - 1))
     off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     contexts = grams.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum(off).alias("taken"))
     return grams.join(contexts, ["lang", "h"]).select("lang", "g", "h", ((F.col("c") - off) / F.col("total")).alias("share"), (F.col("taken") / F.col("total")).alias("gamma"))
@@ -83,13 +89,15 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, id_col: str =
     """``lang``, ``n``, ``g``, ``logp``, ``logw``: log probability of each n-gram of order ``n`` and log weight of ``g`` as a context.
 
     Either may be null. The row of order 0 has the log probability of unknown
-    characters.
+    characters. Null and empty texts and null identifiers add nothing, repeated
+    rows count each time, a null language is an empty one; without trusted
+    documents the model has no rows.
     """
     good = _trusted(labels).where(~_held_out())
     rows = _rows(docs, id_col, text_col, lang_col).join(good, "doc_id", "left_semi").where(F.length("text") > 0)
     tables = {order: checkpointed(_counts(rows, order))}
     for n in range(order - 1, 0, -1):
-        tables[n] = tables[n + 1].groupBy("lang", F.substring("g", 2, n).alias("g")).agg(F.count(F.lit(1)).alias("c"))
+        tables[n] = checkpointed(tables[n + 1].groupBy("lang", F.substring("g", 2, n).alias("g")).agg(F.count(F.lit(1)).alias("c")))
     alphabet = tables[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("v"))
     lower = None
     parts = []
@@ -128,22 +136,24 @@ def _keys(grams: list[str], n: int) -> np.ndarray:
     return key
 
 
-class Shard:
-    """Sorted keys and values of the entries of one shard: scores in memory what log_probabilities scores by joins."""
-
-    def __init__(self, entries: pa.Table, order: int, number: int, of: int):
-        self.order, self.number, self.of = order, number, of
-        self.unknown, self.tables = {}, {}
-        for (lang, n), part in entries.to_pandas().groupby(["lang", "n"]):
-            if not n:
-                self.unknown[lang] = float(part["logp"].iloc[0])
-                continue
-            for what in ("logp", "logw"):
-                own = part[part[what].notna()]
-                if len(own):
-                    keys = _keys(own["g"].tolist(), n)
-                    by = np.argsort(keys)
-                    self.tables[lang, what, n] = keys[by], own[what].to_numpy()[by]
+class Scorer:
+    """Sorted keys and values of a model: scores in memory what the joins below score."""
+
+    def __init__(self, entries: pa.Table, order: int):
+        """``entries``: ``lang``, ``n``, ``key``, ``logp``, ``logw``, as _keyed gives them."""
+        self.order, self.unknown, self.tables = order, {}, {}
+        langs, which = np.unique(np.array(entries.column("lang").to_pylist(), object), return_inverse=True)
+        n, key = entries.column("n").to_numpy(), entries.column("key").to_numpy().view(np.uint64)
+        for what in ("logp", "logw"):
+            value = entries.column(what).to_numpy()
+            for l, lang in enumerate(langs):
+                for k in range(order + 1):
+                    own = np.flatnonzero((which == l) & (n == k) & ~np.isnan(value))
+                    if not k and what == "logp" and len(own):
+                        self.unknown[lang] = float(value[own[0]])
+                    elif k and len(own):
+                        own = own[np.argsort(key[own])]
+                        self.tables[lang, what, k] = key[own], value[own]
 
     def _find(self, kind: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if kind not in self.tables:
@@ -153,29 +163,47 @@ class Shard:
         return own[at] == keys, values[at]
 
     def score(self, lang: str, text: str) -> float:
-        """The sum of log probabilities of the characters whose neighbour to the left belongs to the shard."""
-        if lang not in self.unknown or not text:
-            return 0.0
-        points = _points(PAD * (self.order - 1) + text)
+        return float(self.score_many(lang, [text])[0])
+
+    def score_many(self, lang: str, texts: list[str]) -> np.ndarray:
+        """The log probability of each text; 0 where the model lacks the language."""
+        total = np.zeros(len(texts))
+        if lang not in self.unknown or not any(texts):
+            return total
+        pad = self.order - 1
+        points = _points("".join(PAD * pad + t for t in texts))
+        size = np.array([len(t) for t in texts])
+        place = np.arange(size.sum()) + np.repeat(pad * np.arange(1, len(texts) + 1), size)
+        doc = np.repeat(np.arange(len(texts)), size)
         keys = [np.zeros(len(points) + 1, np.uint64)]  # of the n characters before each place
         for _ in range(self.order):
             longer = np.zeros(len(points) + 1, np.uint64)
             longer[1:] = _fold(keys[-1][:-1], points)
             keys.append(longer)
-        place = np.arange(self.order - 1, len(points))
-        if self.of > 1:
-            place = place[points[place - 1] % np.uint64(self.of) == self.number]
-        total = 0.0
         for n in range(self.order, 0, -1):
             hit, logp = self._find((lang, "logp", n), keys[n][place + 1])
-            total += float(logp[hit].sum())
-            place = place[~hit]
+            total += np.bincount(doc[hit], weights=logp[hit], minlength=len(texts))
+            place, doc = place[~hit], doc[~hit]
             if not len(place):
                 return total
             if n > 1:
                 known, logw = self._find((lang, "logw", n - 1), keys[n - 1][place])
-                total += float(logw[known].sum())
-        return total + len(place) * self.unknown[lang]
+                total += np.bincount(doc[known], weights=logw[known], minlength=len(texts))
+        return total + np.bincount(doc, minlength=len(texts)) * self.unknown[lang]
+
+
+def _keyed(model: DataFrame) -> DataFrame:
+    """The rows of a model with a number in place of each n-gram."""
+
+    def work(batch: pa.RecordBatch) -> dict:
+        n, grams = batch.column(1).to_numpy(), np.array(batch.column(2).to_pylist(), object)
+        key = np.zeros(len(n), np.uint64)
+        for k in np.unique(n).tolist():
+            own = np.flatnonzero(n == k)
+            key[own] = _keys(grams[own].tolist(), k)
+        return {"lang": batch.column(0), "n": batch.column(1), "key": key.view(np.int64), "logp": batch.column(3), "logw": batch.column(4)}
+
+    return per_batch(model.select("lang", "n", "g", "logp", "logw"), work, "lang string, n int, key long, logp double, logw double")
 
 
 def _text_keys(text: str, order: int) -> np.ndarray:
@@ -226,10 +254,36 @@ def _looked_up(need: DataFrame, model: DataFrame, n: int) -> DataFrame:
 def log_probabilities(docs: DataFrame, model: DataFrame, order: int = ORDER, most: int = BLOCK_CHARS, **columns) -> DataFrame:
     """``doc_id``, ``lang``, ``n_chars``, ``logp`` (null where the model lacks the language), one row per row of ``docs``.
 
-    ``most`` is the number of characters of a block, on average.
+    A model of at most MODEL_ROWS rows, which is counted first, goes to every
+    task as sorted numbers and texts stay where they are. A larger one is
+    joined with the distinct n-grams of blocks of texts; ``most`` is the number
+    of characters of a block, on average. Null and empty texts have 0
+    characters and log probability 0; null languages are one of their own; very
+    long texts are scored whole. Repeated rows are scored alike, and an empty
+    table gives no rows.
     """
     model = checkpointed(model)
     rows = _rows(docs, **columns).withColumn("n_chars", F.length("text").cast("long"))
+    if small(model, MODEL_ROWS):
+        return _scored_in_place(rows, model, order)
+    return _scored_by_joins(docs, rows, model, order, most)
+
+
+def _scored_in_place(rows: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    own = rows.sparkSession.sparkContext.broadcast(Scorer(_keyed(model).toArrow(), order))
+
+    def work(batch: pa.RecordBatch) -> dict:
+        langs, texts = (np.array(batch.column(i).to_pylist(), object) for i in (1, 3))
+        logp = np.full(len(langs), np.nan)
+        for lang in set(langs.tolist()).intersection(own.value.unknown):
+            at = np.flatnonzero(langs == lang)
+            logp[at] = own.value.score_many(lang, texts[at].tolist())
+        return {"doc_id": batch.column(0), "lang": batch.column(1), "n_chars": batch.column(2), "logp": pa.array(logp, from_pandas=True)}
+
+    return per_batch(rows.select("doc_id", "lang", "n_chars", "text"), work, "doc_id long, lang string, n_chars long, logp double")
+
+
+def _scored_by_joins(docs: DataFrame, rows: DataFrame, model: DataFrame, order: int, most: int) -> DataFrame:
     known = model.where("n = 0").select("lang", F.lit(True).alias("known"))
     blocks = rows.groupBy("lang").agg(F.ceil(F.greatest(F.sum("n_chars"), F.lit(1)) / F.lit(most)).cast("long").alias("blocks")).join(known, "lang", "left")
     rows = rows.join(broadcast_if_small(checkpointed(blocks)), "lang")
