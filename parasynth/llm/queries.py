@@ -91,7 +91,7 @@ ORACLES["op2_license_scan"] = oracles.licenses(licenses.TEMPLATES, licenses.LEAS
 @query
 def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without passages of 400 bytes that occur elsewhere."""
-    return repeats.drop_repeats(table(spark, sf, "documents")).drop("kept")
+    return repeats.drop_repeats(table(spark, sf, "documents"))
 
 
 @query

@@ -2,7 +2,11 @@
 
 A passage of ``length`` bytes that occurs again is a group of suffixes equal
 through that depth. Suffixes are sorted from the most significant digit on,
-each pass looking only at groups that still have two members:
+each pass looking only at groups that still have two members. A digit is a
+block of bytes and has as many values as there are such blocks, so a pass deals
+suffixes into buckets by a hash that names the digit's value; which of two
+different buckets comes first plays no part in which suffixes share one. The
+digits are:
 
 1. *Sampled suffixes.* Of the ``window`` places from a start on, the one with
    the least hash of its next bytes is the start's anchor. Equal passages have
@@ -34,6 +38,8 @@ from .common import checkpointed, partitions, per_batch, text_key, texts
 
 #: Bytes of a passage, places among which an anchor is chosen, bytes that choose it.
 LENGTH, WINDOW, GRAM = 400, 128, 16
+#: Level at which texts are compressed for their way.
+PACK = 6
 #: Starts handled at a time, below 2**20 so that a place fits beside a hash.
 CHUNK = 1 << 19
 
@@ -92,7 +98,7 @@ def _packed(docs: DataFrame, length: int) -> DataFrame:
     """``ka``, ``kb``, ``copies``, ``body`` (compressed) of each different text of ``length`` bytes or more, dealt out by key."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=PACK).compress
         return {"ka": batch.column(0), "kb": batch.column(1), "body": pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in batch.column(2).to_pylist()], pa.binary())}
 
     rows = docs.where(F.octet_length("text") >= length).select("ka", "kb", "text")
@@ -157,10 +163,10 @@ def _window_rows(bodies: DataFrame, wanted: DataFrame, length: int) -> DataFrame
 def repeated_starts(bodies: DataFrame, length: int, window: int) -> DataFrame:
     """``ka``, ``kb``, ``lo``, ``hi``: runs of starts whose passage starts anywhere else too."""
     rows = _anchor_rows(bodies, length, window)
-    groups = rows.groupBy("dh").agg(F.sum("copies").alias("n")).where("n > 1").select("dh")
+    # Written down like the others below, so that a group with most of the rows is a join that Spark can split.
+    groups = checkpointed(rows.groupBy("dh").agg(F.sum("copies").alias("n")).where("n > 1").select("dh"))
     left = checkpointed(rows.join(groups, "dh"))
     reaches = left.groupBy("dh", "eh").agg(F.sum("copies").alias("n"), F.min(F.struct("ka", "kb", "lo")).alias("one"))
-    # Written down, so that a group with most of the rows is a join that Spark can split.
     reaches = checkpointed(reaches)
     mixed = checkpointed(reaches.groupBy("dh").agg(F.min("n").alias("least")).where("least = 1").select("dh", F.lit(True).alias("mixed")))
     reaches = reaches.join(mixed, "dh", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
@@ -189,29 +195,36 @@ def removed(data: bytes, runs: list[tuple[int, int]], length: int) -> tuple[int,
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept`` (null: the text as it is).
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``text`` (what is left), one row per row of ``docs``.
 
     Each byte goes that lies in a passage of ``length`` bytes that starts
     anywhere else as well, in any text or the same one; passages are judged on
-    the input. Null counts as empty; texts shorter than ``length`` stay whole.
-    Repeated rows are copies of each other, so their passages all go. An empty
-    table gives no rows.
+    the input. A character of which some bytes stay is left as U+FFFD in
+    ``text``; the digest is of the bytes. Null counts as empty; texts shorter
+    than ``length`` stay whole. Repeated rows are copies of each other, so
+    their passages all go. An empty table gives no rows.
     """
     if not GRAM <= length - window + 1:
         raise ValueError("window leaves no room for the bytes that choose an anchor")
     key = text_key(F.col("text"))
     rows = texts(docs, id_col, text_col).select("doc_id", "text", key["a"].alias("ka"), key["b"].alias("kb"))
-    bodies = _packed(rows, length)
-    runs = repeated_starts(bodies, length, window).groupBy("ka", "kb").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = repeated_starts(_packed(rows, length), length, window)
+    # Written down, so that a text with most of the rows is a join that Spark can split.
+    runs = checkpointed(runs.groupBy("ka", "kb").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
+
+    def pack(batch: pa.RecordBatch) -> dict:
+        squeeze = zstandard.ZstdCompressor(level=PACK).compress
+        body = [squeeze(t.encode("utf-8", "surrogatepass")) for t in batch.column(3).to_pylist()]
+        return {"doc_id": batch.column(0), "ka": batch.column(1), "kb": batch.column(2), "body": pa.array(body, pa.binary())}
 
     def work(batch: pa.RecordBatch) -> dict:
-        made = [removed(data, [(r["lo"], r["hi"]) for r in runs], length) for runs, data in zip(batch.column(3).to_pylist(), _plain(batch))]
-        return {"ka": batch.column(0), "kb": batch.column(1), "n_removed": [m[0] for m in made], "n_spans": [m[1] for m in made], "changed_sha256": [sha256(m[2]).hexdigest() for m in made], "kept": pa.array([m[2] for m in made], pa.binary())}
-
-    changed = per_batch(bodies.select("ka", "kb", "body").join(runs, ["ka", "kb"]).select("ka", "kb", "body", "runs"), work, "ka long, kb long, n_removed long, n_spans long, changed_sha256 string, kept binary")
-    whole = rows.select("doc_id", "ka", "kb", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"))
-    none = F.lit(0).cast("long")
-    return whole.join(changed, ["ka", "kb"], "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
-        F.coalesce("changed_sha256", "whole_sha256").alias("kept_sha256"), "kept",
-    )
+        out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
+        for found, data in zip(batch.column(2).to_pylist(), _plain(batch)):
+            n, spans, left = removed(data, [(r["lo"], r["hi"]) for r in found], length) if found else (0, 0, data)
+            for c, v in zip(out, (len(data), n, spans, sha256(left).hexdigest(), left.decode("utf-8", "replace"))):
+                out[c].append(v)
+        return {"doc_id": batch.column(0)} | out
+
+    whole = per_batch(rows.select("doc_id", "ka", "kb", "text"), pack, "doc_id long, ka long, kb long, body binary")
+    both = whole.join(runs, ["ka", "kb"], "left").select("doc_id", "body", "runs")
+    return per_batch(both, work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")

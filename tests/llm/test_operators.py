@@ -297,7 +297,14 @@ def test_repeats(spark, length, window):
             t += base[a : a + rnd.randint(0, 150)] + "".join(rnd.choice("xyz") for _ in range(rnd.randint(0, 30)))
         rows.append((i, t))
     rows += [(200, None), (201, ""), (202, "a" * 300), (None, rows[0][1]), (5, rows[5][1])]
-    assert tuples(repeats.drop_repeats(docs_of(spark, rows), length, window).drop("kept")) == brute_repeats(rows, length)
+    assert tuples(repeats.drop_repeats(docs_of(spark, rows), length, window).drop("text")) == brute_repeats(rows, length)
+
+
+def test_repeats_leave_text(spark):
+    passage = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, f"before {passage} after"), (2, f"{passage} other end"), (3, "untouched é text"), (4, None)]
+    left = {r.doc_id: r.text for r in repeats.drop_repeats(docs_of(spark, rows)).collect()}
+    assert left == {1: "before after", 2: "other end", 3: "untouched é text", 4: ""}
 
 
 def test_repeats_odd(odd, none):
@@ -351,35 +358,86 @@ def test_secrets(spark, odd, none):
 # --- quality classifier -------------------------------------------------------------------------
 
 
-def test_kneser_ney(spark, odd, labels, none):
+def scorer_of(model):
+    return kneser_ney.Scorer(kneser_ney._keyed(model).toArrow(), 5)
+
+
+def test_kneser_ney(spark, odd, labels, none, monkeypatch):
     rnd = random.Random(11)
     rows = [(i, prose(rnd, 60), "en") for i in range(60)] + [(100 + i, "".join(rnd.choice("#$%&*xqzj ") for _ in range(300)), "en") for i in range(10)] + [(200, "other", "xx"), (201, None, "en"), (202, "", None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     good = spark.range(60).selectExpr("id AS doc_id", "1 AS quality")
-    model = kneser_ney.train(frame, good).toArrow()
-    shard = kneser_ney.Shard(model, 5, 0, 1)
-    model = model.to_pandas().itertuples()
-    letters = [r.g for r in model if r.lang == "en" and r.n == 1 and r.logp == r.logp]
+    model = kneser_ney.train(frame, good)
+    shard = scorer_of(model)
+    letters = [r.g for r in model.toPandas().itertuples() if r.lang == "en" and r.n == 1 and r.logp == r.logp]
     for context in ("ber", "zq", "tu ka"):
         before = shard.score("en", context)
         assert sum(np.exp(shard.score("en", context + c) - before) for c in [*letters, "☃"]) == pytest.approx(1.0)
     table = kneser_ney.train(frame, good)
     one = {r.doc_id: r.logp for r in kneser_ney.log_probabilities(frame, table, id_col="doc_id", text_col="text", lang_col="lang").collect()}
+    monkeypatch.setattr(kneser_ney, "MODEL_ROWS", 0)  # by joins
     many = {r.doc_id: r.logp for r in kneser_ney.log_probabilities(frame, table, most=300, id_col="doc_id", text_col="text", lang_col="lang").collect()}
     assert one.keys() == many.keys() and all(one[i] == pytest.approx(many[i]) if one[i] is not None else many[i] is None for i in one)
+    monkeypatch.undo()
     got = {r.doc_id: r for r in kneser_ney.classify(frame, good).collect()}
     assert len(got) == 73 and not any(got[100 + i].kept for i in range(10)) and sum(got[i].kept for i in range(60)) >= 57
     assert got[200].kept and got[200].perplexity is None and got[201].kept and got[202].kept
     assert kneser_ney.classify(odd, labels).count() == 9 and kneser_ney.classify(none, labels).count() == 0
 
 
-def test_kneser_ney_trains_on_all_trusted(spark):
+def plain_kneser_ney(texts, order=5):
+    """Interpolated modified Kneser-Ney of characters with dictionaries: a function of (context, character)."""
+    tables = {order: collections.Counter()}
+    for t in texts:
+        padded = "\x02" * (order - 1) + t
+        tables[order].update(padded[i : i + order] for i in range(len(t)))
+    for n in range(order - 1, 0, -1):
+        tables[n] = collections.Counter(g[1:] for g in tables[n + 1])
+    off, contexts = {}, {}
+    for n, table in tables.items():
+        times = collections.Counter(table.values())
+        y = times[1] / (times[1] + 2 * times[2]) if times[1] + times[2] else None
+        for k in (1, 2, 3):
+            d = k - (k + 1) * y * times[k + 1] / times[k] if y is not None and times[k] else -1
+            off[n, k] = d if 0 < d < k else k / 2
+        for g, c in table.items():
+            total, taken = contexts.get(g[:-1], (0, 0.0))
+            contexts[g[:-1]] = total + c, taken + off[n, min(c, 3)]
+
+    def p(context, letter):
+        n = len(context) + 1
+        low = p(context[1:], letter) if n > 1 else 1 / (len(tables[1]) + 1)
+        if context not in contexts:
+            return low
+        total, taken = contexts[context]
+        c = tables[n][context + letter]
+        return (c - off[n, min(c, 3)] if c else 0) / total + taken / total * low
+
+    return lambda t: sum(np.log(p(("\x02" * (order - 1) + t)[i : i + order - 1], t[i])) for i in range(len(t)))
+
+
+def test_kneser_ney_by_dictionaries(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows = [(i, prose(rnd, rnd.randint(5, 40)) + rnd.choice(["", "é", " ☃"]), "en") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = spark.range(50).selectExpr("id AS doc_id", "1 AS quality")
+    table = kneser_ney.train(frame, good)
+    held = {r.doc_id for r in spark.range(50).withColumnRenamed("id", "doc_id").where(kneser_ney._held_out()).collect()}
+    score = plain_kneser_ney([t for i, t, _ in rows if i not in held])
+    for most in (kneser_ney.MODEL_ROWS, 0):
+        monkeypatch.setattr(kneser_ney, "MODEL_ROWS", most)
+        got = {r.doc_id: r.logp for r in kneser_ney.log_probabilities(frame, table, id_col="doc_id", text_col="text", lang_col="lang").collect()}
+        assert len(held) > 10 and all(got[i] == pytest.approx(score(t), rel=1e-9) for i, t, _ in rows)
+
+
+def test_kneser_ney_trains_on_all_trusted(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MODEL_ROWS", 0)
     rows = [(i, f"{chr(0x4E00 + i)} some words", "en") for i in range(2600)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     table = kneser_ney.train(frame, spark.range(2600).selectExpr("id AS doc_id", "1 AS quality"))
     letters = {r.g for r in table.where("n = 1 AND logp IS NOT NULL").collect()}
     assert sum(c >= chr(0x4E00) for c in letters) > 1200
-    shard = kneser_ney.Shard(table.toArrow(), 5, 0, 1)
+    shard = scorer_of(table)
     got = kneser_ney.log_probabilities(frame, table, most=9_000, id_col="doc_id", text_col="text", lang_col="lang").collect()
     assert len(got) == 2600 and all(r.logp == pytest.approx(shard.score("en", rows[r.doc_id][1])) for r in got)
 
