@@ -100,11 +100,11 @@ def value_at_rank(df: DataFrame, rank: str, values: DataFrame, value: str) -> Da
     return both.filter((F.col("__kind") == 1) & (F.col("__rank") <= F.col("__last.__to"))).select("__row.*", F.col(f"__last.{value}").alias(value))
 
 
-def auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
-    """Exact area under the ROC curve (ties count half), one row."""
+def auc(df: DataFrame, score: str, positive: Column, group: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve (ties count half), one row per group."""
     hit = F.when(positive, 1).otherwise(0)
-    c = cumulative(df, score, {"pos": hit, "neg": 1 - hit})
-    return c.agg(
+    c = cumulative(df, score, {"pos": hit, "neg": 1 - hit}, group)
+    return c.groupBy(*group).agg(
         F.try_divide(
             F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)), F.sum("pos").cast("double") * F.sum("neg")
         ).alias("roc_auc")

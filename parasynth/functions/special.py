@@ -14,6 +14,14 @@ from pyspark.sql import types as T
 TINY = 1e-300
 
 
+def _lgamma(a: np.ndarray) -> np.ndarray:
+    """Once per distinct shape: a variable has one, whatever its rows."""
+    if len(a) and (a == a[0]).all():
+        return np.full(len(a), math.lgamma(a[0]))
+    shapes, where = np.unique(a, return_inverse=True)
+    return np.array([math.lgamma(s) for s in shapes.tolist()])[where] if len(a) else a
+
+
 def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised lower incomplete gamma P(a, x), elementwise."""
     a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
@@ -22,8 +30,7 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     out[np.isposinf(x) & (a > 0)] = 1.0
     ok = (a > 0) & (x > 0) & np.isfinite(x)
     logs = np.zeros(a.shape)
-    lgamma = np.frompyfunc(math.lgamma, 1, 1)
-    logs[ok] = a[ok] * np.log(x[ok]) - x[ok] - lgamma(a[ok]).astype(float)
+    logs[ok] = a[ok] * np.log(x[ok]) - x[ok] - _lgamma(a[ok])
     series = ok & (x < a + 1)
     if series.any():
         out[series] = np.exp(logs[series]) * _gamma_series(a[series], x[series])
@@ -34,26 +41,29 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _gamma_series(a, x):
+    out, at = np.empty(a.shape), np.arange(len(a))
     term = 1.0 / a
-    total = term.copy()
-    n = a.copy()
-    live = np.ones(a.shape, bool)  # a settled element stays as it is, whatever its batch
+    total, n = term.copy(), a.copy()
     for _ in range(100000):
-        n += 1.0
+        n = n + 1.0
         term = term * x / n
-        total = np.where(live, total + term, total)
-        live &= np.abs(term) >= np.abs(total) * 1e-16
-        if not live.any():
-            break
-    return total
+        total = total + term
+        live = np.abs(term) >= np.abs(total) * 1e-16
+        if not live.all():  # settled elements leave, so each is as it would be alone
+            out[at[~live]] = total[~live]
+            at, x, n, term, total = at[live], x[live], n[live], term[live], total[live]
+            if not len(at):
+                return out
+    out[at] = total
+    return out
 
 
 def _gamma_fraction(a, x):
+    out, at = np.empty(a.shape), np.arange(len(a))
     b = x + 1.0 - a
     c = np.full(a.shape, 1.0 / TINY)
     d = 1.0 / b
     h = d.copy()
-    live = np.ones(a.shape, bool)
     for i in range(1, 100000):
         an = -i * (i - a)
         b = b + 2.0
@@ -63,11 +73,15 @@ def _gamma_fraction(a, x):
         c = np.where(np.abs(c) < TINY, TINY, c)
         d = 1.0 / d
         step = d * c
-        h = np.where(live, h * step, h)
-        live &= np.abs(step - 1.0) >= 1e-15
-        if not live.any():
-            break
-    return h
+        h = h * step
+        live = np.abs(step - 1.0) >= 1e-15
+        if not live.all():
+            out[at[~live]] = h[~live]
+            at, a, b, c, d, h = at[live], a[live], b[live], c[live], d[live], h[live]
+            if not len(at):
+                return out
+    out[at] = h
+    return out
 
 
 def gamma_ppf(a: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -80,15 +94,14 @@ def gamma_ppf(a: np.ndarray, u: np.ndarray) -> np.ndarray:
     if not ok.any():
         return out
     a, u = a[ok], u[ok]
-    lgam = np.frompyfunc(math.lgamma, 1, 1)(a).astype(float)
+    lgam = _lgamma(a)
     t = np.sqrt(-2.0 * np.log(np.minimum(u, 1 - u)))
     z = t - (2.30753 + 0.27061 * t) / (1 + t * (0.99229 + 0.04481 * t))
     z = np.where(u < 0.5, -z, z)
     start = a * (1.0 - 1.0 / (9.0 * a) + z / (3.0 * np.sqrt(a))) ** 3
     low_start = np.exp((np.log(u) + lgam + np.log(a)) / a)
     x = np.where((a < 1) | (start <= 0) | (u < 0.01), np.maximum(low_start, TINY), start)
-    low, high = np.zeros_like(x), np.full_like(x, np.inf)
-    live = np.ones(x.shape, bool)
+    low, high, at, found = np.zeros_like(x), np.full_like(x, np.inf), np.arange(len(x)), np.empty_like(x)
     for _ in range(200):
         p = gamma_p(a, x)
         low = np.where(p < u, x, low)
@@ -98,11 +111,14 @@ def gamma_ppf(a: np.ndarray, u: np.ndarray) -> np.ndarray:
         middle = np.where(np.isinf(high), 2 * x + 1e-12, 0.5 * (low + high))
         new = np.where((step > low) & (step < high), step, middle)
         moved = np.abs(new - x) > 1e-13 * np.abs(x)
-        x = np.where(live, new, x)
-        live &= moved
-        if not live.any():
-            break
-    out[ok] = x
+        x = new
+        if not moved.all():
+            found[at[~moved]] = x[~moved]
+            at, a, u, lgam, x, low, high = (v[moved] for v in (at, a, u, lgam, x, low, high))
+            if not len(at):
+                break
+    found[at] = x
+    out[ok] = found
     return out
 
 

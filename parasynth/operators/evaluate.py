@@ -1,12 +1,17 @@
 """Usefulness of data: splits, classifiers, metrics, paired tests."""
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import ranks, rng
 from ..functions.numeric import safe_ratio
@@ -115,8 +120,8 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    return ranks.auc(df, score, F.col(label) == 1)
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    return ranks.auc(df, score, F.col(label) == 1, by)
 
 
 def rate(condition: Column) -> Column:
@@ -197,6 +202,107 @@ def extraction_summary(scores: DataFrame) -> DataFrame:
 # --- train on one table, test on another --------------------------------------------------------
 
 
+@dataclass
+class LogisticModels:
+    """Weights of one model per cell, the intercept last; a cell of one label has an infinite intercept."""
+
+    by: list[str]
+    weights: dict[tuple, np.ndarray]
+
+    def score(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """Adds ``score``, the probability of label 1, and ``prediction``; rows of unknown cells have NULL."""
+        spark = df.sparkSession
+        key = [f"k{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(self.by)]
+        table = spark.createDataFrame([(*k, [float(x) for x in w]) for k, w in self.weights.items()], ", ".join([*key, "w array<double>"]))
+        table = table.toDF(*self.by, "__w")  # one row per model
+        inner = F.aggregate(F.zip_with(features, F.slice("__w", 1, F.size(features)), lambda x, w: x * w), F.lit(0.0), lambda acc, x: acc + x)
+        df = df.join(F.broadcast(table), self.by, "left").withColumn("score", 1.0 / (1.0 + F.exp(-(inner + F.element_at("__w", -1)))))
+        return df.withColumn("prediction", (F.col("score") > 0.5).cast("double")).drop("__w")
+
+
+def fit_logistic(df: DataFrame, by: Sequence[str] = (), features: str = "features", label: str = "label", most: int = 100, tolerance: float = 1e-12) -> LogisticModels:
+    """Logistic models of all cells ``by`` together, by Newton steps.
+
+    Each step is one job: gradient and Hessian of every cell are summed per
+    batch in NumPy, then over tasks, and solved for all cells on the driver
+    (a few numbers per cell). The penalty is half the squared weights over the
+    rows, without the intercept, on features as they are. ``label`` is 0 or 1.
+    A step that raises the loss of a cell is halved.
+    """
+    by = list(by)
+    rows = df.select(*by, F.col(features).cast("array<double>").alias("x"), F.col(label).cast("double").alias("y"))
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"), F.max(F.size("x")).alias("k")).collect()
+    done: dict[tuple, np.ndarray] = {}
+    now: dict[tuple, np.ndarray] = {}
+    for r in sizes:
+        cell, w = tuple(r[c] for c in by), np.zeros(r["k"] + 1)
+        if 0 < r["pos"] < r["n"]:
+            w[-1] = math.log(r["pos"] / (r["n"] - r["pos"]))
+            now[cell] = w
+        else:
+            w[-1] = math.inf if r["pos"] else -math.inf
+            done[cell] = w
+    rest = {tuple(r[c] for c in by): r["n"] for r in sizes}
+    last: dict[tuple, tuple[float, np.ndarray, np.ndarray]] = {}
+    for _ in range(most):
+        if not now:
+            break
+        found = _newton_sums(rows, by, dict(now))
+        for cell, w in list(now.items()):
+            k, flat = len(w), found[cell]
+            penalty = np.append(np.full(k - 1, 1.0), 0.0)
+            loss = flat[0] + 0.5 * float(penalty @ (w * w))
+            if cell in last and loss > last[cell][0] + 1e-9 * abs(last[cell][0]):
+                before, step = last[cell][1], last[cell][2] / 2
+                now[cell], last[cell] = before + step, (last[cell][0], before, step)
+                continue
+            gradient = flat[1 : k + 1] + penalty * w
+            step = -np.linalg.solve(flat[k + 1 :].reshape(k, k) + np.diag(penalty) + 1e-12 * np.eye(k), gradient)
+            last[cell] = loss, w, step
+            now[cell] = w + step
+            if -float(gradient @ step) <= tolerance * rest[cell]:
+                done[cell] = now.pop(cell)
+    return LogisticModels(by, {**now, **done})
+
+
+def _newton_sums(rows: DataFrame, by: list[str], weights: dict[tuple, np.ndarray]) -> dict[tuple, np.ndarray]:
+    """Per cell: loss, gradient and Hessian, one after the other, without the penalty."""
+    names = [*by, "at", "value"]
+    schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in by], "at int, value double"])
+    kinds = [to_arrow_type(rows.schema[c].dataType) for c in by]
+
+    def sums(batches):
+        total: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            cells = list(zip(*(batch.column(i).to_pylist() for i in range(len(by))))) if by else [()] * batch.num_rows
+            lists = batch.column(len(by))
+            x = np.column_stack([lists.flatten().to_numpy().reshape(batch.num_rows, -1), np.ones(batch.num_rows)]) if batch.num_rows else None
+            y = batch.column(len(by) + 1).to_numpy()
+            where: dict[tuple, list[int]] = {}
+            for i, cell in enumerate(cells):
+                where.setdefault(cell, []).append(i)
+            for cell, own in where.items():
+                if cell not in weights:
+                    continue
+                a, t = x[own], y[own]
+                z = a @ weights[cell]
+                p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+                loss = float((np.logaddexp(0.0, z) - t * z).sum())
+                hessian = (a * (p * (1 - p))[:, None]).T @ a
+                made = np.concatenate([[loss], a.T @ (p - t), hessian.ravel()])
+                total[cell] = total[cell] + made if cell in total else made
+        for cell, made in total.items():
+            columns = [pa.array([v] * len(made), k) for v, k in zip(cell, kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(len(made), dtype=np.int32)), pa.array(made)], names)
+
+    out: dict[tuple, np.ndarray] = {}
+    for r in rows.mapInArrow(sums, schema).groupBy(*by, "at").agg(F.sum("value").alias("value")).collect():
+        cell = tuple(r[c] for c in by)
+        k = len(weights[cell])
+        out.setdefault(cell, np.zeros(1 + k + k * k))[r["at"]] = r["value"]
+    return out
+
+
 def train_and_score(train: DataFrame, test: DataFrame, continuous: Sequence[str], categorical: Sequence[str], target: str, encoders: dict) -> DataFrame:
     """Predictions (label, prediction, score) on ``test`` of a model of ``train``.
 

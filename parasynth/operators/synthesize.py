@@ -21,13 +21,13 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from ..functions import ranks, rng
 from ..functions.numeric import norm_cdf
-from ..functions.special import gamma_ppf, gamma_ppf_udf
+from ..functions.special import gamma_ppf_udf
 from ..params import Parameters, Variable
-from ..schemas import has_categories
 from ..session import sealed
+from . import draws
 
 MANY_LABELS = 64
-ROW_BLOCK = 1000
+ROW_BLOCK = 10_000
 
 
 def normal_quantile(p: float) -> float:
@@ -147,18 +147,6 @@ def _factor_udf(size: pd.Series, first: pd.Series, second: pd.Series, value: pd.
     return pd.Series(out)
 
 
-def _gamma_places(batches):
-    """Fill the gamma positions of each vector (NULL shape marks the others)."""
-    flat = lambda s: np.concatenate([np.asarray(a, dtype=float) for a in s])
-    for pdf in batches:
-        if len(pdf):
-            values, a = flat(pdf["x"]), flat(pdf["shape"])
-            hit = ~np.isnan(a)
-            values[hit] = gamma_ppf(a[hit], flat(pdf["p"])[hit]) * flat(pdf["scale"])[hit]
-            cuts = np.cumsum(pdf["x"].str.len().to_numpy())[:-1]
-            yield pd.DataFrame({"source_id": pdf["source_id"], "row_id": pdf["row_id"], "x": np.split(values, cuts)})
-
-
 def indexed(variables: DataFrame) -> DataFrame:
     """Add ``idx``: the place of a variable in its source, from 0."""
     place = Window.partitionBy("source_id").orderBy("var_pos")
@@ -179,7 +167,7 @@ def declared_pairs(variables: DataFrame, correlations: DataFrame) -> DataFrame:
     )
 
 
-def source_rows(variables: DataFrame, correlations: DataFrame, seed: int, iteration: Column | int = 0) -> DataFrame:
+def source_rows(variables: DataFrame, correlations: DataFrame, seed: int) -> DataFrame:
     """One row per source: ordered variables, stream keys, Cholesky factor."""
     v = variables.groupBy("source_id").agg(
         F.array_sort(F.collect_list(F.struct("var_pos", "name", "distribution", "mean", "std", "min", "max", "categories"))).alias("v")
@@ -190,20 +178,12 @@ def source_rows(variables: DataFrame, correlations: DataFrame, seed: int, iterat
     sizes = variables.groupBy("source_id").agg(F.count(F.lit(1)).alias("k"))
     factors = pairs.join(sizes, "source_id").select("source_id", _factor_udf("k", "i", "j", "r").alias("factor"))
     both = v.join(factors, "source_id", "left")
-    step = iteration if isinstance(iteration, Column) else F.lit(iteration)
-    digest = lambda i: F.md5(F.concat_ws("|", F.lit(str(seed)), "source_id", step.cast("string"), i.cast("string")))
+    digest = lambda i: F.md5(F.concat_ws("|", F.lit(str(seed)), "source_id", F.lit(""), i.cast("string")))
     word = lambda d, w: F.conv(F.substring(d, 8 * w + 1, 8), 16, 10).cast("long").alias(f"k{w}")
     even = F.size("v") + F.size("v") % 2
     digests = F.transform(F.sequence(F.lit(0), even - 1), digest)
     both = both.withColumn("keys", F.transform(digests, lambda d: F.struct(*[word(d, w) for w in range(4)])))
-    cuts = lambda e: F.when(
-        has_categories(e["categories"]),
-        F.transform(
-            F.sequence(F.lit(1), F.size(e["categories"])),
-            lambda m: F.aggregate(F.slice(e["categories"], 1, m), F.lit(0.0), lambda acc, x: acc + x["prob"]),
-        ),
-    )
-    return both.withColumn("cuts", F.transform("v", cuts)).select("source_id", "v", "factor", "keys", "cuts")
+    return both.select("source_id", "v", "factor", "keys")
 
 
 def synthesize_many(
@@ -220,76 +200,35 @@ def synthesize_many(
     draw number) per source.  Sources without variables give no rows.  Work is
     spread by blocks of rows, so one source may want most of the rows.
     """
+    if n_rows <= 0:
+        return variables.sparkSession.createDataFrame([], "source_id string, row_id bigint, x array<double>")
     if isinstance(noise, DataFrame):
-        with_state = variables.join(noise, "source_id", "left_semi")
         step = F.col("iteration") if "iteration" in noise.columns else F.lit(iteration)
-        # keys depend on the draw number: attach it before they are made
-        tagged = noise.select("source_id", "noise", step.cast("string").alias("__step"))
-        base = source_rows(with_state.join(tagged.select("source_id", "__step"), "source_id").drop("__step"), correlations, seed, F.lit(""))
-        base = base.join(tagged, "source_id")
-        base = base.withColumn("keys", _rekeyed(F.col("keys"), F.col("__step"))).drop("__step")
+        tagged = noise.select("source_id", "noise", step.cast("string").alias("step"))
+        base = source_rows(variables.join(tagged, "source_id", "left_semi"), correlations, seed).join(tagged, "source_id")
     else:
-        base = source_rows(variables, correlations, seed, F.lit("")).withColumns({"noise": F.lit(float(noise))})
-        base = base.withColumn("keys", _rekeyed(F.col("keys"), F.lit(str(iteration))))
-    if n_rows <= 0:
-        return variables.sparkSession.createDataFrame([], "source_id string, row_id bigint, x array<double>")
+        base = source_rows(variables, correlations, seed).withColumns({"noise": F.lit(float(noise)), "step": F.lit(str(iteration))})
     blocks = -(-n_rows // ROW_BLOCK)
     # Two steps, so that no row holds one number per block of a very long table.
     strides = -(-blocks // ROW_BLOCK)
     df = base.withColumn("stride", F.explode(F.sequence(F.lit(0), F.lit(strides - 1)).cast("array<bigint>")))
     start = F.col("stride") * ROW_BLOCK
     df = df.withColumn("block", F.explode(F.sequence(start, F.least(start + ROW_BLOCK, F.lit(blocks)) - 1))).drop("stride")
-    spark = df.sparkSession
-    # A number keeps AQE from merging these few bytes, which stand for many rows.
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df = df.repartition(parts, "source_id", "block")
+    df = spread_out(df, "source_id", "block")
     first = F.col("block") * ROW_BLOCK
-    df = df.withColumn("row_id", F.explode(F.sequence(first, F.least(first + ROW_BLOCK, F.lit(n_rows)) - 1)))
-    df = df.withColumn("u", rng.uniform_array(F.col("keys"), F.col("row_id")))
-    at = lambda a, i: F.get(F.col(a), i)
-    normals = F.transform(
-        "u",
-        lambda x, i: F.when(i % 2 == 0, rng.box_muller(x, at("u", i + 1), True)).otherwise(rng.box_muller(at("u", i - 1), x, False)),
-    )
-    df = df.withColumn("g", normals)
-    mixed = F.transform("factor", lambda r: F.aggregate(F.zip_with(r, F.slice("g", 1, F.size(r)), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x))
-    df = df.withColumn("z", F.coalesce(mixed, F.slice("g", 1, F.size("v"))))
-    df = df.withColumn(
-        "p", F.transform("z", lambda z, i: F.when(at("v", i)["distribution"] != "normal", norm_cdf(z)))
-    )
+    df = df.select("source_id", "v", "factor", "keys", "noise", "step", first.alias("first"), F.least(first + ROW_BLOCK, F.lit(n_rows)).alias("last"))
+    return df.mapInArrow(draws.drawn, "source_id string, row_id bigint, x array<double>")
 
-    def value(e, i):
-        z, p = at("z", i), at("p", i)
-        low = F.coalesce(e["min"], e["mean"] - e["std"] * fv.UNIFORM_HALF_WIDTH_STD)
-        high = F.coalesce(e["max"], e["mean"] + e["std"] * fv.UNIFORM_HALF_WIDTH_STD)
-        spread = (high - low) * F.col("noise") * 0.5
-        code = F.least(F.size(F.filter(at("cuts", i), lambda c: c <= p)), F.size(e["categories"]) - 1).cast("double")
-        return (
-            F.when(e["distribution"] == "categorical", code)
-            .when(e["distribution"] == "uniform", low - spread + p * (high - low + spread * 2.0))
-            .otherwise(e["mean"] + e["std"] * (F.col("noise") + 1.0) * z)
-        )
-
-    df = df.withColumn("x", F.transform("v", value))
-    gamma = (F.col("distribution") == "gamma") & (F.col("mean") > 0) & (F.col("std") > 0)
-    if not variables.filter(gamma).isEmpty():
-        proper = lambda e: (e["distribution"] == "gamma") & (e["mean"] > 0) & (e["std"] > 0)
-        shape = F.transform("v", lambda e: F.when(proper(e), F.pow(e["mean"] / e["std"], F.lit(2.0))))
-        scale = F.transform("v", lambda e: F.when(proper(e), e["std"] * e["std"] / e["mean"]))
-        parts = df.select("source_id", "row_id", "x", "p", shape.alias("shape"), scale.alias("scale"))
-        return parts.mapInPandas(_gamma_places, "source_id string, row_id bigint, x array<double>")
-    return sealed(df.select("source_id", "row_id", "x"))
-
-
-def _rekeyed(keys: Column, step: Column) -> Column:
-    """Stream keys of one draw from the source's base keys."""
-    salt = F.conv(F.substring(F.md5(step), 1, 8), 16, 10).cast("long")
-    return F.transform(keys, lambda k: F.struct(*[k[f"k{w}"].bitwiseXOR(salt).alias(f"k{w}") for w in range(4)]))
-
-
-def wide_form(vectors: DataFrame, parameters: Parameters) -> DataFrame:
-    """Vectors of one source as a table with a column per variable, labels spelled out."""
-    columns = []
+
+def spread_out(df: DataFrame, *by: str) -> DataFrame:
+    """A number of partitions keeps adaptive execution from merging rows of few bytes that stand for much work."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
+def wide_form(vectors: DataFrame, parameters: Parameters, keep: Sequence[Column] = ()) -> DataFrame:
+    """Vectors of sources with these variables as a table with a column per variable, labels spelled out."""
+    columns = [*keep]
     for i, v in enumerate(parameters.variables):
         cell = F.get("x", F.lit(i))
         if v.distribution == "categorical":

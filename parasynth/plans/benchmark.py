@@ -2,12 +2,14 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, extract, profile, synthesize
-from ..params import load
+from ..operators import clean, evaluate, extract, profile, synthesize
+from ..params import Parameters, load
+from ..session import broadcast_if_small, cut_lineage
 from . import optimize
 
 
@@ -39,58 +41,122 @@ def extracted_parameters(spec: DatasetSpec):
     return load(variables, correlations), meta
 
 
+CELLS = (
+    "dataset string, domain string, seed int, source string, accuracy double, f1 double, roc_auc double, "
+    "pred_pos_rate double, true_pos_rate double, train_pos_prev double, fidelity_score double"
+)
+
+
+def _frames(spec: DatasetSpec, parameters: Parameters, split: DataFrame, n: int, seeds: list[int], iterations: int) -> tuple[DataFrame, DataFrame]:
+    """Training rows (seed, source, columns) of every source, and the state of the loop per seed.
+
+    Each seed has sources of its own in the batch operators, so each kind of
+    source is one job for all seeds.
+    """
+    spark = split.sparkSession
+    columns = [*spec.continuous, *spec.categorical, spec.target]
+    per_seed = lambda df: df.drop("source_id").crossJoin(F.broadcast(spark.createDataFrame([(str(s),) for s in seeds], "source_id string")))  # noqa: E731  a row per seed
+    v, c = (per_seed(t) for t in parameters.tables(spark))
+    state, _ = optimize.run_loop(v, c, iterations, n)
+    seed = F.col("source_id").cast("int").alias("seed")
+
+    def tagged(vectors: DataFrame, source: str) -> DataFrame:
+        wide = synthesize.wide_form(vectors, parameters, keep=[seed])
+        return wide.select("seed", F.lit(source).alias("source"), *columns)
+
+    real = split.filter("NOT is_test").select("seed", F.lit("real").alias("source"), *columns)
+    frames = [
+        real, tagged(optimize.best_data(v, c, state, n), "parameters"),  # the very rows that were scored
+        tagged(synthesize.synthesize_many(v, c.limit(0), n, seed=1), "independent"),
+    ]
+    for s in seeds:
+        fitted = synthesize.fit_copula(split.filter(f"NOT is_test AND seed = {s}"), spec.continuous, [*spec.categorical, spec.target])
+        frames.append(synthesize.sample_copula(spark, fitted, n, s).select(F.lit(s).alias("seed"), F.lit("fitted_copula").alias("source"), *columns))
+    return reduce(DataFrame.unionByName, frames), state.select(seed, "best_score")
+
+
+def _coded(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """Adds ``<column>_code``: the place of the label among those of the seed's real training rows, NULL if it isn't there."""
+    own = labels.filter(F.col("column") == column).select("seed", F.col("label").alias(column), F.col("code").alias(f"{column}_code"))
+    return df.join(broadcast_if_small(own), ["seed", column], "left")
+
+
 def tstr(spec: DatasetSpec, n_seeds: int = 5, iterations: int = 3) -> DataFrame:
     """(dataset, domain, seed, source, accuracy, f1, roc_auc, rates, fidelity).
 
     Trains on the real rows and on each synthetic table, tests on real rows.
-    The driver walks over seeds and sources only; every step is a Spark job.
+    The models of all seeds and sources are fitted together, and so are their
+    scores. A source with a label that the seed's real training rows lack is
+    left out. Targets of more than two labels have a model of label code 1
+    against the rest.
     """
     parameters, _ = extracted_parameters(spec)
-    spark = spec.df.sparkSession
-    columns = [*spec.continuous, *spec.categorical, spec.target]
-    base = spec.df.select(spec.row, *columns).na.drop()
-    rows = []
-    for seed in range(n_seeds):
-        split = evaluate.stratified_split(base, spec.target, spec.row, 0.2, seed).persist()
-        train, test = split.filter("not is_test").drop("is_test"), split.filter("is_test").drop("is_test")
-        n = train.count()
-        v, c = parameters.tables(spark)
-        state, _ = optimize.run_loop(v, c, iterations, n, seed)
-        best = state.first()
-        frames = {
-            "real": train,
-            "parameters": synthesize.wide_form(optimize.best_data(v, c, state, n, seed), parameters),  # the very rows that were scored
-            "independent": synthesize.synthesize_independent(spark, parameters, n, seed),
-            "fitted_copula": synthesize.sample_copula(
-                spark, synthesize.fit_copula(train, spec.continuous, [*spec.categorical, spec.target]), n, seed
-            ),
-        }
-        positive = evaluate.positive_label(train, spec.target).first()[0]
-        encoders = {c: evaluate.encoder(train, c) for c in [*spec.categorical, spec.target]}
-        code = list(encoders[spec.target].labels).index(positive)
-        for source, frame in frames.items():
-            if any(not evaluate.unseen_labels(frame, c, train).isEmpty() for c in encoders):
-                continue
-            scored = evaluate.train_and_score(frame, test, spec.continuous, spec.categorical, spec.target, encoders).persist()
-            basic = evaluate.classifier_metrics(scored).first()
-            rates = scored.agg(
-                evaluate.rate(F.col("prediction") == code).alias("pred"), evaluate.rate(F.col("label") == code).alias("true")
-            ).first()
-            auc = evaluate.roc_auc(scored, "label", "score").first()[0]
-            prevalence = frame.agg(evaluate.rate(F.col(spec.target) == positive)).first()[0]
-            scored.unpersist()
-            rows.append((
-                spec.name, spec.domain, seed, source, basic.accuracy, basic.f1, auc, rates.pred, rates.true, prevalence,
-                best.best_score if source == "parameters" else None,
-            ))
-        split.unpersist()
-    return spark.createDataFrame(
-        rows,
-        "dataset string, domain string, seed int, source string, accuracy double, f1 double, roc_auc double, "
-        "pred_pos_rate double, true_pos_rate double, train_pos_prev double, fidelity_score double",
+    labelled = [*spec.categorical, spec.target]
+    columns = [*spec.continuous, *labelled]
+    base = spec.df.select(spec.row, *[F.col(c).cast("double").alias(c) for c in spec.continuous], *[F.col(c).cast("string").alias(c) for c in labelled])
+    base = cut_lineage(base.na.drop())
+    seeds = list(range(n_seeds))
+    splits = [evaluate.stratified_split(base, spec.target, spec.row, 0.2, s).withColumn("seed", F.lit(s)) for s in seeds]
+    split = cut_lineage(reduce(DataFrame.unionByName, splits))
+    sizes = {r["seed"]: r["n"] for r in split.filter("NOT is_test").groupBy("seed").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = max(sizes.values(), default=0)  # the split takes the same number for every seed
+    frames, state = _frames(spec, parameters, split, n, seeds, iterations)
+
+    train = split.filter("NOT is_test")
+    known = train.select("seed", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in labelled])).alias("e")).select("seed", "e.*").distinct()
+    place = F.row_number().over(Window.partitionBy("seed", "column").orderBy("label")) - 1
+    labels = cut_lineage(known.withColumn("code", place.cast("double")))
+    marked = F.min(F.when(F.trim("label").startswith(">"), F.col("code")))
+    positive = labels.filter(F.col("column") == spec.target).groupBy("seed").agg(F.coalesce(marked, F.max("code")).alias("positive"))
+
+    inputs = F.array(*spec.continuous, *[f"{c}_code" for c in spec.categorical]).alias("features")
+    unseen = reduce(lambda a, b: a | b, [F.col(f"{c}_code").isNull() for c in labelled])
+
+    def prepared(df: DataFrame, *keep: str) -> DataFrame:
+        for c in labelled:
+            df = _coded(df, labels, c)
+        return df.select(*keep, inputs, F.col(f"{spec.target}_code").alias("code"), (F.col(f"{spec.target}_code") == 1).cast("double").alias("label"), unseen.alias("unseen"))
+
+    cells = ["seed", "source"]
+    rows = cut_lineage(prepared(frames.select(*cells, *columns), *cells))
+    bad = rows.groupBy(*cells).agg(F.max("unseen").alias("unseen")).filter("unseen").select(*cells)
+    rows = rows.join(F.broadcast(bad), cells, "left_anti")  # at most a row per seed and source
+    models = evaluate.fit_logistic(rows, cells)
+
+    test = prepared(split.filter("is_test"), "seed")
+    listed = rows.select(*cells).distinct()
+    scored = cut_lineage(models.score(test.filter("NOT unseen").join(F.broadcast(listed), "seed"), "features").join(F.broadcast(positive), "seed"))
+    predicted = F.when(F.col("prediction") == 1, 1.0).otherwise(0.0)
+    basic = evaluate.classifier_metrics(scored, by=cells).join(evaluate.roc_auc(scored, "label", "score", cells), cells)
+    rates = scored.groupBy(*cells).agg(evaluate.rate(predicted == F.col("positive")).alias("pred_pos_rate"), evaluate.rate(F.col("code") == F.col("positive")).alias("true_pos_rate"))
+    prevalence = rows.join(F.broadcast(positive), "seed").groupBy(*cells).agg(evaluate.rate(F.col("code") == F.col("positive")).alias("train_pos_prev"))
+    out = basic.join(rates, cells).join(prevalence, cells).join(F.broadcast(state.withColumn("source", F.lit("parameters"))), cells, "left")
+    return out.select(
+        F.lit(spec.name).alias("dataset"), F.lit(spec.domain).alias("domain"), *cells, "accuracy", "f1", "roc_auc",
+        "pred_pos_rate", "true_pos_rate", "train_pos_prev", F.col("best_score").alias("fidelity_score"),
     )
 
 
+def run_benchmark(specs: Sequence[DatasetSpec], n_seeds: int = 5, iterations: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(cells, skipped): the cells of every data set, and (dataset, reason) of those that can't run.
+
+    A data set without its target or another required column, without rows, or
+    that fails otherwise, doesn't stop the others.
+    """
+    cells, skipped = [], []
+    for spec in specs:
+        try:
+            if spec.target not in spec.df.columns:
+                raise ValueError(f"missing target: {spec.target}")
+            if not clean.require_columns(spec.df, columns := [spec.row, *spec.continuous, *spec.categorical]):
+                raise ValueError(f"missing columns: {', '.join(c for c in columns if c not in spec.df.columns)}")
+            cells.append(cut_lineage(tstr(spec, n_seeds, iterations)))
+        except Exception as error:  # noqa: BLE001  reported with its data set
+            skipped.append((spec.name, f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"[:300]))
+    spark = SparkSession.getActiveSession()
+    return reduce(DataFrame.unionByName, cells, spark.createDataFrame([], CELLS)), spark.createDataFrame(skipped, "dataset string, reason string")
+
+
 def empirical_summary(cells: DataFrame) -> DataFrame:
     """Mean and deviation over seeds: one row per synthetic source, beside the real baseline."""
     metrics = ["accuracy", "f1", "roc_auc"]

@@ -1,11 +1,13 @@
 """Synthesis-validation loop with a noise schedule, for many sources at once."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.scans import running_before
-from ..operators import synthesize, validate
+from ..operators import draws, synthesize, validate
 from ..session import cut_lineage
 
 
@@ -77,28 +79,65 @@ def run_loop(
 ) -> tuple[DataFrame, DataFrame]:
     """Run the loop for every source together: (state, log).
 
-    One job per iteration over all sources.  The state is a row per source
-    (best score, its draw and noise, current noise, streak); data is not kept,
-    because a draw is reproduced from seed, iteration and noise by
-    :func:`best_data`.  ``start`` continues from an earlier state, at the
-    iteration after its last one, so no draw is scored twice.
+    The state is a row per source (best score, its draw and noise, current
+    noise, streak); data is not kept, because a draw is reproduced from seed,
+    iteration and noise by :func:`best_data`.  ``start`` continues from an
+    earlier state, at the iteration after its last one, so no draw is scored
+    twice.
     """
     if variables.isEmpty():
         raise ValueError("no variables were extracted: nothing to synthesise")
-    variables, correlations = cut_lineage(variables), cut_lineage(correlations)
-    state = start or variables.select("source_id").distinct().select(
+    state = start or first_state(variables)
+    return _loop(variables, correlations, state.withColumn("steps", F.lit(iterations)), n_rows, seed, thresholds)
+
+
+def first_state(variables: DataFrame) -> DataFrame:
+    return variables.select("source_id").distinct().select(
         "source_id", F.lit(fv.START_SCORE).alias("best_score"), F.lit(None).cast("int").alias("best_iteration"),
         F.lit(None).cast("double").alias("best_noise"), F.lit(fv.INITIAL_NOISE).alias("noise"), F.lit(0).cast("long").alias("streak"),
         F.lit(0).alias("next_iteration"),
     )
-    first = state.agg(F.max("next_iteration")).first()[0] or 0
-    state, logs = cut_lineage(state), []
-    for iteration in range(first, first + iterations):
+
+
+STATE = ["source_id", "best_score", "best_iteration", "best_noise", "noise", "streak", "next_iteration"]
+LOG = ["source_id", "iteration", "noise_level", "score", "improved", "approved"]
+
+
+def _loop(variables: DataFrame, correlations: DataFrame, state: DataFrame, n_rows: int, seed: int, thresholds: dict | None) -> tuple[DataFrame, DataFrame]:
+    """Each source takes ``steps`` steps of its own.
+
+    A step depends on the source's own scores only, so where a task can hold a
+    table, one job runs all steps of all sources side by side. Longer tables
+    take a job per step over the sources that have steps left.
+    """
+    if n_rows > draws.WHOLE:
+        return _loop_by_steps(variables, correlations, state, n_rows, seed, thresholds)
+    limits = validate.thresholds(thresholds)
+    pairs = synthesize.declared_pairs(variables, correlations).groupBy("source_id").agg(F.collect_list(F.struct("i", "j", "r")).alias("pairs"))
+    state = cut_lineage(state)
+    rows = state.join(synthesize.source_rows(variables, correlations, seed), "source_id", "left").join(pairs, "source_id", "left")
+    # Rows of many steps and of few are mixed by the source's name.
+    steps = cut_lineage(synthesize.spread_out(rows, "source_id").mapInArrow(draws.looped(n_rows, limits["ks_pvalue"], limits["fidelity_score"]), draws.STEPS))
+    last = steps.groupBy("source_id").agg(F.max_by(F.struct(*STATE[1:-1], F.col("iteration")), "iteration").alias("s"))
+    after = last.select("source_id", *[F.col(f"s.{c}").alias(c) for c in STATE[1:-1]], (F.col("s.iteration") + 1).alias("next_iteration"))
+    idle = state.join(after, "source_id", "left_anti").select(*STATE)
+    return after.unionByName(idle), steps.select(*LOG)
+
+
+def _loop_by_steps(variables: DataFrame, correlations: DataFrame, state: DataFrame, n_rows: int, seed: int, thresholds: dict | None) -> tuple[DataFrame, DataFrame]:
+    variables, correlations = cut_lineage(variables), cut_lineage(correlations)
+    active, done, logs = cut_lineage(state), [], []
+    log = variables.sparkSession.createDataFrame([], "source_id string, iteration int, noise_level double, score double, improved boolean, approved boolean")
+    while True:
+        done.append(active.filter("steps <= 0").select(*STATE))
+        active = active.filter("steps > 0")
+        if active.isEmpty():
+            break
         vectors = synthesize.synthesize_many(
-            variables, correlations, n_rows, state.select("source_id", "noise"), seed, iteration
+            variables, correlations, n_rows, active.select("source_id", "noise", F.col("next_iteration").alias("iteration")), seed
         ).persist()
         report = validate.validate(vectors, variables, correlations, thresholds, privacy=False, buckets=256)
-        step = state.join(report.select("source_id", "overall_score", "approved"), "source_id", "left")
+        step = active.join(report.select("source_id", "overall_score", "approved"), "source_id", "left")
         score = F.coalesce("overall_score", F.lit(fv.START_SCORE))
         better = score > F.col("best_score")
         streak = F.when(better, F.lit(0)).otherwise(F.col("streak") + 1).cast("long")
@@ -106,20 +145,15 @@ def run_loop(
             step.withColumns({"score": score, "improved": better}).withColumn("new_streak", streak)
         )
         vectors.unpersist()
-        logs.append(step.select("source_id", F.lit(iteration).alias("iteration"), F.col("noise").alias("noise_level"), "score", "improved", "approved"))
-        state = step.select(
+        logs.append(step.select("source_id", F.col("next_iteration").alias("iteration"), F.col("noise").alias("noise_level"), "score", "improved", "approved"))
+        active = step.select(
             "source_id", F.when(F.col("improved"), F.col("score")).otherwise(F.col("best_score")).alias("best_score"),
-            F.when(F.col("improved"), F.lit(iteration)).otherwise(F.col("best_iteration")).alias("best_iteration"),
+            F.when(F.col("improved"), F.col("next_iteration")).otherwise(F.col("best_iteration")).alias("best_iteration"),
             F.when(F.col("improved"), F.col("noise")).otherwise(F.col("best_noise")).alias("best_noise"),
             F.when(F.col("improved"), F.col("noise")).otherwise(next_noise(F.col("new_streak"), F.col("noise"))).alias("noise"),
-            F.col("new_streak").alias("streak"), F.lit(iteration + 1).alias("next_iteration"),
+            F.col("new_streak").alias("streak"), (F.col("next_iteration") + 1).alias("next_iteration"), (F.col("steps") - 1).alias("steps"),
         )
-    log = logs[0] if logs else variables.sparkSession.createDataFrame(
-        [], "source_id string, iteration int, noise_level double, score double, improved boolean, approved boolean"
-    )
-    for part in logs[1:]:
-        log = log.unionByName(part)
-    return state, log
+    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, logs, log)
 
 
 def best_data(variables: DataFrame, correlations: DataFrame, state: DataFrame, n_rows: int = fv.DEFAULT_ROWS, seed: int = fv.DEFAULT_SEED) -> DataFrame:
@@ -135,9 +169,9 @@ def noise_grid(
 ) -> DataFrame:
     """(text_id, seed, iterations, score) over sources x seeds x loop lengths.
 
-    Every cell draws for itself: seed and length make its sources, which all
-    cells run through one loop together, so there is one job per iteration and
-    not one per cell and iteration. Zero iterations score the first draw.
+    Every cell draws for itself: seed and length make its sources, and each
+    leaves the loop after its own last step. Zero iterations score the first
+    draw.
     """
     cells = F.explode(F.array(*[
         F.struct(F.lit(s).alias("seed"), F.lit(i).alias("iterations")) for s in range(n_seeds) for i in iterations_grid
@@ -147,11 +181,11 @@ def noise_grid(
         named = F.concat_ws("/", "source_id", F.col("cell.seed"), F.col("cell.iterations"))
         return df.select("*", cells).withColumn("source_id", named).drop("cell")
 
-    longest = max(max(iterations_grid), 1)
     names = variables.select("source_id").distinct().select(F.col("source_id").alias("text_id"), cells).select(
         "text_id", F.col("cell.seed").alias("seed"), F.col("cell.iterations").alias("iterations"),
         F.concat_ws("/", "text_id", F.col("cell.seed"), F.col("cell.iterations")).alias("source_id"),
     )
-    _, log = run_loop(spread(variables), spread(correlations), longest, n_rows, 0)
-    kept = log.join(names, "source_id").filter(F.col("iteration") < F.greatest("iterations", F.lit(1)))
-    return kept.groupBy("text_id", "seed", "iterations").agg(F.max("score").alias("score"))
+    variables, correlations = spread(variables), spread(correlations)
+    state = first_state(variables).join(names.select("source_id", F.greatest("iterations", F.lit(1)).alias("steps")), "source_id")
+    _, log = _loop(variables, correlations, state, n_rows, 0, None)
+    return log.join(names, "source_id").groupBy("text_id", "seed", "iterations").agg(F.max("score").alias("score"))
