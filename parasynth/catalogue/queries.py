@@ -9,7 +9,7 @@ from ..functions.ks import ks_statistic
 from ..operators import clean, discover, evaluate, extract, merge, profile, synthesize, validate
 from ..params import Parameters, Variable
 from ..plans import benchmark, optimize
-from ..session import table
+from ..session import cut_lineage, table
 from ..sources import files
 from . import inputs
 
@@ -356,7 +356,7 @@ def _ks(spark, sf, variable):
     p = Parameters([variable])
     v = validate.cut_lineage(synthesize.indexed(p.tables(spark)[0]))
     vectors = validate.wide_vectors(table(spark, sf, "lineitem"), p)
-    d = ks_statistic(validate.distribution_positions(vectors, v), ["source_id", "idx"], 1)
+    d = ks_statistic(validate.distribution_positions(vectors, v), ["source_id", "idx"])
     return _round(d.select("n", F.col("d")), 8, "d")
 
 

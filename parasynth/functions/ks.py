@@ -14,25 +14,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
 BROADCAST_BUCKETS = 1 << 20
 FEW_ROWS = 1 << 20
 
 
-def ks_statistic(long: DataFrame, group: Sequence[str], n_groups: int | None = None, buckets: int = 4096, levels: int = 2) -> DataFrame:
+def ks_statistic(long: DataFrame, group: Sequence[str], buckets: int = 4096, levels: int = 2, counted: DataFrame | None = None) -> DataFrame:
     """(group, u) -> (group, n, d).  ``u`` lies in [0, 1]; NULLs are left out.
 
-    ``n_groups`` is the number of groups when known; it bounds the size of the
-    candidate table and so decides whether that table may be broadcast.
+    ``counted`` is the first histogram (group, path, n, lo, hi) where a scan for
+    other statistics has made it already. The table of candidate buckets is
+    broadcast where it is counted to be small.
     """
     group = list(group)
-    bounded = n_groups is not None and n_groups * buckets <= BROADCAST_BUCKETS
-    hint = F.broadcast if bounded else (lambda df: df)
+    hint = lambda df: broadcast_if_small(df, BROADCAST_BUCKETS)  # noqa: E731  a part of a table written down
     slot = lambda share: F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("long")
     rows = long.filter(F.col("u").isNotNull()).select(*group, "u", slot(F.col("u")).alias("path"))
 
-    counted = rows.groupBy(*group, "path").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("lo"), F.max("u").alias("hi"))
+    if counted is None:
+        counted = rows.groupBy(*group, "path").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("lo"), F.max("u").alias("hi"))
     running = Window.partitionBy(*group).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     hist = counted.withColumns({

@@ -95,6 +95,16 @@ class Source:
 
     # --- scores ------------------------------------------------------------------------------
 
+    @classmethod
+    def position(cls, v: dict, x: np.ndarray) -> np.ndarray | None:
+        """Each value's place in its distribution; None where the declared deviation or width is 0."""
+        if v["distribution"] == "uniform":
+            low, width = cls.low(v), cls.high(v) - cls.low(v)
+            return np.clip((x - low) / width, 0.0, 1.0) if width else None
+        if cls.proper_gamma(v):
+            return gamma_p(np.full(len(x), (v["mean"] / v["std"]) ** 2), x / (v["std"] * v["std"] / v["mean"]))
+        return norm_cdf((x - v["mean"]) / v["std"]) if v["std"] else None
+
     def _fits(self, v: dict, x: np.ndarray) -> float:
         """The p-value of one variable's column."""
         if v["distribution"] == "categorical":
@@ -104,13 +114,7 @@ class Source:
                 return 0.0
             seen = np.bincount(x.astype(int), minlength=len(share))
             return 1.0 if len(share) == 1 else chi2_sf(float(((seen - expected) ** 2 / expected).sum()), len(share) - 1)
-        if v["distribution"] == "uniform":
-            low, width = self.low(v), self.high(v) - self.low(v)
-            u = np.clip((x - low) / width, 0.0, 1.0) if width else None
-        elif self.proper_gamma(v):
-            u = gamma_p(np.full(len(x), (v["mean"] / v["std"]) ** 2), x / (v["std"] * v["std"] / v["mean"]))
-        else:
-            u = norm_cdf((x - v["mean"]) / v["std"]) if v["std"] else None
+        u = self.position(v, x)
         if u is None or not len(u):
             return 0.0
         u, n = np.sort(u), len(u)

@@ -26,6 +26,8 @@ from ..schemas import (
     uniform_low,
 )
 from ..session import broadcast_if_small, cut_lineage, sealed, small
+from . import onepass
+from .onepass import Scan
 from .synthesize import declared_pairs, indexed
 
 DIRECT_PAIRS = 60
@@ -138,6 +140,9 @@ def distribution_fit(
     statistic, so it fails.
     """
     v, vectors = _present(variables, present), without_nan(vectors)
+    if small(v, onepass.VARIABLES):
+        scan = Scan(vectors, v, buckets)
+        return _fit(vectors, v, scan.summary(), buckets, scan)
     return _fit(vectors, v, summary(vectors, v), buckets)
 
 
@@ -146,9 +151,11 @@ def _present(variables: DataFrame, present: list[str] | None) -> DataFrame:
     return cut_lineage(v if present is None else v.filter(F.col("name").isin(*present)))
 
 
-def _fit(vectors: DataFrame, v: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
-    groups = v.count() if small(v) else None
-    ks = ks_statistic(distribution_positions(vectors, v), ["source_id", "idx"], groups, buckets)
+def _fit(vectors: DataFrame, v: DataFrame, found: DataFrame, buckets: int, scan: Scan | None = None) -> DataFrame:
+    if scan is None:
+        ks = ks_statistic(distribution_positions(vectors, v), ["source_id", "idx"], buckets)
+    else:
+        ks = ks_statistic(scan.places(), ["source_id", "idx"], buckets, counted=scan.histogram())
     ks = ks.select("source_id", "idx", "n", F.col("d").alias("statistic"), kolmogorov_sf_udf("d", "n").alias("p"))
     declared = v.filter(~is_categorical()).select("source_id", "idx").join(vectors.select("source_id").distinct(), "source_id", "left_semi")
     ks = declared.join(ks, ["source_id", "idx"], "left").select(
@@ -168,7 +175,9 @@ def vector_correlations(vectors: DataFrame, k: int) -> DataFrame:
         return vectors.sparkSession.createDataFrame([], "source_id string, i int, j int, r double")
 
     def correlation(a, b):
-        spread = lambda x, y: F.stddev_pop(F.when(y.isNotNull(), x))
+        there = lambda x, y: F.when(y.isNotNull(), x)
+        # Merged partial deviations of a constant need not be exactly 0.
+        spread = lambda x, y: F.when(F.max(there(x, y)) > F.min(there(x, y)), F.stddev_pop(there(x, y)))
         return F.coalesce(F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a)), F.lit(0.0))
 
     if len(pairs) <= DIRECT_PAIRS:
@@ -212,14 +221,16 @@ def _pair_moments(batches):
             yield pa.RecordBatch.from_arrays(columns, ["source_id", "i", "j", "n", "a", "b", "aa", "bb", "ab"])
 
 
-def correlation_similarity(vectors: DataFrame, variables: DataFrame, correlations: DataFrame) -> DataFrame:
+def correlation_similarity(vectors: DataFrame, variables: DataFrame, correlations: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """(source_id, corr_similarity): 1 - mean |difference| / 2 over all pairs.
 
     A pair that was not declared has target 0; fewer than two variables give 1.
+    ``found`` holds the correlations where a scan has made them already.
     """
     sizes = cut_lineage(variables.groupBy("source_id").agg(F.count(F.lit(1)).alias("k")))
-    widest = sizes.agg(F.max("k")).first()[0] or 0
-    found = vector_correlations(vectors, widest).withColumnRenamed("r", "seen")
+    if found is None:
+        found = vector_correlations(vectors, sizes.agg(F.max("k")).first()[0] or 0)
+    found = found.withColumnRenamed("r", "seen")
     found = found.join(sizes, "source_id").filter(F.col("j") < F.col("k"))
     wanted = declared_pairs(variables, correlations).filter("i <> j").withColumnRenamed("r", "wanted")
     scored = found.join(wanted, ["source_id", "i", "j"], "left").groupBy("source_id").agg(
@@ -318,8 +329,9 @@ def validate(
     """One fidelity row per source.  ``vectors`` needs ``row_id`` for privacy."""
     limits = thresholds(custom_thresholds)
     v, vectors = _present(variables, None), without_nan(vectors)
-    found = cut_lineage(summary(vectors, v))
-    fit = _fit(vectors, v, found, buckets)
+    scan = Scan(vectors, v, buckets) if small(v, onepass.VARIABLES) else None
+    found = cut_lineage(summary(vectors, v)) if scan is None else scan.summary()
+    fit = _fit(vectors, v, found, buckets, scan)
     passed = F.avg((F.col("pvalue") >= limits["ks_pvalue"]).cast("double")) * 100.0
     as_map = lambda c: F.map_from_entries(
         F.transform(F.array_sort(F.collect_list(F.struct("idx", "name", c))), lambda e: F.struct(e["name"], e[c]))
@@ -327,7 +339,7 @@ def validate(
     fits = fit.groupBy("source_id").agg(
         passed.alias("ks"), F.max("n").alias("n_rows"), as_map("pvalue").alias("ks_pvalues"), as_map("statistic").alias("ks_stats")
     )
-    out = fits.join(correlation_similarity(vectors, v.drop("idx"), correlations), "source_id").join(_bias(v, _biased(v, found)), "source_id")
+    out = fits.join(correlation_similarity(vectors, v.drop("idx"), correlations, scan and scan.correlations()), "source_id").join(_bias(v, _biased(v, found)), "source_id")
     overall = (
         F.col("ks") * fv.WEIGHT_FIT + F.col("corr_similarity") * 100.0 * fv.WEIGHT_CORRELATION + F.col("bias") * 100.0 * fv.WEIGHT_BIAS
     )

@@ -1,7 +1,9 @@
 """Synthesis-validation loop with a noise schedule, for many sources at once."""
 
+import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +25,12 @@ def next_noise(streak, noise):
 def noise_schedule(scores: DataFrame, run: str = "run_id", position: str = "position", score: str = "score") -> DataFrame:
     """Replay the ratchet over score logs: one row per step with its noise.
 
-    ``position`` orders a run by distinct integers.  Best score, streak and the
-    last reset come from scans over ranges of positions; only the steps since
-    the last reset (a few) are folded, so a run holding most of the log is
-    still spread over tasks.
+    ``position`` orders a run by distinct integers.  Best score and streak come
+    from scans over ranges of positions. What a step does to the noise is a
+    function x -> clamp(m x, low, high); such functions are closed under
+    composition, so the noise before a step is a prefix of compositions, taken
+    within blocks of steps and over the blocks: linear work, and a run holding
+    most of the log is spread over tasks.
     """
     g = [run]
     log = scores.select(run, F.col(position).alias("position"), F.col(score).cast("double").alias("score"))
@@ -38,27 +42,57 @@ def noise_schedule(scores: DataFrame, run: str = "run_id", position: str = "posi
     )
     log = running_before(cut_lineage(log), g, "position", {"last_hit": (F.max, F.when(F.col("improved"), F.col("iteration")))})
     streak = F.when(F.col("improved"), F.lit(0)).otherwise(F.col("iteration") - F.coalesce("last_hit", F.lit(-1)))
-    log = log.withColumn("streak", streak.cast("long")).drop("last_hit")
-    reset = ~F.col("improved") & (F.col("streak") % (2 * fv.PATIENCE) == 0)
-    log = log.withColumn("reset", reset)
-    log = running_before(cut_lineage(log), g, "position", {"since": (F.max, F.when(F.col("reset"), F.col("iteration")))})
-    log = log.withColumn("since", F.coalesce("since", F.lit(-1)))
-    stretch = log.groupBy(run, "since").agg(
-        F.array_sort(F.collect_list(F.struct("iteration", "position", "score", "improved", "streak", "best_before"))).alias("steps")
+    log = cut_lineage(log.withColumn("streak", streak.cast("long")).drop("last_hit"))
+    down, reset = F.col("streak") % fv.PATIENCE == 0, F.col("streak") % (2 * fv.PATIENCE) == 0
+    pick = lambda same, restart, less, more: (
+        F.when(F.col("improved"), F.lit(same)).when(reset, F.lit(restart)).when(down, F.lit(less)).otherwise(F.lit(more)).cast("double")
     )
-    stepped = F.aggregate(
-        "steps",
-        F.struct(F.lit(fv.INITIAL_NOISE).alias("noise"), F.array().cast("array<double>").alias("used")),
-        lambda acc, s: F.struct(
-            F.when(s["improved"], acc["noise"]).otherwise(next_noise(s["streak"], acc["noise"])).alias("noise"),
-            F.concat(acc["used"], F.array(acc["noise"])).alias("used"),
-        ),
+    steps = log.select(
+        run, F.col("iteration").alias("at"), pick(1.0, 0.0, fv.NOISE_DOWN, fv.NOISE_UP).alias("m"),
+        pick(-math.inf, fv.INITIAL_NOISE, fv.MIN_NOISE, -math.inf).alias("low"), pick(math.inf, fv.INITIAL_NOISE, math.inf, fv.MAX_NOISE).alias("high"),
     )
-    used = stretch.withColumn("used", stepped["used"])
-    return used.select(run, F.posexplode("steps").alias("i", "s"), "used").select(
-        run, "s.position", "s.iteration", "s.score", F.get("used", F.col("i")).alias("noise"), "s.improved", "s.streak",
-        F.greatest("s.best_before", "s.score").alias("best_score"),
+    noise = composed_before(steps, run).select(
+        run, F.col("at").alias("iteration"), F.greatest(F.col("low"), F.least(F.col("high"), F.col("m") * fv.INITIAL_NOISE)).alias("noise")
     )
+    return log.join(noise, [run, "iteration"]).select(
+        run, "position", "iteration", "score", "noise", "improved", "streak", F.greatest("best_before", "score").alias("best_score"),
+    )
+
+
+#: Steps whose functions one task composes.
+STEP_BLOCK = 4_096
+
+
+def composed_before(steps: DataFrame, run: str) -> DataFrame:
+    """(run, at, m, low, high): the functions of all steps before ``at``, one after the other, as one.
+
+    ``at`` counts the steps of a run from 0.
+    """
+    kind = steps.schema[run].dataType.simpleString()
+    own = f"`{run}` {kind}, at long, m double, low double, high double"
+    steps = steps.withColumn("block", F.floor(F.col("at") / STEP_BLOCK))
+    start = [F.lit(1.0).alias("start_m"), F.lit(-math.inf).alias("start_low"), F.lit(math.inf).alias("start_high")]
+    if (steps.agg(F.max("block")).first()[0] or 0) == 0:
+        placed = steps.select("*", *start)
+    else:
+        whole = cut_lineage(steps.groupBy(run, "block").applyInPandas(lambda pdf: _composed(pdf, run, True), own))
+        before = composed_before(whole, run).select(run, F.col("at").alias("block"), F.col("m").alias("start_m"), F.col("low").alias("start_low"), F.col("high").alias("start_high"))
+        placed = steps.join(before, [run, "block"])
+    return cut_lineage(placed.groupBy(run, "block").applyInPandas(lambda pdf: _composed(pdf, run, False), own))
+
+
+def _composed(pdf: pd.DataFrame, run: str, total: bool) -> pd.DataFrame:
+    """The functions before each step of a block, given the one before the block; with ``total``, that of the whole block."""
+    pdf = pdf.sort_values("at")
+    m, low, high = (1.0, -math.inf, math.inf) if total else (float(pdf[c].iloc[0]) for c in ("start_m", "start_low", "start_high"))
+    out = []
+    for step_m, step_low, step_high in zip(pdf["m"].tolist(), pdf["low"].tolist(), pdf["high"].tolist()):
+        out.append((m, low, high))
+        clamp = lambda x: max(step_low, min(step_high, x))  # noqa: B023, E731
+        m, low, high = step_m * m, clamp(step_m * low if step_m else 0.0), clamp(step_m * high if step_m else 0.0)
+    if total:
+        return pd.DataFrame({run: [pdf[run].iloc[0]], "at": [int(pdf["block"].iloc[0])], "m": [m], "low": [low], "high": [high]})
+    return pd.DataFrame({run: pdf[run].to_numpy(), "at": pdf["at"].to_numpy(), **{c: [o[i] for o in out] for i, c in enumerate(("m", "low", "high"))}})
 
 
 def ratchet_best(scores: DataFrame, run: str = "run_id", position: str = "position", score: str = "score") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 import random
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -145,3 +146,52 @@ def test_benchmark_isolates_data_sets(spark):
     assert {r.dataset for r in cells.collect()} == {"set"}
     why = {r.dataset: r.reason for r in skipped.collect()}
     assert why.keys() == {"no target", "no column", "empty"} and "gone" in why["no target"] and "lost" in why["no column"]
+
+
+def test_one_scan_gives_what_separate_scans_give(spark, monkeypatch):
+    """With nulls, unknown labels, several sources per task and few sources kept."""
+    from parasynth.operators import onepass
+
+    monkeypatch.setattr(onepass, "KEPT", 1)
+    rnd = random.Random(8)
+    p = Parameters(MIXED.variables[:2] + [Variable("k", "normal", 3.0, 0.0), MIXED.variables[3], Variable("g", "gamma", 4.0, 2.0)], [("a", "b", 0.4)])
+    rows = [(f"s{i % 3}", i, [None if rnd.random() < 0.1 else rnd.gauss(15, 1), rnd.uniform(-1, 11), 3.0, rnd.choice([0.0, 1.0, 2.0, None]), rnd.gammavariate(4, 1)]) for i in range(3_000)]
+    x = spark.createDataFrame(rows, "source_id string, row_id long, x array<double>").repartition(5)
+    v, c = p.tables(spark)
+    v = reduce(type(v).unionByName, [v.withColumn("source_id", F.lit(f"s{i}")) for i in range(3)])
+    c = reduce(type(c).unionByName, [c.withColumn("source_id", F.lit(f"s{i}")) for i in range(3)])
+    fast = validate.validate(x, v, c, privacy=False, buckets=64).orderBy("source_id").collect()
+    monkeypatch.setattr(onepass, "VARIABLES", -1)
+    slow = validate.validate(x, v, c, privacy=False, buckets=64).orderBy("source_id").collect()
+    for a, b in zip(fast, slow):
+        assert (a.source_id, a.overall_score, a.ks_score, a.corr_score, a.bias_score, a.n_rows, a.approved) == (b.source_id, b.overall_score, b.ks_score, b.corr_score, b.bias_score, b.n_rows, b.approved)
+        assert a.ks_pvalues.keys() == b.ks_pvalues.keys() and all(a.ks_pvalues[k] == pytest.approx(b.ks_pvalues[k], abs=1e-9) for k in a.ks_pvalues)
+        assert all(a.ks_stats[k] == (b.ks_stats[k] if b.ks_stats[k] is None else pytest.approx(b.ks_stats[k], abs=1e-10)) for k in a.ks_stats)
+
+
+def test_noise_is_a_composition(spark, monkeypatch):
+    """Blocks of blocks of steps, against the plain fold; a run of 20,000 rising steps."""
+    from parasynth import fixed_values as fv
+
+    monkeypatch.setattr(optimize, "STEP_BLOCK", 8)
+    rnd = random.Random(3)
+    runs = {r: [rnd.choice([rnd.random() * 40 + i / 9, rnd.random() * 10]) for i in range(n)] for r, n in (("a", 700), ("b", 5), ("c", 1))}
+    rows = [(r, 3 * i, s) for r, own in runs.items() for i, s in enumerate(own)]
+    got = {(r.run_id, r.position): r.noise for r in optimize.noise_schedule(spark.createDataFrame(rows, "run_id string, position long, score double").repartition(4)).collect()}
+    for run, own in runs.items():
+        noise, best, streak = fv.INITIAL_NOISE, fv.START_SCORE, 0
+        for i, s in enumerate(own):
+            assert got[run, 3 * i] == pytest.approx(noise, rel=1e-12)
+            if s > best:
+                best, streak = s, 0
+                continue
+            streak += 1
+            if streak % (2 * fv.PATIENCE) == 0:
+                noise = fv.INITIAL_NOISE
+            elif streak % fv.PATIENCE == 0:
+                noise = max(noise * fv.NOISE_DOWN, fv.MIN_NOISE)
+            else:
+                noise = min(noise * fv.NOISE_UP, fv.MAX_NOISE)
+    monkeypatch.undo()
+    rising = optimize.noise_schedule(spark.range(20_000).selectExpr("'r' AS run_id", "id AS position", "CAST(id AS double) AS score"))
+    assert {(r.noise, r.streak) for r in rising.select("noise", "streak").distinct().collect()} == {(fv.INITIAL_NOISE, 0)} and rising.count() == 20_000

@@ -75,7 +75,7 @@ def test_ks_distance_is_exact_on_hard_data(spark, buckets, levels, monkeypatch):
     g = np.random.default_rng(1)
     x = np.concatenate([g.uniform(0, 1, 800), np.full(700, 0.25), 0.5 + g.uniform(0, 1e-9, 900), np.ones(5)])
     df = spark.createDataFrame([("a", float(v)) for v in x] + [("b", float(v)) for v in x[:800]] + [("c", 0.3)], "g string, u double")
-    got = {r.g: r.d for r in ks_statistic(df, ["g"], 3, buckets, levels).collect()}
+    got = {r.g: r.d for r in ks_statistic(df, ["g"], buckets, levels).collect()}
     assert got == pytest.approx({"a": brute_ks(x), "b": brute_ks(x[:800]), "c": 0.7}, abs=1e-12)
 
 
