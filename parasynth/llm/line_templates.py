@@ -11,14 +11,14 @@ all of them but the first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, sealed
 from .common import checkpointed, text_key, texts
 
-#: A template in this many different texts is dropped.
-MIN_DOCS = 10
+#: A template in this many different texts is dropped; a line's own one of LONG tokens or more already in LONG_DOCS.
+MIN_DOCS, LONG, LONG_DOCS = 10, 20, 2
 #: Leading tokens that choose a leaf, and the share of further places that must hold the leaf's constants.
 DEPTH, SIMILARITY = 3, 0.6
 #: A token (run of non-blanks) that holds a digit.
@@ -42,15 +42,19 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, longest: int
     return rows.select("doc_id", "ka", "kb", "line_no", "chars", "tokens", leaf.alias("leaf"), F.xxhash64("tokens").alias("full"))
 
 
-def _recurring(lines: DataFrame, by: str, min_docs: int) -> DataFrame:
-    """Templates in ``min_docs`` texts or more, with the text that keeps them: smallest identifier, then key."""
-    once = lines.groupBy(by, "ka", "kb").agg(F.min("doc_id").alias("doc_id"))
+def _recurring(lines: DataFrame, by: str, min_docs: Column) -> DataFrame:
+    """Templates in ``min_docs`` texts or more, with the text that keeps them: smallest identifier, then key.
+
+    ``min_docs`` may depend on ``n``, the number of tokens.
+    """
+    once = lines.groupBy(by, "ka", "kb").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb"))
-    found = once.groupBy(by).agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where(F.col("n") >= min_docs)
-    return found.select(by, F.col("first.ka").alias("first_ka"), F.col("first.kb").alias("first_kb"))
+    found = once.groupBy(by).agg(F.count(F.lit(1)).alias("texts"), F.max("n").alias("n"), first.alias("first")).where(F.col("texts") >= min_docs)
+    # Written down, so that a template of most lines is a join that Spark can split.
+    return checkpointed(found.select(by, F.col("first.ka").alias("first_ka"), F.col("first.kb").alias("first_kb")))
 
 
-def _marked(lines: DataFrame, by: str, min_docs: int) -> DataFrame:
+def _marked(lines: DataFrame, by: str, min_docs: Column) -> DataFrame:
     elsewhere = (F.col("ka") != F.col("first_ka")) | (F.col("kb") != F.col("first_kb"))
     return lines.join(_recurring(lines, by, min_docs), by).where(elsewhere).select("ka", "kb", "line_no")
 
@@ -68,19 +72,21 @@ def _generalised(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str,
     fields = votes.groupBy("leaf", "at").agg(F.max_by("token", F.struct("n", "token")).alias("token"), (2 * F.max("n") > F.sum("n")).alias("constant"))
     constants = fields.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", F.when(F.col("constant"), F.col("token")).alias("token")))).alias("constants"))
     held = F.size(F.filter("places", lambda t, i: F.coalesce(t == F.get(F.col("constants"), i)["token"], F.lit(False))))
-    return rows.join(constants, "leaf").where(held >= F.lit(similarity) * F.size("places")).select("doc_id", "ka", "kb", "line_no", "leaf")
+    return rows.join(constants, "leaf").where(held >= F.lit(similarity) * F.size("places")).select("doc_id", "ka", "kb", "line_no", "leaf", F.size("places").alias("n"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``ka``, ``kb`` and ``dropped``, the sorted numbers (from 0) of a text's lines to drop; texts without any are left out.
 
     Equal texts count once, so copies of a document don't make its lines
-    recur. Counts are combined before each shuffle; a line in a third of all
+    recur. A line of LONG tokens or more that is the same but for its variable
+    fields in LONG_DOCS texts goes from all but the first. Counts are combined before each shuffle; a line in a third of all
     documents is one row from each task.
     """
     lines = checkpointed(_lines(docs, id_col, text_col, depth).select("doc_id", "ka", "kb", "line_no", "chars", "leaf", "full", F.size("tokens").alias("n")))
     general = _generalised(docs, lines, id_col, text_col, min_docs, depth, similarity)
-    marked = _marked(lines, "full", min_docs).unionAll(_marked(checkpointed(general), "leaf", min_docs))
+    few = F.when(F.col("n") >= LONG, F.least(F.lit(LONG_DOCS), F.lit(min_docs))).otherwise(F.lit(min_docs))
+    marked = _marked(lines, "full", few).unionAll(_marked(checkpointed(general), "leaf", F.lit(min_docs)))
     return marked.groupBy("ka", "kb").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
 

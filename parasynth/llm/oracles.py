@@ -48,7 +48,7 @@ def quality_rules() -> str:
     FROM r LEFT JOIN best ON r.stratum = best.stratum"""
 
 
-def line_templates(min_docs: int, depth: int, similarity: float) -> str:
+def line_templates(min_docs: int, depth: int, similarity: float, long: int, long_docs: int) -> str:
     """Lines unnested, templates as strings, votes per place of a leaf."""
     leaf = " || ' ' || ".join(["len(toks)", *[f"toks[{i + 1}]" for i in range(depth)]])
     return rf"""
@@ -57,7 +57,7 @@ def line_templates(min_docs: int, depth: int, similarity: float) -> str:
     y AS (SELECT doc_id, t, n, list_transform(list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda w: w <> ''),
                  lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS toks FROM x),
     z AS (SELECT *, array_to_string(toks, ' ') AS f FROM y WHERE len(toks) > 0),
-    rf AS (SELECT f, arg_min(t, doc_id) AS ft FROM z GROUP BY f HAVING count(DISTINCT t) >= {min_docs}),
+    rf AS (SELECT f, arg_min(t, doc_id) AS ft FROM z GROUP BY f HAVING count(DISTINCT t) >= CASE WHEN max(len(toks)) >= {long} THEN {long_docs} ELSE {min_docs} END),
     v AS (SELECT *, {leaf} AS leaf, toks[{depth + 1}:] AS p FROM z WHERE len(toks) > {depth}),
     w AS (SELECT * FROM v WHERE leaf IN (SELECT leaf FROM v GROUP BY leaf HAVING count(*) >= {min_docs} AND count(DISTINCT f) > 1)),
     u AS (SELECT doc_id, n, leaf, unnest(range(0, len(p))) AS pos, unnest(p) AS w FROM w),

@@ -41,11 +41,11 @@ ORACLES["op4_quality_rules"] = oracles.quality_rules()
 
 @query
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document without the lines whose template recurs in ten texts or more."""
+    """Every document without the lines whose template recurs in ten texts or more, long ones in two."""
     return line_templates.drop_recurring_lines(table(spark, sf, "documents"), counts=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
-ORACLES["op10_line_dedup"] = oracles.line_templates(line_templates.MIN_DOCS, line_templates.DEPTH, line_templates.SIMILARITY)
+ORACLES["op10_line_dedup"] = oracles.line_templates(line_templates.MIN_DOCS, line_templates.DEPTH, line_templates.SIMILARITY, line_templates.LONG, line_templates.LONG_DOCS)
 
 
 @query

@@ -19,7 +19,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from .common import checkpointed, column, partitions, per_batch, text_key, texts
 from .components import components
 
@@ -28,13 +27,6 @@ BITS = 64
 BLOCK = 1024
 #: Up to this many are compared by offset, all keys of a batch at once.
 SHORT = 32
-#: Minima in a sketch, and keys made of two of them each.
-SKETCH, PAIRS = 256, 10
-#: Candidates have at least this share of equal minima, less where few shingles make the share uncertain.
-CANDIDATE = 0.65
-#: Hashes of shingle sets in one block of a candidate group, on average.
-HASHES = 1 << 20
-
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
@@ -59,15 +51,6 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits((2 * counts > len(hashes)).ravel()).tobytes(), "big")
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """SKETCH minima, one per equal range of hash values; an empty range borrows from the next one."""
-    if not len(hashes):
-        return np.zeros(SKETCH, np.uint64)
-    ordered = np.sort(hashes)
-    at = np.searchsorted(ordered, np.arange(SKETCH, dtype=np.uint64) * np.uint64(2**64 // SKETCH))
-    return ordered[at % len(ordered)]
-
-
 def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``ka``, ``kb`` (key of the text) and ``fp``, the fingerprint as a signed long, one row per document."""
 
@@ -129,64 +112,6 @@ def _by_chain(max_bits: int) -> Callable:
     return lambda rows, i, j: test.from_start(rows["node"][i].view(np.uint64) ^ rows["node"][j].view(np.uint64), ((rows["key"][i] >> 56) >> 1).astype(np.int64))
 
 
-def _by_sketch(similarity: float) -> Callable:
-    """Candidates only: four standard errors of the share below ``similarity`` pass, whatever the number of shingles."""
-    def linked(rows: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        ok = np.zeros(len(i), bool)
-        for at in range(0, len(i), 1 << 14):
-            part = slice(at, at + (1 << 14))
-            fewest = np.clip(np.minimum(rows["size"][i[part]], rows["size"][j[part]]), 1, SKETCH)
-            least = np.minimum(min(CANDIDATE, similarity), similarity - 4 * np.sqrt(similarity * (1 - similarity) / fewest))
-            ok[part] = (rows["sketch"][i[part]] == rows["sketch"][j[part]]).mean(axis=1) >= least
-        return ok
-
-    return linked
-
-
-def _alike(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A forest of the pairs whose exact Jaccard is ``similarity`` or more; sets are distinct hashes, none empty.
-
-    A set that a tree has reached is compared with those that no tree has yet.
-    """
-    sizes = np.array([len(s) for s in sets])
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    own = np.split(codes, np.cumsum(sizes)[:-1])
-    member = np.zeros(len(codes), bool)
-    left, queue, edges = np.arange(len(sets)), [], []
-    while len(left):
-        if queue:
-            pivot = queue.pop()
-        else:
-            pivot, codes, left = int(left[0]), codes[sizes[left[0]] :], left[1:]
-            if not len(left):
-                break
-        member[own[pivot]] = True
-        hits = np.add.reduceat(member[codes].astype(np.int64), np.cumsum(sizes[left]) - sizes[left])
-        member[own[pivot]] = False
-        ok = hits / (sizes[pivot] + sizes[left] - hits) >= similarity
-        if ok.any():
-            queue += left[ok].tolist()
-            edges += [(pivot, x) for x in left[ok].tolist()]
-            codes, left = codes[np.repeat(~ok, sizes[left])], left[~ok]
-    return edges
-
-
-def _edges_of_sets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, lo, hi): links among the shingle sets of each run of equal ones."""
-    run, nodes, sets = None, [], []
-    for batch in _with_end(batches):
-        rows = [((), None, None)] if batch is None else zip(zip(*(column(batch, c).tolist() for c in ("key", "lo", "hi"))), column(batch, "node").tolist(), batch.column(batch.schema.get_field_index("set")).to_pylist())
-        a, b = [], []
-        for at, node, found in rows:
-            if at != run:
-                for i, j in _alike(sets, similarity) if len(sets) > 1 else []:
-                    a.append(nodes[i]), b.append(nodes[j])
-                run, nodes, sets = at, [], []
-            if found is not None:
-                nodes.append(node), sets.append(np.frombuffer(found, np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
 def _run_edges(rows: dict, start: int, size: int, linked: Callable) -> tuple[np.ndarray, np.ndarray]:
     """A forest of what is linked within one long run: each pass joins every row's tree with those it links to."""
     n, root = size, np.arange(size)
@@ -231,7 +156,7 @@ def _edges_of_runs(batches: Iterator[pa.RecordBatch], names: list[str], linked:
     for batch in _with_end(batches):
         rows = rest
         if batch is not None:
-            now = {c: _sketches(batch) if c == "sketch" else column(batch, c) for c in names}
+            now = {c: column(batch, c) for c in names}
             rows = {c: np.concatenate((rest[c], now[c])) for c in names} if rest else now
         if not rows:
             continue
@@ -261,36 +186,25 @@ def _edges_of_runs(batches: Iterator[pa.RecordBatch], names: list[str], linked:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _sketches(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(batch.schema.get_field_index("sketch")).to_pylist()), np.uint16).reshape(-1, SKETCH)
-
-
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
     yield None
 
 
-def _met(keys: DataFrame, linked: Callable | None, values: DataFrame | None = None, similarity: float | None = None) -> DataFrame:
+def _met(keys: DataFrame, linked: Callable) -> DataFrame:
     """Edges (``a``, ``b``) among nodes that share a key and are ``linked``.
 
     Not every pair: each task gives a forest of what is linked within a block of
     a key. A key with more than BLOCK nodes is dealt out as pairs of blocks, so
-    no task holds more than two blocks at once. Without ``linked``, ``values``
-    has shingle sets, which decide by ``similarity``, and keys have their sizes.
+    no task holds more than two blocks at once.
     """
     keys = checkpointed(keys)
-    total = F.lit(0) if linked else F.sum("size")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), total.alias("total")).where("n > 1")
-    blocks = F.greatest(F.ceil(F.col("n") / F.lit(BLOCK)), F.ceil(F.col("total") / F.lit(HASHES))).cast("long")
-    dealt = keys.join(shared, "key").select("key", "node", blocks.alias("blocks"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    dealt = keys.join(shared, "key").select("key", "node", F.ceil(F.col("n") / F.lit(BLOCK)).cast("long").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = dealt.select("key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node")
-    if values is not None:
-        dealt = dealt.join(values, "node")
     dealt = dealt.repartition(partitions(keys), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    if linked is None:
-        return dealt.mapInArrow(lambda batches: _edges_of_sets(batches, similarity), "a long, b long")
     names = dealt.columns
     return dealt.mapInArrow(lambda batches: _edges_of_runs(batches, names, linked), "a long, b long")
 
@@ -301,6 +215,16 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     return _met(keys, _by_chain(max_bits))
 
 
+def _grouped(docs: DataFrame, shingle_words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and ``fp``, ``least`` (its smallest identifier), ``component`` (a fingerprint that names it)."""
+    if max_bits < 1:
+        raise ValueError("max_bits must be 1 or more")
+    prints = checkpointed(fingerprints(docs, shingle_words, id_col, text_col))
+    found = components(links(prints, max_bits), "a", "b").withColumnRenamed("node", "fp")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return prints, least.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``ka``, ``kb``, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -310,69 +234,28 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
     identifier stays null and gives no component its number: a component of
     such rows alone has a null one. An empty table gives no rows.
     """
-    if max_bits < 1:
-        raise ValueError("max_bits must be 1 or more")
-    prints = checkpointed(fingerprints(docs, shingle_words, id_col, text_col))
-    found = components(links(prints, max_bits), "a", "b").withColumnRenamed("node", "fp")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    named = least.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    prints, named = _grouped(docs, shingle_words, max_bits, id_col, text_col)
     numbers = named.groupBy("component").agg(F.min("least").alias("component_id"))
     labelled = named.join(numbers, "component").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(labelled, "fp").select("doc_id", "ka", "kb", hexed.alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ka``, ``kb`` and ``component`` (of texts): near-duplicates by likeness of their shingle sets.
-
-    At a likeness of 0.8 fingerprints differ in some ten bits, too many for keys
-    cut from the fingerprint. Texts meet under PAIRS keys of two sketch minima
-    each instead (a pair of likeness 0.8 misses all of them once in 25,000
-    times); those with enough equal minima are candidates. The fingerprint has no
-    say: it counts repeated shingles, likeness doesn't. Within each group of candidates the exact Jaccard of the
-    shingle sets decides. Texts without a word are all alike.
-    """
-
-    def work(batch: pa.RecordBatch) -> dict:
-        minima, sizes, keys = [], [], []
-        for t in batch.column(1).to_pylist():
-            hashes = shingle_hashes(t, shingle_words)
-            s = sketch(hashes)
-            minima.append(s.astype(np.uint16).tobytes())
-            sizes.append(len(np.unique(hashes)))
-            picked = s[:: SKETCH // (2 * PAIRS)][: 2 * PAIRS].reshape(PAIRS, 2)
-            keys.append((picked[:, 0] * np.uint64(0x9E3779B97F4A7C15) + picked[:, 1] + np.arange(PAIRS, dtype=np.uint64)).view(np.int64).tolist())
-        return {"doc_id": batch.column(0), "ka": batch.column(2), "kb": batch.column(3), "size": pa.array(sizes, pa.int32()), "sketch": pa.array(minima, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))}
-
-    def exact(batch: pa.RecordBatch) -> dict:
-        # No word: a set of one, so such texts are alike.
-        sets = [np.unique(h) if len(h := shingle_hashes(t, shingle_words)) else np.zeros(1, np.uint64) for t in batch.column(0).to_pylist()]
-        return {"node": batch.column(1), "key": batch.column(2), "size": pa.array([len(x) for x in sets], pa.int32()), "set": pa.array([x.tobytes() for x in sets], pa.binary())}
-
-    rows = _keyed(docs, id_col, text_col)
-    made = per_batch(rows, work, "doc_id long, ka long, kb long, size int, sketch binary, keys array<long>")
-    made = checkpointed(made)
-    values = made.groupBy(F.col("ka").alias("node")).agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
-    keys = made.select(F.col("ka").alias("node"), F.explode("keys").alias("key")).distinct()
-    groups = components(_met(keys, _by_sketch(similarity), values), "a", "b").withColumnRenamed("node", "ka")
-    sets = per_batch(rows.join(broadcast_if_small(groups), "ka").select("text", "ka", "component"), exact, "node long, key long, size int, set binary")
-    sets = checkpointed(sets.groupBy("node").agg(F.first("key").alias("key"), F.first("size").alias("size"), F.first("set").alias("set")))
-    edges = _met(sets.select("key", "node", "size"), None, sets.select("node", "set"), similarity)
-    found = components(edges, "a", "b")
-    return made.select("doc_id", "ka", "kb").join(found.withColumnRenamed("node", "ka"), "ka", "left").select("doc_id", "ka", "kb", F.coalesce("component", "ka").alias("component"))
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates (see similar_groups), columns as they were.
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component (see near_duplicates), columns as they were.
 
     The row with the smallest identifier stays (null ones come last, then the
-    smallest text key decides); of repeated rows one stays.
+    smallest text key decides); of repeated rows one stays. Null and empty
+    texts are one group; an empty table gives no rows.
     """
-    groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how)
+    prints, named = _grouped(docs, shingle_words, max_bits, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb")
-    kept = groups.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.ka").alias("ka"), F.col("first.kb").alias("kb"), F.col("first.doc_id").alias("keep_id"))
+    # The first row of each fingerprint before those of a component, so a large group is few rows.
+    firsts = prints.groupBy("fp").agg(F.min(order).alias("first")).join(named.select("fp", "component"), "fp")
+    kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.ka").alias("ka"), F.col("first.kb").alias("kb"), F.col("first.doc_id").alias("keep_id"))
     key = text_key(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key["a"].alias("ka"), key["b"].alias("kb"))
-    rows = rows.join(kept, ["ka", "kb"]).where(F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("keep_id")))
+    # Written down, so that a text with most of the rows is a join that Spark can split.
+    rows = rows.join(checkpointed(kept), ["ka", "kb"]).where(F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("keep_id")))
     one = rows.withColumn("nth", F.row_number().over(Window.partitionBy("ka", "kb").orderBy("ka"))).where("nth = 1")
     return one.select("row.*")

@@ -114,57 +114,22 @@ def test_simhash_odd(odd, none):
 
 
 def test_drop_near_duplicates(spark, odd, none):
+    """One row of each component of near_duplicates stays, the first; links may chain."""
     rnd = random.Random(4)
-    words = prose(rnd, 300).split()
-    near = list(words)
-    near[5] = near[250] = "zzz"
-    rows = [(3, " ".join(words)), (1, " ".join(near)), (1, " ".join(near)), (2, prose(rnd, 300)), (9, " ".join(words))]
-    assert [r.doc_id for r in simhash.drop_near_duplicates(docs_of(spark, rows)).orderBy("doc_id").collect()] == [1, 2]
+    rows = []
+    for g in range(30):
+        words = prose(rnd, 200).split()
+        rows += [(100 * g + k, " ".join(words + ["end"] * k)) for k in (5, 3, 0, 1)]
+    rows += [(2, rows[0][1]), (2, rows[0][1]), (-7, "alone here"), (-7, "alone here"), (9_999, rows[7][1])]
+    docs = docs_of(spark, rows).repartition(3)
+    labels = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    kept = [r.doc_id for r in simhash.drop_near_duplicates(docs).collect()]
+    assert sorted(kept) == sorted(set(labels.values())) and len(kept) < 60 and -7 in kept and 9_999 not in kept
     kept = simhash.drop_near_duplicates(odd)
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "7", "None"]
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
-def test_repeated_shingles_hide_no_copy(spark):
-    rows = []
-    for g in range(20):
-        words = [f"g{g}w{i}" for i in range(300)]
-        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words + words[:20] * 30))]
-    assert len({r.component for r in simhash.similar_groups(docs_of(spark, rows)).collect()}) == 20
-
-
-def jaccard_components(rows, least):
-    words = {i: t.lower().split() for i, t in rows}
-    sets = {i: {" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, w in words.items()}
-    label, changed = {i: i for i in sets}, True
-    while changed:
-        changed = False
-        for a in sets:
-            for b in sets:
-                if label[b] < label[a] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least:
-                    label[a], changed = label[b], True
-    return label
-
-
-@pytest.mark.parametrize("block", [1024, 7])
-def test_exact_likeness_decides(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    rnd = random.Random(21)
-    rows = []
-    for g in range(60):  # of 50 or 100 shingles: one cut end each, likeness just above, at or below 0.8
-        n = rnd.choice((50, 100))
-        words = [f"g{g}w{i}" for i in range(n + 4)]
-        cut = n // 5 + rnd.choice((-2, -1, 0, 1, 2))
-        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[: len(words) - cut]))]
-    chain = [f"c{i}" for i in range(104)]
-    rows += [(1000 + k, " ".join(chain[5 * k : 5 * k + 64])) for k in range(9)]
-    got = {r.doc_id: r.component for r in simhash.similar_groups(docs_of(spark, rows)).collect()}
-    first = {}
-    for i in sorted(got):
-        first.setdefault(got[i], i)
-    assert {i: first[c] for i, c in got.items()} == jaccard_components(rows, 0.8)
-
-
 # --- licences ---------------------------------------------------------------------------
 
 
@@ -496,6 +461,10 @@ def test_line_templates(spark, odd, none):
         lines = t.split("\n")
         assert got[i].text == "\n".join([lines[0], lines[3], ""]) and got[i].n_dropped == 2
     assert got[50].n_dropped == 0  # copies of one text count once
+    passage = prose(rnd, 50)
+    long = [(i, f"{prose(rnd, 5)}\n{passage} {i}\n{prose(rnd, 19)}") for i in range(3)] + [(3, f"short of it\n{rows[1][1]}"), (4, "short of it")]
+    left = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(docs_of(spark, long)).collect()}
+    assert left[0] == long[0][1] and left[4] == "short of it" and all(left[i].split("\n") == long[i][1].split("\n")[::2] for i in (1, 2))
     kept = line_templates.drop_recurring_lines(odd)
     assert tuples(kept) == tuples(odd) and kept.columns == odd.columns and line_templates.drop_recurring_lines(none).count() == 0
 

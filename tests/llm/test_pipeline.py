@@ -6,7 +6,7 @@ import sys
 
 import corpus_pipeline
 import pytest
-from parasynth.llm import secrets
+from parasynth.llm import secrets, simhash
 from parasynth.llm.queries import TOKENIZER
 from tokenizers import Tokenizer
 
@@ -27,6 +27,10 @@ def folder(spark, tmp_path_factory):
     near = rows[1][1].split(" ")
     near[40] = "changed"
     rows += [(300, " ".join(near))]
+    first, second = rows[5][1].split("\n")[::2]
+    rest = lambda t: int(simhash.majority_bits(simhash.shingle_hashes(t, 4)))
+    word = next(w for w in WORDS if 0 < (rest(f"{first} {w}\n{second} {w}") ^ rest(f"{first}\n{second}")).bit_count() <= 4)
+    rows += [(301, f"{first} {word}\nRead more at page 5 of this site\n{second} {word}")]  # few bits apart once the middle line is gone
     rows += [(400, prose(rnd, 120) + " password=x9Kq+vB2zQ7 " + prose(rnd, 40)), (401, prose(rnd, 3000))]
     spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{where}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
@@ -46,7 +50,8 @@ def test_stages(spark, folder):
     assert set(texts) - set(seen["quality_rules"]) == {100, 101, 102}
     lines = seen["line_dedup"]
     assert "Read more" in lines[0].text and "Read more" not in lines[5].text and all(r.n_chars == len(r.text) for r in lines.values())
-    assert set(lines) - set(seen["simhash_near_dedup"]) == {200, 201, 202, 300}
+    assert lines[300].text.split("\n") == texts[300].split("\n")[:1]  # its second line is long and that of document 1
+    assert set(lines) - set(seen["simhash_near_dedup"]) == {200, 201, 202, 301}
     assert "[SECRET]" in seen["secret_scan"][400].text and seen["secret_scan"][401].text == texts[401]
     tokenizer = Tokenizer.from_file(TOKENIZER[0])
     packed = corpus_pipeline.run(spark, where).toPandas()
