@@ -20,13 +20,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines whose template recurs in ten texts or more go from all but the first."""
+    """Lines whose template recurs in ten texts or more, long ones in two, go from all but the first."""
     return _measured(line_templates.drop_recurring_lines(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, likeness of 0.8 or more."""
-    return simhash.drop_near_duplicates(docs, shingle_words=5, similarity=0.8)
+    """One document of each group of near-duplicates stays: four-word shingles, at most four differing bits."""
+    return simhash.drop_near_duplicates(docs, shingle_words=4, max_bits=4)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
