@@ -31,6 +31,8 @@ ORDER = 5
 BLOCK_CHARS = 8_000_000
 #: Rows of a model that a task may hold: 16 bytes each, a few numbers per language beside them.
 MODEL_ROWS = 3_000_000
+#: Trusted documents whose identifiers are broadcast.
+TRUSTED_IDS = 1_000_000
 #: Documents beyond this quantile of trusted ones go; a text counts as this many more characters at its language's mean.
 QUANTILE, PRIOR = 0.999, 200
 PAD = "\x02"
@@ -94,6 +96,8 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, id_col: str =
     documents the model has no rows.
     """
     good = _trusted(labels).where(~_held_out())
+    # Identifiers of eight bytes: up to a million go to the texts, more of them meet the texts in a shuffle.
+    good = broadcast_if_small(checkpointed(good), TRUSTED_IDS)
     rows = _rows(docs, id_col, text_col, lang_col).join(good, "doc_id", "left_semi").where(F.length("text") > 0)
     tables = {order: checkpointed(_counts(rows, order))}
     for n in range(order - 1, 0, -1):
@@ -330,6 +334,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     held = scored.where("n_chars > 0 AND logp IS NOT NULL").join(good, "doc_id", "left_semi")
     means = checkpointed(held.groupBy("lang").agg((-F.sum("logp") / F.sum("n_chars")).alias("mean")))
     perplexity = F.exp((F.lit(prior) * F.col("mean") - F.col("logp")) / (F.lit(prior) + F.col("n_chars")))
-    cut = held.join(means, "lang").groupBy("lang").agg(F.percentile_approx(perplexity, F.lit(quantile), F.lit(100_000)).alias("threshold"))
-    out = scored.join(means.join(cut, "lang"), "lang", "left").withColumn("perplexity", perplexity)
+    cut = held.join(broadcast_if_small(means), "lang").groupBy("lang").agg(F.percentile_approx(perplexity, F.lit(quantile), F.lit(100_000)).alias("threshold"))
+    limits = checkpointed(means.join(cut, "lang"))  # one row per language
+    out = scored.join(broadcast_if_small(limits), "lang", "left").withColumn("perplexity", perplexity)
     return out.select("doc_id", "lang", "n_chars", F.round("perplexity", 6).alias("perplexity"), F.round("threshold", 6).alias("threshold"), F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))
