@@ -497,3 +497,24 @@ SELECT role, v AS verbose_tokens, k AS short_tokens, round((v - k) / v * 100, 6)
 
 # The same texts in markup give the same parameters.
 ORACLES["process_pages"] = ORACLES["extract_with_fallback"]
+
+
+ORACLES["correlation_retention"] = """
+WITH t AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'real' ELSE 'later' END AS source, (l_discount::DOUBLE > 0.05)::INT::DOUBLE AS y,
+                  l_quantity::DOUBLE AS l_quantity, l_extendedprice::DOUBLE AS l_extendedprice, l_discount::DOUBLE AS l_discount FROM lineitem),
+c AS (UNPIVOT (SELECT source, corr(l_quantity, y) AS l_quantity, corr(l_extendedprice, y) AS l_extendedprice, corr(l_discount, y) AS l_discount FROM t GROUP BY source)
+      ON l_quantity, l_extendedprice, l_discount INTO NAME feature VALUE corr)
+SELECT c.source, c.feature, round(c.corr, 6) AS corr, round(r.corr, 6) AS real_corr
+FROM c JOIN c r ON c.feature = r.feature AND r.source = 'real' WHERE c.source <> 'real'"""
+
+_GAP_METRICS = {
+    "true_pos_rate": "s.tp", "pred_pos_rate": "s.pp", "train_pos_prev": "s.prev",
+    "f1_gap": "r.f1 - s.f1", "pred_rate_gap": "s.pp - r.pp", "prevalence_gap": "s.prev - r.prev",
+}
+ORACLES["score_gaps"] = f"""
+WITH e AS (SELECT (user_id % 20)::INT AS seed, CASE WHEN event_type = 'click' THEN 'real' ELSE event_type END AS source,
+                  avg(value) AS f1, avg((value > 50)::INT::DOUBLE) AS pp, avg((value > 20)::INT::DOUBLE) AS tp, avg((value > 80)::INT::DOUBLE) AS prev
+           FROM events GROUP BY ALL)
+SELECT 'events' AS dataset, s.source, count(*) AS n_seeds,
+       {', '.join(f"round(avg({x}), 6) AS {m}_mean, round(CASE WHEN count(*) >= 2 THEN stddev_samp({x}) ELSE 0 END, 6) AS {m}_std" for m, x in _GAP_METRICS.items())}
+FROM e s JOIN e r ON s.seed = r.seed AND r.source = 'real' WHERE s.source <> 'real' GROUP BY s.source"""

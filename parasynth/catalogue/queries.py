@@ -588,3 +588,38 @@ def _quality_spec(spark, sf):
 @query
 def tstr_metrics(spark, sf):
     return benchmark.tstr(_quality_spec(spark, sf))
+
+
+@query
+def loop_gain(spark, sf):
+    v, c, _ = inputs.merged_by_nation(spark, sf)
+    return _round(benchmark.loop_gain(optimize.noise_grid(v, c, (0, 5))), 6, "mean_diff", "t", "p")
+
+
+@query
+def benchmark_gaps(spark, sf):
+    return benchmark.gap_summary(benchmark.tstr(_quality_spec(spark, sf)))
+
+
+@query
+def correlation_retention(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linestatus") == "F", "real").otherwise("later").alias("source"), "l_returnflag",
+        F.col("l_quantity").cast("double").alias("l_quantity"), F.col("l_extendedprice").cast("double").alias("l_extendedprice"),
+        F.col("l_discount").cast("double").alias("l_discount"),
+    )
+    discounted = F.col("l_discount") > 0.05
+    kept = benchmark.correlation_retention(li, ["l_quantity", "l_extendedprice", "l_discount"], discounted)
+    return _round(kept, 6, "corr", "real_corr").drop("retained")
+
+
+@query
+def score_gaps(spark, sf):
+    """Kinds of events as sources, users as seeds: gap of each kind to clicks."""
+    e = table(spark, sf, "events").groupBy((F.col("user_id") % 20).cast("int").alias("seed"), F.col("event_type").alias("source")).agg(
+        F.avg("value").alias("f1"), F.avg((F.col("value") > 50).cast("double")).alias("pred_pos_rate"),
+        F.avg((F.col("value") > 20).cast("double")).alias("true_pos_rate"), F.avg((F.col("value") > 80).cast("double")).alias("train_pos_prev"),
+    )
+    cells = e.withColumn("source", F.when(F.col("source") == "click", "real").otherwise(F.col("source"))).withColumn("dataset", F.lit("events"))
+    out = benchmark.gap_summary(cells)
+    return _round(out, 6, *[c for c in out.columns if c.endswith(("_mean", "_std"))])

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate, extract, profile, synthesize
@@ -170,5 +170,34 @@ def empirical_summary(cells: DataFrame) -> DataFrame:
 
 
 def gap_summary(cells: DataFrame) -> DataFrame:
-    """Predicted, true and training rates of the positive class per source."""
-    return evaluate.seed_summary(cells, ["dataset", "source"], ["true_pos_rate", "pred_pos_rate", "train_pos_prev"])
+    """Why synthetic rows train worse models: one row per data set and synthetic source, beside the real rows.
+
+    Mean and deviation over seeds of the F1 gap, of the rates of the positive
+    class among predictions, true and training labels, and how far the training
+    rate is from the real one.
+    """
+    rates = ["true_pos_rate", "pred_pos_rate", "train_pos_prev"]
+    real = cells.filter("source = 'real'").select("dataset", "seed", F.col("f1").alias("real_f1"), F.col("pred_pos_rate").alias("real_pred"), F.col("train_pos_prev").alias("real_prev"))
+    both = cells.filter("source <> 'real'").join(real, ["dataset", "seed"])
+    both = both.withColumns({
+        "f1_gap": F.col("real_f1") - F.col("f1"), "pred_rate_gap": F.col("pred_pos_rate") - F.col("real_pred"), "prevalence_gap": F.col("train_pos_prev") - F.col("real_prev"),
+    })
+    return evaluate.seed_summary(both, ["dataset", "source"], [*rates, "f1_gap", "pred_rate_gap", "prevalence_gap"])
+
+
+def correlation_retention(tables: DataFrame, features: Sequence[str], positive: Column, real: str = "real") -> DataFrame:
+    """(source, feature, corr, real_corr, retained): how much of each feature's correlation with the target a source keeps.
+
+    ``tables`` has the rows of every source under ``source``. ``retained`` is
+    NULL where the real rows have no correlation.
+    """
+    found = evaluate.target_correlation(tables, features, positive, ["source"])
+    base = found.filter(F.col("source") == real).select("feature", F.col("corr").alias("real_corr"))
+    joined = found.filter(F.col("source") != real).join(base, "feature")
+    return joined.select("source", "feature", "corr", "real_corr", F.try_divide("corr", "real_corr").alias("retained"))
+
+
+def loop_gain(grid: DataFrame, few: int = 0, many: int = 5) -> DataFrame:
+    """Paired test over texts of the mean score after ``many`` and after ``few`` iterations."""
+    pairs = evaluate.pair_up(grid.filter(F.col("iterations").isin(few, many)), ["text_id"], "iterations", many, few, "score")
+    return evaluate.paired_ttest(pairs).withColumns({"few": F.lit(few), "many": F.lit(many)})

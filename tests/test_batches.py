@@ -195,3 +195,27 @@ def test_noise_is_a_composition(spark, monkeypatch):
     monkeypatch.undo()
     rising = optimize.noise_schedule(spark.range(20_000).selectExpr("'r' AS run_id", "id AS position", "CAST(id AS double) AS score"))
     assert {(r.noise, r.streak) for r in rising.select("noise", "streak").distinct().collect()} == {(fv.INITIAL_NOISE, 0)} and rising.count() == 20_000
+
+
+def test_kept_artifacts_outlive_a_killed_write(spark, tmp_path, monkeypatch):
+    from parasynth.sources import artifacts
+
+    v, c = many(spark, "s1", "s2")
+    meta = v.select("source_id").distinct().select("source_id", F.concat(F.lit("about "), "source_id").alias("source"), F.to_timestamp(F.lit("2026-01-01 00:00:00")).alias("extracted_at"), F.lit("x").alias("extraction_method"))
+    folder = str(tmp_path / "kept")
+    state, _ = optimize.run_loop(v, c, 2, 200)
+    first = {r.source_id: (r.version, r.score) for r in artifacts.write_improved(folder, state, v, c, meta, 200).collect()}
+    assert {x for x, _ in first.values()} == {1} and first == {r.source_id: (1, r.best_score) for r in state.collect()}
+    rows = artifacts.read_kept(spark, folder).collect()
+    assert len(rows) == 2 * 200 * 4
+    assert {r.source_id for r in artifacts.read_kept(spark, folder, "cards").collect()} == {r.source_id for r in artifacts.read_kept(spark, folder, "parameters").collect()} == {"s1", "s2"}
+    assert {x[0] for x in first.values()} == {r.version for r in artifacts.write_improved(folder, state, v, c, meta, 200).collect()}  # nothing better, no new version
+    up = state.withColumn("best_score", F.when(F.col("source_id") == "s1", F.lit(101.0)).otherwise(F.col("best_score")))
+    real = artifacts.parameters_json
+    monkeypatch.setattr(artifacts, "parameters_json", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        artifacts.write_improved(folder, up, v, c, meta, 200)
+    assert sorted(artifacts.read_kept(spark, folder).collect()) == sorted(rows)
+    monkeypatch.setattr(artifacts, "parameters_json", real)
+    after = {r.source_id: r.version for r in artifacts.write_improved(folder, up, v, c, meta, 200).collect()}
+    assert after == {"s1": 2, "s2": 1} and artifacts.read_kept(spark, folder).count() == 2 * 200 * 4
