@@ -34,12 +34,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions, per_batch, text_key, texts
+from .common import checkpointed, partitions, per_batch, text_key, texts, written
 
 #: Bytes of a passage, places among which an anchor is chosen, bytes that choose it.
 LENGTH, WINDOW, GRAM = 400, 128, 16
 #: Level at which texts are compressed for their way.
 PACK = 6
+#: Texts with something to remove, and their spans, that are broadcast.
+FEW_TEXTS, FEW_SPANS = 400_000, 2_000_000
 #: Starts handled at a time, below 2**20 so that a place fits beside a hash.
 CHUNK = 1 << 19
 
@@ -165,14 +167,14 @@ def repeated_starts(bodies: DataFrame, length: int, window: int) -> DataFrame:
     rows = _anchor_rows(bodies, length, window)
     # Written down like the others below, so that a group with most of the rows is a join that Spark can split.
     groups = checkpointed(rows.groupBy("dh").agg(F.sum("copies").alias("n")).where("n > 1").select("dh"))
-    left = checkpointed(rows.join(groups, "dh"))
+    left = written(rows.join(groups, "dh"))
     reaches = left.groupBy("dh", "eh").agg(F.sum("copies").alias("n"), F.min(F.struct("ka", "kb", "lo")).alias("one"))
-    reaches = checkpointed(reaches)
+    reaches = written(reaches)
     mixed = checkpointed(reaches.groupBy("dh").agg(F.min("n").alias("least")).where("least = 1").select("dh", F.lit(True).alias("mixed")))
     reaches = reaches.join(mixed, "dh", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
     sorted_out = left.join(reaches, ["dh", "eh"])
     chosen = (F.col("one.ka") == F.col("ka")) & (F.col("one.kb") == F.col("kb")) & (F.col("one.lo") == F.col("lo"))
-    sorted_out = checkpointed(sorted_out.select("ka", "kb", "lo", "hi", (F.col("n") == 1).alias("single"), (F.col("mixed") & ((F.col("n") == 1) | chosen)).alias("wanted")))
+    sorted_out = written(sorted_out.select("ka", "kb", "lo", "hi", (F.col("n") == 1).alias("single"), (F.col("mixed") & ((F.col("n") == 1) | chosen)).alias("wanted")))
     windows = _window_rows(bodies, sorted_out.where("wanted"), length)
     equal = windows.groupBy("wa", "wb").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("wa", "wb")
     found = windows.where("single").join(equal, ["wa", "wb"]).select("ka", "kb", F.col("start").alias("lo"), F.col("start").alias("hi"))
@@ -212,19 +214,27 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, id
     # Written down, so that a text with most of the rows is a join that Spark can split.
     runs = checkpointed(runs.groupBy("ka", "kb").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
 
+    def finished(ids: pa.Array, found: list, bodies: Iterator[bytes]) -> dict:
+        out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
+        for own, data in zip(found, bodies):
+            n, spans, left = removed(data, [(r["lo"], r["hi"]) for r in own], length) if own else (0, 0, data)
+            for c, v in zip(out, (len(data), n, spans, sha256(left).hexdigest(), left.decode("utf-8", "replace"))):
+                out[c].append(v)
+        return {"doc_id": ids} | out
+
+    def in_place(batch: pa.RecordBatch) -> dict:
+        return finished(batch.column(0), batch.column(2).to_pylist(), (t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()))
+
     def pack(batch: pa.RecordBatch) -> dict:
         squeeze = zstandard.ZstdCompressor(level=PACK).compress
         body = [squeeze(t.encode("utf-8", "surrogatepass")) for t in batch.column(3).to_pylist()]
         return {"doc_id": batch.column(0), "ka": batch.column(1), "kb": batch.column(2), "body": pa.array(body, pa.binary())}
 
-    def work(batch: pa.RecordBatch) -> dict:
-        out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
-        for found, data in zip(batch.column(2).to_pylist(), _plain(batch)):
-            n, spans, left = removed(data, [(r["lo"], r["hi"]) for r in found], length) if found else (0, 0, data)
-            for c, v in zip(out, (len(data), n, spans, sha256(left).hexdigest(), left.decode("utf-8", "replace"))):
-                out[c].append(v)
-        return {"doc_id": batch.column(0)} | out
-
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
+    # Spans of up to this many texts, so many bytes, are counted and go to the texts; more of them meet the texts on the way.
+    size = runs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("runs")), F.lit(0)).alias("runs")).first()
+    if size["n"] <= FEW_TEXTS and size["runs"] <= FEW_SPANS:
+        return per_batch(rows.join(F.broadcast(runs), ["ka", "kb"], "left").select("doc_id", "text", "runs"), in_place, schema)
     whole = per_batch(rows.select("doc_id", "ka", "kb", "text"), pack, "doc_id long, ka long, kb long, body binary")
-    both = whole.join(runs, ["ka", "kb"], "left").select("doc_id", "body", "runs")
-    return per_batch(both, work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
+    both = whole.join(runs, ["ka", "kb"], "left").select("doc_id", "runs", "body")
+    return per_batch(both, lambda batch: finished(batch.column(0), batch.column(1).to_pylist(), _plain(batch)), schema)

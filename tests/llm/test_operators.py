@@ -250,8 +250,9 @@ def brute_repeats(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("length,window", [(60, 30), (40, 5)])
-def test_repeats(spark, length, window):
+@pytest.mark.parametrize("length,window,few", [(60, 30, 400_000), (40, 5, -1)])
+def test_repeats(spark, monkeypatch, length, window, few):
+    monkeypatch.setattr(repeats, "FEW_TEXTS", few)  # spans go to the texts, or meet them on the way
     rnd = random.Random(9)
     base = "".join(rnd.choice("abcd ") for _ in range(2000))
     rows = []
