@@ -1,9 +1,8 @@
 """Normal distribution as column expressions.
 
-Spark has no ``erf`` and no quantile function, so both are written as rational
-approximations that stay inside whole-stage code generation.  Each mentions its
-argument many times: pass a plain column (or a lambda variable), never a large
-expression.
+Spark has no ``erf``, so it is written as a rational approximation that stays
+inside whole-stage code generation.  It mentions its argument many times: pass a
+plain column (or a lambda variable), never a large expression.
 """
 
 from functools import reduce
@@ -21,24 +20,6 @@ TAIL_DENOMINATOR = (
     0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461,
     296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752,
 )
-# Acklam's approximation of the normal quantile (relative error 1.15e-9).
-CENTRE_NUMERATOR = (
-    -39.69683028665376, 220.9460984245205, -275.9285104469687,
-    138.3577518672690, -30.66479806614716, 2.506628277459239,
-)
-CENTRE_DENOMINATOR = (
-    -54.47609879822406, 161.5858368580409, -155.6989798598866,
-    66.80131188771972, -13.28068155288572, 1.0,
-)
-EDGE_NUMERATOR = (
-    -0.007784894002430293, -0.3223964580411365, -2.400758277161838,
-    -2.549732539343734, 4.374664141464968, 2.938163982698783,
-)
-EDGE_DENOMINATOR = (
-    0.007784695709041462, 0.3224671290700398, 2.445134137142996,
-    3.754408661907416, 1.0,
-)
-EDGE = 0.02425
 
 
 def polynomial(coefficients, x):
@@ -57,28 +38,6 @@ def norm_cdf(x: Column) -> Column:
     return F.signum(x) * (F.lit(0.5) - tail) + 0.5
 
 
-def norm_ppf(u: Column) -> Column:
-    """Quantile for 0 < u < 1; the ends give minus / plus infinity.
-
-    Use on one column per stage (long form); wide draws use Box-Muller instead.
-    """
-
-    def edge(p):
-        q = F.sqrt(F.lit(-2.0) * F.ln(p))
-        return polynomial(EDGE_NUMERATOR, q) / polynomial(EDGE_DENOMINATOR, q)
-
-    c = u - 0.5
-    r = c * c
-    centre = polynomial(CENTRE_NUMERATOR, r) * c / polynomial(CENTRE_DENOMINATOR, r)
-    return (
-        F.when(u <= 0.0, F.lit(float("-inf")))
-        .when(u >= 1.0, F.lit(float("inf")))
-        .when(u < EDGE, edge(u))
-        .when(u > 1.0 - EDGE, -edge(1.0 - u))
-        .otherwise(centre)
-    )
-
-
 def clamp(x: Column, low: float, high: float) -> Column:
     """NULL stays NULL (``least`` and ``greatest`` alone would drop it)."""
     return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))

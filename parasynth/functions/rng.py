@@ -26,11 +26,6 @@ def keys(*parts) -> tuple[int, int, int, int]:
     return tuple(int(digest[i : i + 8], 16) for i in (0, 8, 16, 24))
 
 
-def key_column(name: Column, word: int) -> Column:
-    """The same keys computed from a column holding the joined name parts."""
-    return F.conv(F.substring(F.md5(name), 8 * word + 1, 8), 16, 10).cast("long")
-
-
 def _low(row: Column, key) -> Column:
     return row.bitwiseAND(F.lit(MASK)).bitwiseXOR(key)
 
@@ -104,32 +99,6 @@ def box_muller(u: Column, v: Column, cosine: bool) -> Column:
     return F.sqrt(F.ln(u) * -2.0) * (F.cos(angle) if cosine else F.sin(angle))
 
 
-def uniform_array(key_structs: Column, row: Column) -> Column:
-    """Array form: ``key_structs`` is array<struct<k0,k1,k2,k3>> of longs."""
-
-    def each(step):
-        return lambda s: F.struct(step(s["a"]).alias("a"), step(s["b"]).alias("b"), s["p"].alias("p"), s["q"].alias("q"))
-
-    x = F.transform(
-        key_structs,
-        lambda k: F.struct(
-            _low(row, k["k0"]).alias("a"), _low(row, k["k2"]).alias("b"),
-            k["k1"].alias("p"), k["k3"].alias("q"),
-        ),
-    )
-    x = F.transform(F.transform(x, each(_round)), each(_round))
-    x = F.transform(
-        x,
-        lambda s: F.struct(
-            _absorb(s["a"], row, s["p"]).alias("a"), _absorb(s["b"], row, s["q"]).alias("b"),
-            s["p"].alias("p"), s["q"].alias("q"),
-        ),
-    )
-    for step in (_round, _round, _fold):
-        x = F.transform(x, each(step))
-    return F.transform(x, lambda s: _join(s["a"], s["b"]))
-
-
 def hash_order(df: DataFrame, row: str, seed: int, name: str, label: str = "order") -> DataFrame:
     """Add a reproducible random order key for sampling and splitting."""
     return with_uniforms(df, row, {name: keys(seed, label)})

@@ -78,6 +78,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores for heavy per-row work on an input of few partitions.
 
     Larger inputs already have more partitions than cores and stay as they are.
+    Size and split come from the plan, so nothing runs to find out.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size < cores * split else df
