@@ -326,9 +326,10 @@ def synth_gamma(spark, sf):
 
 @query
 def synth_by_source(spark, sf):
-    v, c = (cut_lineage(t) for t in inputs.supplier_profile(spark, sf))
-    v = synthesize.indexed(v)
-    found = validate.summary(synthesize.synthesize_many(v, c), v)  # labels stay codes until they are counted
+    v, c = inputs.supplier_profile(spark, sf)
+    x = synthesize.synthesize_many(v, c)
+    v = cut_lineage(synthesize.indexed(v))
+    found = validate.summary(x, v)  # labels stay codes until they are counted
     found = found.groupBy("source_id", "idx").agg(F.sum("count").alias("n"), F.max("avg").alias("avg"), F.count("code").alias("labels"))
     mean = F.when(F.col("distribution") != "categorical", F.col("avg")).alias("mean")
     return found.join(v, ["source_id", "idx"]).select("source_id", "name", "n", mean, "labels")
