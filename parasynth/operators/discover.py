@@ -1,12 +1,18 @@
 """Finding sources in a corpus: query expansion, search, choice."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as fv
-from ..session import broadcast_if_small
+from ..session import written
+from . import postings
 
 TERM = r"[a-z0-9]+"
+#: Documents of each kind, those with most terms, that say how many hits a query's last result has at least.
+BROAD = 256
 
 
 def expand_queries(queries: DataFrame, replies: DataFrame, most: int = fv.MAX_EXPANDED_QUERIES) -> DataFrame:
@@ -38,15 +44,30 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     """Best pages and PDF documents per query, by distinct query terms found.
 
     ``queries``: query_id, query_pos, query.  ``corpus``: doc_id, url, text.
-    Only documents sharing a term meet a query, and the top-k filter is applied
-    per task before the ranking shuffle, so a query matching most of the corpus
-    stays small.
+    Blocks of queries meet blocks of documents without a shuffle, and a pair of
+    blocks hands on the results that can be among a query's best: those with as
+    many hits as its last result has among the documents of most terms.
     """
-    keys = ["query_id", "query_pos"]
-    wanted = queries.select(*keys, F.explode(terms(F.col("query"))).alias("term"))
-    posted = corpus.select("doc_id", "url", F.explode(terms(F.col("text"))).alias("term"))
-    # Sent to the tasks where a count shows it small: a document's terms then meet and are summed in its own task.
-    hits = posted.join(broadcast_if_small(wanted), "term").groupBy(*keys, "doc_id", "url").agg(F.count(F.lit(1)).alias("hits"))
+    keys, ids = ["query_id", "query_pos"], ["doc_id", "url"]
+    hashed = lambda text: F.transform(terms(F.col(text)), lambda t: F.xxhash64(t)).alias("terms")
+    posted = corpus.select(*ids, F.coalesce(is_pdf(F.col("url")), F.lit(False)).alias("pdf"), hashed("text"))
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("pdf", T.BooleanType()), T.StructField("ids", T.ArrayType(posted.select(*ids).schema)),
+        T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("body", T.BinaryType()),
+    ])
+    documents = written(_together(posted, corpus.count(), ids, ["pdf"]).mapInArrow(postings.document_blocks(ids), schema))
+    wanted = queries.select(*keys, hashed("query"))
+    schema = T.StructType([T.StructField("queries", T.ArrayType(wanted.select(*keys).schema)), T.StructField("body", T.BinaryType())])
+    asked = _together(wanted, queries.count(), keys).mapInArrow(postings.query_blocks(keys), schema)
+    least = T.ArrayType(T.LongType())
+    schema = T.StructType([schema["queries"], T.StructField("least_pdf", least), T.StructField("least_html", least), schema["body"]])
+    asked = written(asked.crossJoin(F.broadcast(_broadest(documents))).mapInArrow(postings.with_least(max_results), schema))
+    pairs = asked.withColumnRenamed("body", "asked").hint("shuffle_replicate_nl").crossJoin(documents.drop("block", "sizes"))
+    schema = T.StructType([
+        T.StructField("query", wanted.select(*keys).schema), T.StructField("document", posted.select(*ids).schema), T.StructField("hits", T.LongType()),
+    ])
+    # Written down, as callers read the results more than once.
+    hits = written(pairs.mapInArrow(postings.met(max_results, "doc_id"), schema)).select("query.*", "document.*", "hits")
     typed = classify_sources(hits)
     best = Window.partitionBy(*keys, "source_type").orderBy(F.col("hits").desc(), "doc_id")
     # The filter is on the bare row number, which Spark then also applies before the shuffle.
@@ -54,6 +75,22 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     return ranked.withColumn("result_pos", F.col("nth") - 1).drop("nth")
 
 
+def _together(rows: DataFrame, n: int, keys: list[str], kind: Sequence[str] = ()) -> DataFrame:
+    """Rows of equal keys next to each other, sorted, in no more partitions than ``n`` rows make blocks."""
+    return rows.repartition(*keys).coalesce(max(1, -(-n // postings.ROWS))).sortWithinPartitions(*kind, *keys)
+
+
+def _broadest(documents: DataFrame) -> DataFrame:
+    """One row, ``broad``: of each kind a bounded number of the documents with most terms, as blocks."""
+    places = documents.select("pdf", "block", F.posexplode("sizes").alias("place", "size"))
+    largest = Window.partitionBy("pdf").orderBy(F.col("size").desc(), "block", "place")
+    places = places.withColumn("nth", F.row_number().over(largest)).filter(F.col("nth") <= BROAD)
+    places = places.groupBy("pdf", "block").agg(F.collect_list("place").alias("places"))
+    blocks = documents.select("pdf", "block", F.size("ids").alias("n"), "body").join(F.broadcast(places), ["pdf", "block"])
+    cut = blocks.select("pdf", "n", "body", "places").mapInArrow(postings.broadest, "pdf boolean, n long, body binary")
+    return cut.agg(F.collect_list(F.struct("pdf", "n", "body")).alias("broad"))
+
+
 def dedup_sources(results: DataFrame) -> DataFrame:
     """First result per URL in (query_pos, result_pos) order.
 
