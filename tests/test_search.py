@@ -91,3 +91,13 @@ def test_search_without_rows(spark):
     asked = spark.createDataFrame([("q", 0, "x")], "query_id string, query_pos int, query string")
     assert discover.search_corpus(asked, corpus.limit(0)).count() == 0
     assert discover.search_corpus(asked, corpus).count() == 1
+
+
+def test_results_read_twice_are_searched_once(spark, tmp_path):
+    corpus = spark.createDataFrame([(i, f"{i}.html", f"x y{i % 3}") for i in range(9)], "doc_id long, url string, text string")
+    corpus.write.parquet(str(tmp_path / "corpus"))
+    queries = spark.createDataFrame([(7, 0, "x y1")], "query_id long, query_pos int, query string")
+    results = discover.search_corpus(queries, spark.read.parquet(str(tmp_path / "corpus"))).select("query_id", "result_pos", "doc_id")
+    marked = discover.suggest_sources(results, spark.createDataFrame([(7, "0 and 4")], "query_id long, reply string"))
+    assert not [f for f in marked.inputFiles() if str(tmp_path) in f]
+    assert sorted((r.doc_id, r.suggested) for r in marked.collect()) == [(0, False), (1, True), (2, True), (4, False), (7, False)]
