@@ -155,7 +155,7 @@ def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = Source(row).draw(row["first"], row["last"], row["noise"], row["step"])
             k, n = x.shape
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, k * n + 1, k, dtype=np.int32) if k else np.zeros(n + 1, np.int32)), pa.array(x.T.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array([row["source_id"]] * n, pa.string()), pa.array(np.arange(row["first"], row["last"])), flat], ["source_id", "row_id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(row["source_id"], pa.string()), n), pa.array(np.arange(row["first"], row["last"])), flat], ["source_id", "row_id", "x"])
 
 
 STEPS = (

@@ -1,9 +1,10 @@
 """Statistics of many sources in one scan: partial sums per task in NumPy, merged by sum.
 
-For data as vectors and variables that the driver has counted to be few. A
-scan keeps, per source, moments, label counts, the sums and products of every
+A scan is for data as vectors and variables that the driver has counted to be
+few. It keeps, per source, moments, label counts, the sums and products of every
 pair of positions, and a histogram of each continuous variable's places in its
-distribution.
+distribution. :func:`cell_sums` needs to know no variables, so there may be any
+number of them.
 """
 
 from __future__ import annotations
@@ -12,17 +13,95 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .draws import Source
+from .draws import Source, drawn
 
 #: Most variables of all sources; sources that a task keeps before it hands its sums on.
 VARIABLES, KEPT = 20_000, 16
 MOMENTS, LABELS, PLACES, PAIRS = range(4)
 PARTS = "source_id string, kind int, i int, j int, n double, a double, b double, c double, d double, e double"
 
+#: ``value`` is null in the row of all values of a position, and one code in a row that counts it.
+CELL_SUMS = "source_id string, idx int, value double, n long, seen long, whole boolean, total double, near double, square double, lo double, hi double"
+
+
+def _matrix(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors as lines of equal length: values, which of them are there, which are there or null."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat, k = lists.flatten(), int(sizes.max(initial=0))
+    values, known = flat.to_numpy(zero_copy_only=False).astype(float), flat.is_valid().to_numpy(zero_copy_only=False)
+    given = np.arange(k) < sizes[:, None]
+    if given.all():
+        return values.reshape(-1, k), known.reshape(-1, k), given
+    x, there = np.zeros(given.shape), np.zeros(given.shape, bool)
+    x[given], there[given] = values, known
+    return x, there, given
+
+
+def _code_counts(cell: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (cell, whole value) and how often each comes."""
+    if not len(cell):
+        return cell, value, cell
+    least, span = value.min(), value.max() - value.min() + 1
+    if span * (cell.max() + 1) <= 4 * len(cell) + 100_000:
+        n = np.bincount(cell * int(span) + (value - least).astype(np.int64))
+        key = np.flatnonzero(n)
+        return key // int(span), key % int(span) + least, n[key]
+    order = np.lexsort((value, cell))
+    cell, value = cell[order], value[order]
+    first = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]) | (value[1:] != value[:-1])))
+    return cell[first], value[first], np.diff(np.append(first, len(cell)))
+
+
+def cell_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(source_id, x) to CELL_SUMS of the batch, ``near`` and ``square`` being sums of distances from ``lo`` and of their squares.
+
+    A position with whole numbers only may hold codes, so these are counted too.
+    """
+    for batch in batches:
+        batch = batch.filter(pc.is_valid(batch.column(0)))
+        names = batch.column(0).dictionary_encode()
+        which = names.indices.to_numpy(zero_copy_only=False)
+        lists = batch.column(1)
+        if (which[1:] < which[:-1]).any():
+            order = np.argsort(which, kind="stable")
+            which, lists = which[order], lists.take(pa.array(order))
+        x, there, given = _matrix(lists)
+        if not x.size:
+            continue
+        starts, k = np.flatnonzero(np.append(True, which[1:] != which[:-1])), x.shape[1]
+        with np.errstate(invalid="ignore", over="ignore"):
+            n, seen = (np.add.reduceat(m, starts, axis=0, dtype=np.int64) for m in (given, there))
+            only = (lambda m, other: m) if there.all() else (lambda m, other: np.where(there, m, other))
+            lo = np.minimum.reduceat(only(x, np.inf), starts, axis=0)
+            hi = np.maximum.reduceat(only(x, -np.inf), starts, axis=0)
+            runs = np.diff(np.append(starts, len(which)))
+            away = only(x - np.repeat(lo, runs, axis=0), 0.0)
+            total, near, square = (np.add.reduceat(m, starts, axis=0) for m in (only(x, 0.0), away, away * away))
+            whole = np.logical_and.reduceat(only((x == np.floor(x)) & np.isfinite(x), True), starts, axis=0)
+        cell = (np.repeat(np.arange(len(starts)) * k, runs)[:, None] + np.arange(k))
+        coded = there & np.repeat(whole, runs, axis=0)
+        at, code, times = _code_counts(cell[coded], x[coded])
+        own = np.flatnonzero(n.ravel())
+        nothing = (seen.ravel() == 0)[own]
+        column = lambda m, then: pa.concat_arrays([pa.array(m.ravel()[own], mask=nothing), pa.array(then)])
+        both, zero = np.concatenate([own, at]), np.zeros(len(at))
+        yield pa.RecordBatch.from_arrays([
+            names.dictionary.take(pa.array(which[starts][both // k])), pa.array((both % k).astype(np.int32)),
+            pa.concat_arrays([pa.nulls(len(own), pa.float64()), pa.array(code)]),
+            pa.array(np.append(n.ravel()[own], times)), pa.array(np.append(seen.ravel()[own], times)), pa.array(np.append(whole.ravel()[own], np.ones(len(at), bool))),
+            column(total, code * times), column(near, zero), column(square, zero), column(lo, code), column(hi, code),
+        ], [c.split()[0] for c in CELL_SUMS.split(", ")])
+
+
+def drawn_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks as ``draws.drawn`` takes them to the CELL_SUMS of their rows, which don't leave the task."""
+    return cell_sums(rows.select(["source_id", "x"]) for rows in drawn(batches))
+
 
 def _by_source(batches: Iterator[pa.RecordBatch], sources: dict[str, list[dict]]) -> Iterator[tuple[str, np.ndarray]]:
     """Per batch and known source, its values, a row each, NaN for none."""

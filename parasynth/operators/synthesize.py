@@ -217,7 +217,15 @@ def synthesize_many(
     df = spread_out(df, "source_id", "block")
     first = F.col("block") * ROW_BLOCK
     df = df.select("source_id", "v", "factor", "keys", "noise", "step", first.alias("first"), F.least(first + ROW_BLOCK, F.lit(n_rows)).alias("last"))
-    return df.mapInArrow(draws.drawn, "source_id string, row_id bigint, x array<double>")
+    made = df.mapInArrow(draws.drawn, "source_id string, row_id bigint, x array<double>")
+    made.drawn_from = df
+    return made
+
+
+def blocks_of(vectors: DataFrame) -> DataFrame | None:
+    """The blocks that ``synthesize_many`` drew just these vectors from; None for any other vectors."""
+    blocks = vars(vectors).get("drawn_from")
+    return blocks if isinstance(blocks, DataFrame) else None
 
 
 def spread_out(df: DataFrame, *by: str) -> DataFrame:

@@ -28,7 +28,7 @@ from ..schemas import (
 from ..session import broadcast_if_small, cut_lineage, sealed, small
 from . import onepass
 from .onepass import Scan
-from .synthesize import declared_pairs, indexed
+from .synthesize import blocks_of, declared_pairs, indexed
 
 DIRECT_PAIRS = 60
 
@@ -84,14 +84,35 @@ def summary(vectors: DataFrame, v: DataFrame) -> DataFrame:
     """(source_id, idx, code, count, seen, avg, std) in one scan.
 
     Categorical variables have one row per code (NULL: unknown or missing),
-    continuous ones a single row with their moments.
+    continuous ones a single row with their moments. Vectors that nothing was
+    done to since ``synthesize_many`` are summed up in the tasks that draw them.
     """
-    cells = _with_variables(vectors, v.select("source_id", "idx", is_categorical().alias("labelled")))
-    code = F.when(F.col("labelled"), F.col("value").cast("int")).alias("code")
-    return cells.groupBy("source_id", "idx", code).agg(
-        F.count(F.lit(1)).alias("count"), F.count("value").alias("seen"),
-        F.avg("value").alias("avg"), F.stddev_samp("value").alias("std"),
+    blocks = blocks_of(vectors)
+    if blocks is None:
+        sums = vectors.select("source_id", "x").mapInArrow(onepass.cell_sums, onepass.CELL_SUMS)
+    else:
+        sums = blocks.mapInArrow(onepass.drawn_sums, onepass.CELL_SUMS)
+    labelled, code = F.coalesce(is_categorical(), F.lit(False)).alias("labelled"), F.col("value")
+    declared = v.select("source_id", "idx", labelled, F.nanvl(F.coalesce("mean", F.lit(0.0)), F.lit(0.0)).alias("declared"))
+    # Sums of a batch meet the variables, not its cells; a position's codes are used where it has labels.
+    sums = sums.join(broadcast_if_small(declared), ["source_id", "idx"]).filter(F.col("labelled") | code.isNull())
+    missing = F.col("labelled") & code.isNull()
+    broken = F.when(missing & ~F.col("whole"), F.raise_error(F.lit("a label's code is not a whole number")).cast("long"))
+    sums = sums.select(
+        "source_id", "idx", F.when(F.col("labelled"), code.cast("int")).alias("code"), "declared",
+        F.coalesce(broken, F.when(missing, F.col("n") - F.col("seen")).otherwise(F.col("n"))).alias("n"),
+        F.when(missing, F.lit(0)).otherwise(F.col("seen")).alias("seen"),
+        *[F.when(~missing, F.col(c)).alias(c) for c in ("total", "near", "square", "lo", "hi")],
+    ).filter("n > 0")
+    d = F.col("lo") - F.col("declared")
+    found = sums.groupBy("source_id", "idx", "code").agg(
+        F.sum("n").alias("count"), F.sum("seen").alias("seen"), F.sum("total").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.sum(F.col("near") + F.col("seen") * d).alias("s"), F.sum(F.col("square") + d * F.col("near") * 2.0 + F.col("seen") * d * d).alias("q"),
     )
+    # Merged deviations of a constant need not be exactly 0.
+    spread = F.sqrt(F.greatest((F.col("q") - F.col("s") * F.try_divide(F.col("s"), F.col("seen"))) / (F.col("seen") - 1), F.lit(0.0)))
+    std = F.when(F.col("seen") > 1, F.when((F.col("hi") > F.col("lo")) | F.isnan("hi"), spread).otherwise(0.0))
+    return found.select("source_id", "idx", "code", "count", "seen", F.try_divide("total", "seen").alias("avg"), std.alias("std"))
 
 
 def label_comparison(found: DataFrame, v: DataFrame) -> DataFrame:
