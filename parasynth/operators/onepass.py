@@ -36,7 +36,7 @@ def _matrix(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values, known = flat.to_numpy(zero_copy_only=False).astype(float), flat.is_valid().to_numpy(zero_copy_only=False)
     given = np.arange(k) < sizes[:, None]
     if given.all():
-        return values.reshape(-1, k), known.reshape(-1, k), given
+        return values.reshape(given.shape), known.reshape(given.shape), given
     x, there = np.zeros(given.shape), np.zeros(given.shape, bool)
     x[given], there[given] = values, known
     return x, there, given

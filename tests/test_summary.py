@@ -58,6 +58,13 @@ def test_summary_of_odd_vectors(spark, monkeypatch, parts, broadcast):
     same(by_cell(validate.summary(x, v)), plain(VECTORS * 3, DECLARED))
 
 
+@pytest.mark.parametrize("rows", [[(None, [1.0])] * 3, [("a", [])], [("a", None)], [], [("a", [None])]])
+def test_batches_without_cells(spark, rows):
+    v = spark.createDataFrame(DECLARED, "source_id string, idx int, distribution string, mean double")
+    x = spark.createDataFrame(rows, "source_id string, x array<double>").coalesce(1)
+    same(by_cell(validate.summary(x, v)), plain(rows, DECLARED))
+
+
 def test_constant_has_no_deviation(spark):
     v = spark.createDataFrame([("a", 0, "normal", 1e9)], "source_id string, idx int, distribution string, mean double")
     x = spark.createDataFrame([("a", [0.1])] * 7, "source_id string, x array<double>").repartition(3)
