@@ -11,8 +11,8 @@ from ..session import written
 from . import postings
 
 TERM = r"[a-z0-9]+"
-#: Documents of each kind, those with most terms, that say how many hits a query's last result has at least.
-BROAD = 256
+#: Share of the documents, those with most terms, that say how many hits a query's last result has at least; about so many of each kind or more.
+SHARE, BROAD = 0.01, 256
 
 
 def expand_queries(queries: DataFrame, replies: DataFrame, most: int = fv.MAX_EXPANDED_QUERIES) -> DataFrame:
@@ -46,23 +46,24 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     ``queries``: query_id, query_pos, query.  ``corpus``: doc_id, url, text.
     Blocks of queries meet blocks of documents without a shuffle, and a pair of
     blocks hands on the results that can be among a query's best: those with as
-    many hits as its last result has among the documents of most terms.
+    many hits as its last result has among the documents of most terms, which
+    all queries meet first.
     """
     keys, ids = ["query_id", "query_pos"], ["doc_id", "url"]
     hashed = lambda text: F.transform(terms(F.col(text)), lambda t: F.xxhash64(t)).alias("terms")
     posted = corpus.select(*ids, F.coalesce(is_pdf(F.col("url")), F.lit(False)).alias("pdf"), hashed("text"))
+    n = corpus.count()
+    share = min(1.0, max(SHARE, 2 * BROAD / max(1, n)))
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("pdf", T.BooleanType()), T.StructField("ids", T.ArrayType(posted.select(*ids).schema)),
-        T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("body", T.BinaryType()),
+        T.StructField("body", T.BinaryType()), T.StructField("n_long", T.LongType()), T.StructField("long", T.BinaryType()),
     ])
-    documents = written(_together(posted, corpus.count(), ids, ["pdf"]).mapInArrow(postings.document_blocks(ids), schema))
+    documents = written(_together(posted, n, ids, ["pdf"]).mapInArrow(postings.document_blocks(ids, share), schema))
     wanted = queries.select(*keys, hashed("query"))
-    schema = T.StructType([T.StructField("queries", T.ArrayType(wanted.select(*keys).schema)), T.StructField("body", T.BinaryType())])
-    asked = _together(wanted, queries.count(), keys).mapInArrow(postings.query_blocks(keys), schema)
-    least = T.ArrayType(T.LongType())
-    schema = T.StructType([schema["queries"], T.StructField("least_pdf", least), T.StructField("least_html", least), schema["body"]])
-    asked = written(asked.crossJoin(F.broadcast(_broadest(documents))).mapInArrow(postings.with_least(max_results), schema))
-    pairs = asked.withColumnRenamed("body", "asked").hint("shuffle_replicate_nl").crossJoin(documents.drop("block", "sizes"))
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("queries", T.ArrayType(wanted.select(*keys).schema)), T.StructField("body", T.BinaryType())])
+    asked = written(_together(wanted, queries.count(), keys).mapInArrow(postings.query_blocks(keys), schema))
+    asked = written(_with_least(asked, documents, max_results, max(1, -(-int(n * share) // postings.LONG))))
+    pairs = asked.withColumnsRenamed({"block": "asking", "body": "asked"}).hint("shuffle_replicate_nl").crossJoin(documents.drop("n_long", "long"))
     schema = T.StructType([
         T.StructField("query", wanted.select(*keys).schema), T.StructField("document", posted.select(*ids).schema), T.StructField("hits", T.LongType()),
     ])
@@ -80,15 +81,15 @@ def _together(rows: DataFrame, n: int, keys: list[str], kind: Sequence[str] = ()
     return rows.repartition(*keys).coalesce(max(1, -(-n // postings.ROWS))).sortWithinPartitions(*kind, *keys)
 
 
-def _broadest(documents: DataFrame) -> DataFrame:
-    """One row, ``broad``: of each kind a bounded number of the documents with most terms, as blocks."""
-    places = documents.select("pdf", "block", F.posexplode("sizes").alias("place", "size"))
-    largest = Window.partitionBy("pdf").orderBy(F.col("size").desc(), "block", "place")
-    places = places.withColumn("nth", F.row_number().over(largest)).filter(F.col("nth") <= BROAD)
-    places = places.groupBy("pdf", "block").agg(F.collect_list("place").alias("places"))
-    blocks = documents.select("pdf", "block", F.size("ids").alias("n"), "body").join(F.broadcast(places), ["pdf", "block"])
-    cut = blocks.select("pdf", "n", "body", "places").mapInArrow(postings.broadest, "pdf boolean, n long, body binary")
-    return cut.agg(F.collect_list(F.struct("pdf", "n", "body")).alias("broad"))
+def _with_least(asked: DataFrame, documents: DataFrame, k: int, blocks: int) -> DataFrame:
+    """Add to blocks of queries the hits that a query's k-th best has among the long documents, which are put together in ``blocks`` partitions or fewer."""
+    long = documents.select("pdf", F.col("n_long").alias("n"), F.col("long").alias("body")).coalesce(blocks)
+    long = written(long.mapInArrow(postings.long_blocks, "pdf boolean, n long, body binary")).withColumnsRenamed({"n": "n_long", "body": "long"})
+    pairs = asked.select("block", F.size("queries").cast("long").alias("n"), F.col("body").alias("asked")).hint("shuffle_replicate_nl").crossJoin(long)
+    best = pairs.mapInArrow(postings.best_long(k), "block long, pdf boolean, hits binary").groupBy("block").agg(F.collect_list(F.struct("pdf", "hits")).alias("best"))
+    least = T.ArrayType(T.LongType())
+    schema = T.StructType([asked.schema["block"], asked.schema["queries"], T.StructField("least_pdf", least), T.StructField("least_html", least), asked.schema["body"]])
+    return asked.join(best, "block", "left").select(*asked.columns, "best").mapInArrow(postings.with_least(k), schema)
 
 
 def dedup_sources(results: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 A document block holds its terms with the documents of each (postings). A query
 block meets a document block in one task. The hits that a query's k-th best
-document of a kind has at least are known before, from the documents of most
-terms; a document that gets there without a query's most common terms is found
-by the rarer ones alone, so only these are added up and the common ones are
-looked up for the few documents that can still get there.
+document of a kind has at least are known before, from a share of the documents,
+those with most terms; a document that gets there without a query's most common
+terms is found by the rarer ones alone, so only the postings of these are put
+together and the common ones are looked up, one after the other from the rarest,
+for the documents that can still get there.
 
 Terms are 64-bit hashes. Repeated rows of a query or a document add up, so terms
 have weights, mostly 1.
@@ -22,9 +23,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 
 #: Rows of a block, below 2**16; terms of a block; terms or postings that are handled at a time.
-ROWS, TERMS, AT_ONCE = 8_192, 4_000_000, 1_000_000
-#: Terms in one of so many documents of a block can be looked up; hits that a document then needs besides these.
-COMMON, RARER = 32, 2
+ROWS, TERMS, AT_ONCE = 16_384, 4_000_000, 1_000_000
+#: Terms in one of so many documents of a block can be looked up (with weights, without); hits that a document then needs besides these.
+COMMON, PLAIN, RARER = 32, 256, 2
+#: Long documents of a block; cells of a matrix product that take the time of a posting.
+LONG, CELLS = 1_024, 200
+#: Bytes of document blocks that a task keeps between query blocks.
+HELD = 200_000_000
 
 
 def ranges(first: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -127,24 +132,43 @@ class Documents:
     def __init__(self, body: bytes, n: int):
         self.n = n
         self.names, self.first, weight, self.row = unpacked(body, np.int64, np.int64, np.int32, np.uint16)
+        self.number = np.diff(self.first)
         self.most = np.maximum.reduceat(weight, self.first[:-1]).astype(np.int64) if len(weight) else np.ones(len(self.names), np.int64)
         self.plain, self.weight = not len(weight), weight if len(weight) else np.ones(len(self.row), np.int32)
 
     @cached_property
     def line(self) -> np.ndarray:
         """Number of each common term, -1 for others."""
-        common = np.diff(self.first) * COMMON >= self.n
+        common = self.number * (PLAIN if self.plain else COMMON) >= self.n
         return np.where(common, np.cumsum(common) - 1, -1)
 
     @cached_property
     def there(self) -> np.ndarray:
-        """Weight of each common term (line) in each document: at most COMMON cells per posting."""
-        out = np.zeros((int(self.line.max(initial=-1)) + 1, self.n), np.uint8 if self.most.max(initial=0) < 256 else np.int32)
-        line = np.repeat(self.line, np.diff(self.first))
-        own = line >= 0
-        out[line[own], self.row[own]] = self.weight[own]
+        """For each common term (line), a bit per document, or its weight in each: at most PLAIN bits or COMMON cells per posting."""
+        terms = np.flatnonzero(self.line >= 0)
+        line, at = self.postings(terms)
+        row = self.row[at].astype(np.int64)
+        if self.plain:
+            out = np.zeros((len(terms), self.n + 7 >> 3), np.uint8)
+            np.add.at(out.reshape(-1), line * out.shape[1] + (row >> 3), np.left_shift(1, row & 7).astype(np.uint8))
+        else:
+            out = np.zeros((len(terms), self.n), np.int32)
+            out[line, row] = self.weight[at]
         return out
 
+    def looked_up(self, line: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Weights of common terms in documents."""
+        cells, width = self.there.reshape(-1), self.there.shape[1]
+        return cells[line * width + (row >> 3)] >> (row & 7).astype(np.uint8) & 1 if self.plain else cells[line * width + row]
+
+    def size(self) -> int:
+        """Bytes."""
+        return self.there.nbytes + 2 * self.row.nbytes + self.weight.nbytes + 5 * self.names.nbytes
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """Document and term of each posting, as often as it weighs."""
+        return np.repeat(self.row.astype(np.int64), self.weight), np.repeat(np.repeat(self.names, self.number), self.weight)
+
     def sizes(self) -> np.ndarray:
         return np.bincount(self.row, minlength=self.n)
 
@@ -153,21 +177,19 @@ class Documents:
         to = np.full(self.n, -1)
         to[places] = np.arange(len(places))
         kept = np.flatnonzero(to[self.row] >= 0)
-        term = np.repeat(self.names, np.diff(self.first))[kept]
+        term = np.repeat(self.names, self.number)[kept]
         names, first = np.unique(term, return_index=True)
         return packed(names, np.append(first, len(term)).astype(np.int64), _weights(self.weight[kept]), to[self.row[kept]].astype(np.uint16))
 
     def postings(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each posting of some terms, the number of the entry and the place of the posting."""
-        number = self.first[entry + 1] - self.first[entry]
-        return np.repeat(np.arange(len(entry)), number), ranges(self.first[entry], number)
+        return np.repeat(np.arange(len(entry)), self.number[entry]), ranges(self.first[entry], self.number[entry])
 
 
 class Queries:
     def __init__(self, body: bytes, n: int):
         self.n = n
         self.names, self.place, self.weight, self.row = unpacked(body, np.int64, np.int32, np.int32, np.uint16)
-        self.plain = bool((self.weight == 1).all())
 
     def found(self, docs: Documents) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of entries whose term is in the block: query, term there, weight, number of postings; a query's common terms first."""
@@ -175,68 +197,85 @@ class Queries:
             return (np.zeros(0, np.int64),) * 4
         at = np.minimum(np.searchsorted(docs.names, self.names), len(docs.names) - 1)
         at[docs.names[at] != self.names] = -1
-        kept = np.flatnonzero(at[self.place] >= 0)
-        query, term, weight = self.row[kept].astype(np.int64), at[self.place[kept]], self.weight[kept].astype(np.int64)
-        number = docs.first[term + 1] - docs.first[term]
-        order = np.lexsort((-number, query))
+        term = at[self.place]
+        kept = np.flatnonzero(term >= 0)
+        query, term, weight = self.row[kept].astype(np.int64), term[kept], self.weight[kept].astype(np.int64)
+        number = docs.number[term]
+        order = np.argsort((query << 32) - number)
         return query[order], term[order], weight[order], number[order]
 
     def all_hits(self, docs: Documents) -> np.ndarray:
-        """Hits of each query (line) and document, for blocks of few documents."""
-        out = np.zeros((self.n, docs.n), np.int64)
+        """Hits of each query (line) and document, for blocks of few documents: terms with many postings by a matrix product."""
         query, term, weight, number = self.found(docs)
+        bound = np.bincount(query, weights=weight * docs.most[term], minlength=self.n).max(initial=0)
+        small = bound < 2**24  # so that float32 is exact
+        out = np.zeros((self.n, docs.n), np.float32 if small else np.int64)
+        often = np.bincount(term, minlength=len(docs.names)) * docs.number
+        dense = np.flatnonzero((often * CELLS > self.n * docs.n) & small)
+        if len(dense):
+            line = np.full(len(docs.names), -1)
+            line[dense] = np.arange(len(dense))
+            there = np.zeros((len(dense), docs.n), np.float32)
+            which, at = docs.postings(dense)
+            there[which, docs.row[at]] = docs.weight[at]
+            own = line[term] >= 0
+            asked = np.zeros((self.n, len(dense)), np.float32)
+            asked[query[own], line[term[own]]] = weight[own]
+            out = asked @ there
+            query, term, weight, number = query[~own], term[~own], weight[~own], number[~own]
         for a, b in _parts(number, AT_ONCE):
             which, at = docs.postings(term[a:b])
-            np.add.at(out.reshape(-1), query[a:b][which] * docs.n + docs.row[at], weight[a:b][which] * docs.weight[at])
+            np.add.at(out.reshape(-1), query[a:b][which] * docs.n + docs.row[at], (weight[a:b][which] * docs.weight[at]).astype(out.dtype))
         return out
 
     def best(self, docs: Documents, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query, document and hits of the k best of each query that have its ``least`` hits; of equal hits the first documents."""
         query, term, weight, number = self.found(docs)
-        bound = weight * docs.most[term]
         begin = np.searchsorted(query, np.arange(self.n + 1))
-        before = np.append(0, np.cumsum(bound))
+        before = np.append(0, np.cumsum(weight * docs.most[term]))
         # Common terms come first among a query's entries, so these are the first ones.
         common = (before[1:] - before[begin[query]] <= least[query] - RARER) & (docs.line[term] >= 0)
-        need = np.maximum(1, least - np.bincount(query, weights=bound * common, minlength=self.n).astype(np.int64))
-        commons = np.bincount(query[common], minlength=self.n)
+        rare = begin[:-1] + np.bincount(query[common], minlength=self.n)
+        need = np.maximum(1, least - (before[rare] - before[begin[:-1]]))
         whole = before[begin[1:]] - before[begin[:-1]]
         live = np.flatnonzero((whole >= least) & (whole > 0))
-        work = np.bincount(query, weights=number * ~common, minlength=self.n)[live]
+        line, first = docs.line[term], docs.first[term]
         out = []
-        # As many queries at a time as their postings and their cells leave room for.
-        for a, b in _parts(np.maximum(work, docs.n / 2), AT_ONCE):
-            q, size = live[a:b], begin[live[a:b] + 1] - begin[live[a:b]]
-            entry = ranges(begin[q], size)
-            rare = ~common[entry]
-            base = np.repeat(np.arange(len(q)) * docs.n, size)[rare]
-            entry = entry[rare]
-            sums, cells = None, []
-            for c, d in _parts(number[entry], AT_ONCE):
-                times, some = number[entry[c:d]], entry[c:d]
-                at = ranges(docs.first[term[some]], times)
-                cells.append(np.repeat(base[c:d], times) + docs.row[at])
-                own = None if docs.plain and self.plain else np.repeat(weight[some], times) * docs.weight[at]
-                made = np.bincount(cells[-1], own, len(q) * docs.n)
-                sums = made if sums is None else sums + made
-            if not cells:
-                continue
-            cells = np.concatenate(cells)
-            cells = cells[sums[cells] >= np.repeat(need[query[entry]], number[entry])]
-            once = np.empty(len(sums), np.int32)
-            once[cells] = np.arange(len(cells))
-            cells = cells[once[cells] == np.arange(len(cells))]
-            hits, q, d = sums[cells].astype(np.int64), q[cells // docs.n], cells % docs.n
-            for c, e in _parts(commons[q], AT_ONCE):
-                times = commons[q[c:e]]
-                which, entry = np.repeat(np.arange(e - c), times), ranges(begin[q[c:e]], times)
-                more = docs.there.reshape(-1)[docs.line[term[entry]] * docs.n + np.repeat(d[c:e], times)]
-                hits[c:e] += np.bincount(which, weights=more if self.plain else more * weight[entry], minlength=e - c).astype(np.int64)
-            kept = np.flatnonzero(hits >= least[q])
-            order = kept[np.lexsort((d[kept], -hits[kept], q[kept]))]
-            q, d, hits = q[order], d[order], hits[order]
-            kept = np.arange(len(q)) - np.searchsorted(q, q) < k
-            out.append((q[kept], d[kept], hits[kept]))
+        for a, b in _parts(np.bincount(query, weights=number * ~common, minlength=self.n)[live], AT_ONCE):
+            q = live[a:b]
+            size = begin[q + 1] - rare[q]
+            entry = ranges(rare[q], size)
+            at = ranges(first[entry], number[entry])
+            # A cell is a query of this part and a document.
+            cell = np.repeat(np.repeat(np.arange(len(q), dtype=np.uint32) << 16, size), number[entry]) | docs.row[at]
+            plain = docs.plain and (weight[entry] == 1).all()
+            if plain:
+                cell.sort()
+            else:
+                order = np.argsort(cell)
+                cell, weights = cell[order], (np.repeat(weight[entry], number[entry]) * docs.weight[at])[order]
+            runs = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            hits = np.diff(np.append(runs, len(cell))) if plain else np.add.reduceat(weights, runs)
+            cell = cell[runs]
+            kept = np.flatnonzero(hits >= need[q][cell >> 16])
+            cell, hits = cell[kept], hits[kept]
+            q, d = q[cell >> 16], (cell & 0xFFFF).astype(np.int64)
+            # Common terms not looked up yet are entries from ``start`` up to ``entry``.
+            entry, start, done = rare[q], begin[q], []
+            while len(q):
+                over = entry == start
+                done.append((q[over], d[over], hits[over]))
+                open_ = ~over & (hits + before[entry] - before[start] >= least[q])
+                q, d, hits, entry, start = (x[open_] for x in (q, d, hits, entry, start))
+                entry = entry - 1
+                hits = hits + docs.looked_up(line[entry], d) * weight[entry]
+            if done:
+                q, d, hits = map(np.concatenate, zip(*done))
+                kept = np.flatnonzero(hits >= least[q])
+                order = kept[np.lexsort((d[kept], -hits[kept], q[kept]))]
+                q, d, hits = q[order], d[order], hits[order]
+                kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+                out.append((q[kept], d[kept], hits[kept]))
         return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, np.int64),) * 3
 
 
@@ -252,56 +291,95 @@ def _parts(cost: np.ndarray, most: float) -> Iterator[tuple[int, int]]:
 # --- Arrow batches -------------------------------------------------------------------------------
 
 
-def document_blocks(keys: list[str]):
-    """Rows of ``pdf``, keys and ``terms``, sorted, to (block, pdf, ids, sizes, body)."""
+def document_blocks(keys: list[str], share: float):
+    """Rows of ``pdf``, keys and ``terms``, sorted, to (block, pdf, ids, body, n_long, long): ``long`` has the ``share`` with most terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, (pdf, head, row, term) in enumerate(grouped(batches, keys, "pdf"), first):
             body = document_body(row, term)
-            sizes = pa.array([Documents(body, len(head)).sizes()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([pdf]), listed(head), sizes, pa.array([body], pa.binary())], ["block", "pdf", "ids", "sizes", "body"])
+            docs = Documents(body, len(head))
+            places = np.sort(np.argsort(-docs.sizes(), kind="stable")[: int(np.ceil(docs.n * share))])
+            columns = [pa.array([number]), pa.array([pdf]), listed(head), pa.array([body], pa.binary()), pa.array([len(places)]), pa.array([docs.only(places)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "pdf", "ids", "body", "n_long", "long"])
+
+    return run
+
+
+def long_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pdf, n, body) to fewer and larger rows of these, of one kind each."""
+
+    def block(pdf: bool, held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        ends = np.cumsum([n for n, _, _ in held])
+        body = document_body(*(np.concatenate(x) for x in zip(*((row + (end - n), term) for end, (n, row, term) in zip(ends, held)))))
+        return pa.RecordBatch.from_arrays([pa.array([pdf]), pa.array([int(ends[-1])]), pa.array([body], pa.binary())], ["pdf", "n", "body"])
+
+    held = {True: [], False: []}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            pdf, n, body = (c[i].as_py() for c in batch.columns)
+            if held[pdf] and sum(x[0] for x in held[pdf]) + n > LONG:
+                yield block(pdf, held[pdf])
+                held[pdf] = []
+            held[pdf].append((n, *Documents(body, n).entries()))
+    yield from (block(pdf, x) for pdf, x in held.items() if x)
+
+
+def _largest(hits: list[np.ndarray], k: int) -> np.ndarray:
+    """The k largest of each line of arrays side by side, zeros where there are fewer; the first column has the least."""
+    hits = np.concatenate([np.zeros((len(hits[0]), k), hits[0].dtype), *hits], axis=1)
+    return np.partition(hits, hits.shape[1] - k, axis=1)[:, -k:]
+
+
+def best_long(k: int):
+    """Pairs of a query block (block, n, asked) and a block of long documents (pdf, n_long, long) to (block, pdf, hits): the k most hits of each query."""
+
+    def row(block: int, pdf: bool, hits: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([pdf]), pa.array([hits.astype(np.int64).tobytes()], pa.binary())], ["block", "pdf", "hits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, asked, best = None, None, {}
+        for batch in batches:
+            at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            for i in range(batch.num_rows):
+                if at["block"][i].as_py() != block:
+                    yield from (row(block, *x) for x in best.items())
+                    block, best = at["block"][i].as_py(), {}
+                    asked = Queries(at["asked"][i].as_py(), at["n"][i].as_py())
+                pdf, docs = at["pdf"][i].as_py(), Documents(at["long"][i].as_py(), at["n_long"][i].as_py())
+                best[pdf] = _largest([x for kind, x in best.items() if kind == pdf] + [asked.all_hits(docs)], k)
+        yield from (row(block, *x) for x in best.items())
 
     return run
 
 
 def with_least(k: int):
-    """(queries, body, broad) to (queries, least_pdf, least_html, body): hits of the k-th best among the blocks of few documents in ``broad``."""
+    """(block, queries, body, best) to (block, queries, least_pdf, least_html, body): hits of the k-th best among the long documents in ``best``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                queries, body, broad = (batch.column(c).slice(i, 1) for c in range(3))
-                asked, least = Queries(body[0].as_py(), len(queries[0])), []
+                block, queries, body, best = (batch.column(c).slice(i, 1) for c in range(4))
+                n, least = len(queries[0]), []
                 for pdf in (True, False):
-                    hits = [asked.all_hits(Documents(b["body"], b["n"])) for b in broad[0].as_py() if b["pdf"] == pdf]
-                    hits = np.concatenate([np.zeros((asked.n, 0), np.int64), *hits], axis=1)
-                    last = hits.shape[1] - k
-                    own = np.partition(hits, last, axis=1)[:, last] if last >= 0 else np.zeros(asked.n, np.int64)
-                    least.append(pa.array([own], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays([queries, *least, body], ["queries", "least_pdf", "least_html", "body"])
+                    hits = [np.frombuffer(x["hits"], np.int64).reshape(n, k) for x in best[0].as_py() or [] if x["pdf"] == pdf]
+                    least.append(pa.array([_largest(hits or [np.zeros((n, 0), np.int64)], k)[:, 0]], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays([block, queries, *least, body], ["block", "queries", "least_pdf", "least_html", "body"])
 
     return run
 
 
 def query_blocks(keys: list[str]):
-    """Rows of keys and ``terms``, sorted, to (queries, body)."""
+    """Rows of keys and ``terms``, sorted, to (block, queries, body)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, head, row, term in grouped(batches, keys):
-            yield pa.RecordBatch.from_arrays([listed(head), pa.array([query_body(row, term)], pa.binary())], ["queries", "body"])
+        first = TaskContext.get().partitionId() << 32
+        for number, (_, head, row, term) in enumerate(grouped(batches, keys), first):
+            yield pa.RecordBatch.from_arrays([pa.array([number]), listed(head), pa.array([query_body(row, term)], pa.binary())], ["block", "queries", "body"])
 
     return run
 
 
-def broadest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pdf, n, body, places) to (pdf, n, body) of the documents at these places."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            body = Documents(row["body"], row["n"]).only(np.sort(np.array(row["places"], np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([row["pdf"]]), pa.array([len(row["places"])]), pa.array([body], pa.binary())], ["pdf", "n", "body"])
-
-
 def met(k: int, order: str):
     """Pairs of a query and a document block to rows of their structs and ``hits``: the k best of each kind that a task sees, of equal hits by ``order``."""
 
@@ -314,18 +392,24 @@ def met(k: int, order: str):
         return pa.RecordBatch.from_arrays([keys.take(q.take(at)), ids.take(at), hits.take(at)], ["query", "document", "hits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        body, keys, parts, asked = None, None, {}, None
+        block, keys, parts, asked, least, held, room = None, None, {}, None, {}, {}, HELD
         for batch in batches:
             at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
-                now, pdf = at["asked"][i].as_py(), at["pdf"][i].as_py()
-                if now != body or not at["queries"][i].values.equals(keys):
+                now, number, pdf = at["asking"][i].as_py(), at["block"][i].as_py(), at["pdf"][i].as_py()
+                if now != block:
                     yield from (best(keys, p) for p in parts.values())
-                    body, keys, parts = now, at["queries"][i].values, {}
-                    asked = Queries(body, len(keys))
-                ids, least = at["ids"][i].values, at["least_pdf" if pdf else "least_html"][i].values.to_numpy()
-                q, d, hits = asked.best(Documents(at["body"][i].as_py(), len(ids)), least, k)
+                    block, keys, parts = now, at["queries"][i].values, {}
+                    asked = Queries(at["asked"][i].as_py(), len(keys))
+                    least = {True: at["least_pdf"][i].values.to_numpy().copy(), False: at["least_html"][i].values.to_numpy().copy()}
+                ids = at["ids"][i].values
+                docs = held.get(number) or Documents(at["body"][i].as_py(), len(ids))
+                q, d, hits = asked.best(docs, least[pdf], k)
                 parts.setdefault(pdf, []).append((pa.array(q, pa.int64()), ids.take(pa.array(d, pa.int64())), pa.array(hits, pa.int64())))
+                last = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == k - 1)
+                least[pdf][q[last]] = hits[last]
+                if number not in held and docs.size() <= room:
+                    held[number], room = docs, room - docs.size()
         yield from (best(keys, p) for p in parts.values())
 
     return run

@@ -101,3 +101,21 @@ def test_results_read_twice_are_searched_once(spark, tmp_path):
     marked = discover.suggest_sources(results, spark.createDataFrame([(7, "0 and 4")], "query_id long, reply string"))
     assert not [f for f in marked.inputFiles() if str(tmp_path) in f]
     assert sorted((r.doc_id, r.suggested) for r in marked.collect()) == [(0, False), (1, True), (2, True), (4, False), (7, False)]
+
+
+def test_only_postings_that_can_matter_are_put_together(monkeypatch):
+    """A result needs 39 of 41 terms that few documents have: the postings of a few of these are read, not of all."""
+    docs = np.arange(3_000)
+    row = np.concatenate([np.repeat(docs, 40), [5]])
+    term = np.concatenate([(np.arange(40) + 40 * (docs[:, None] // 60)).ravel(), [-1]])
+    d = postings.Documents(postings.document_body(row, term), len(docs))
+    asked = np.append(np.arange(40), -1)
+    q = postings.Queries(postings.query_body(np.zeros(41, np.int64), asked), 1)
+    read, ranges = [], postings.ranges
+    monkeypatch.setattr(postings, "ranges", lambda first, number: (read.append(int(number.sum())), ranges(first, number))[1])
+    got = [x.tolist() for x in q.best(d, np.array([39]), 5)]
+    assert got == [[0] * 5, [5, 0, 1, 2, 3], [41, 40, 40, 40, 40]]
+    d.there
+    read.clear()
+    q.best(d, np.array([39]), 5)
+    assert sum(read) < 10 * 60
