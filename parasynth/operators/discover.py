@@ -51,19 +51,20 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     """
     keys, ids = ["query_id", "query_pos"], ["doc_id", "url"]
     hashed = lambda text: F.transform(terms(F.col(text)), lambda t: F.xxhash64(t)).alias("terms")
-    posted = corpus.select(*ids, F.coalesce(is_pdf(F.col("url")), F.lit(False)).alias("pdf"), hashed("text"))
+    posted = corpus.select(*ids, F.coalesce(is_pdf(F.col("url")), F.lit(False)).alias("pdf"), _place(corpus, "doc_id").alias("place"), hashed("text"))
     n = corpus.count()
     share = min(1.0, max(SHARE, 2 * BROAD / max(1, n)))
+    places = T.ArrayType(T.LongType())
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("pdf", T.BooleanType()), T.StructField("ids", T.ArrayType(posted.select(*ids).schema)),
-        T.StructField("body", T.BinaryType()), T.StructField("n_long", T.LongType()), T.StructField("long", T.BinaryType()),
+        T.StructField("places", places), T.StructField("body", T.BinaryType()), T.StructField("long_places", places), T.StructField("long", T.BinaryType()),
     ])
     documents = written(_together(posted, n, ids, ["pdf"]).mapInArrow(postings.document_blocks(ids, share), schema))
     wanted = queries.select(*keys, hashed("query"))
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("queries", T.ArrayType(wanted.select(*keys).schema)), T.StructField("body", T.BinaryType())])
     asked = written(_together(wanted, queries.count(), keys).mapInArrow(postings.query_blocks(keys), schema))
     asked = written(_with_least(asked, documents, max_results, max(1, -(-int(n * share) // postings.LONG))))
-    pairs = asked.withColumnsRenamed({"block": "asking", "body": "asked"}).hint("shuffle_replicate_nl").crossJoin(documents.drop("n_long", "long"))
+    pairs = asked.withColumnsRenamed({"block": "asking", "body": "asked"}).hint("shuffle_replicate_nl").crossJoin(documents.drop("long_places", "long"))
     schema = T.StructType([
         T.StructField("query", wanted.select(*keys).schema), T.StructField("document", posted.select(*ids).schema), T.StructField("hits", T.LongType()),
     ])
@@ -81,15 +82,25 @@ def _together(rows: DataFrame, n: int, keys: list[str], kind: Sequence[str] = ()
     return rows.repartition(*keys).coalesce(max(1, -(-n // postings.ROWS))).sortWithinPartitions(*kind, *keys)
 
 
+def _place(df: DataFrame, name: str) -> Column:
+    """A number that never falls along the order of a column; the same everywhere for types it isn't made for."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(F.col(name).cast("long"), F.lit(-(2**63)))
+    if kind == T.StringType():
+        return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long"), F.lit(-1))
+    return F.lit(0).cast("long")
+
+
 def _with_least(asked: DataFrame, documents: DataFrame, k: int, blocks: int) -> DataFrame:
-    """Add to blocks of queries the hits that a query's k-th best has among the long documents, which are put together in ``blocks`` partitions or fewer."""
-    long = documents.select("pdf", F.col("n_long").alias("n"), F.col("long").alias("body")).coalesce(blocks)
-    long = written(long.mapInArrow(postings.long_blocks, "pdf boolean, n long, body binary")).withColumnsRenamed({"n": "n_long", "body": "long"})
+    """Add to blocks of queries what a query's k-th best among the long documents has; these are put together in ``blocks`` partitions or fewer."""
+    schema = T.StructType([documents.schema[c] for c in ("pdf", "long_places", "long")])
+    long = written(documents.select(*schema.names).coalesce(blocks).mapInArrow(postings.long_blocks, schema))
     pairs = asked.select("block", F.size("queries").cast("long").alias("n"), F.col("body").alias("asked")).hint("shuffle_replicate_nl").crossJoin(long)
-    best = pairs.mapInArrow(postings.best_long(k), "block long, pdf boolean, hits binary").groupBy("block").agg(F.collect_list(F.struct("pdf", "hits")).alias("best"))
-    least = T.ArrayType(T.LongType())
-    schema = T.StructType([asked.schema["block"], asked.schema["queries"], T.StructField("least_pdf", least), T.StructField("least_html", least), asked.schema["body"]])
-    return asked.join(best, "block", "left").select(*asked.columns, "best").mapInArrow(postings.with_least(k), schema)
+    best = pairs.mapInArrow(postings.best_long(k), "block long, pdf boolean, hits binary, places binary")
+    best = best.groupBy("block").agg(F.collect_list(F.struct("pdf", "hits", "places")).alias("best"))
+    bounds = [T.StructField(f"{c}_{kind}", T.ArrayType(T.LongType())) for kind in ("pdf", "html") for c in ("least", "last")]
+    return asked.join(best, "block", "left").select(*asked.columns, "best").mapInArrow(postings.with_least(k), T.StructType([*asked.schema, *bounds]))
 
 
 def dedup_sources(results: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 A document block holds its terms with the documents of each (postings). A query
 block meets a document block in one task. The hits that a query's k-th best
 document of a kind has at least are known before, from a share of the documents,
-those with most terms; a document that gets there without a query's most common
+those with most terms, and so is its place: a number that never falls along the
+order in which documents of equal hits are taken. A later document needs one hit
+more. A document that gets there without a query's most common
 terms is found by the rarer ones alone, so only the postings of these are put
 together and the common ones are looked up, one after the other from the rarest,
 for the documents that can still get there.
@@ -26,10 +28,10 @@ from pyspark import TaskContext
 ROWS, TERMS, AT_ONCE = 16_384, 4_000_000, 1_000_000
 #: Terms in one of so many documents of a block can be looked up (with weights, without); hits that a document then needs besides these.
 COMMON, PLAIN, RARER = 32, 256, 2
-#: Long documents of a block; cells of a matrix product that take the time of a posting.
-LONG, CELLS = 1_024, 200
+#: Long documents of a block; cells of a matrix product that take the time of a posting, and those made at a time.
+LONG, CELLS, PRODUCT = 1_024, 200, 4_000_000
 #: Bytes of document blocks that a task keeps between query blocks.
-HELD = 200_000_000
+HELD = 64_000_000
 
 
 def ranges(first: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -134,7 +136,7 @@ class Documents:
         self.names, self.first, weight, self.row = unpacked(body, np.int64, np.int64, np.int32, np.uint16)
         self.number = np.diff(self.first)
         self.most = np.maximum.reduceat(weight, self.first[:-1]).astype(np.int64) if len(weight) else np.ones(len(self.names), np.int64)
-        self.plain, self.weight = not len(weight), weight if len(weight) else np.ones(len(self.row), np.int32)
+        self.plain, self.weight = not len(weight), weight if len(weight) else np.broadcast_to(np.int32(1), len(self.row))
 
     @cached_property
     def line(self) -> np.ndarray:
@@ -146,14 +148,14 @@ class Documents:
     def there(self) -> np.ndarray:
         """For each common term (line), a bit per document, or its weight in each: at most PLAIN bits or COMMON cells per posting."""
         terms = np.flatnonzero(self.line >= 0)
-        line, at = self.postings(terms)
-        row = self.row[at].astype(np.int64)
-        if self.plain:
-            out = np.zeros((len(terms), self.n + 7 >> 3), np.uint8)
-            np.add.at(out.reshape(-1), line * out.shape[1] + (row >> 3), np.left_shift(1, row & 7).astype(np.uint8))
-        else:
-            out = np.zeros((len(terms), self.n), np.int32)
-            out[line, row] = self.weight[at]
+        out = np.zeros((len(terms), self.n + 7 >> 3), np.uint8) if self.plain else np.zeros((len(terms), self.n), np.int32)
+        for a, b in _parts(self.number[terms], AT_ONCE):
+            line, at = self.postings(terms[a:b])
+            row = self.row[at].astype(np.int64)
+            if self.plain:
+                np.add.at(out[a:b].reshape(-1), line * out.shape[1] + (row >> 3), np.left_shift(1, row & 7).astype(np.uint8))
+            else:
+                out[a + line, row] = self.weight[at]
         return out
 
     def looked_up(self, line: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -163,7 +165,7 @@ class Documents:
 
     def size(self) -> int:
         """Bytes."""
-        return self.there.nbytes + 2 * self.row.nbytes + self.weight.nbytes + 5 * self.names.nbytes
+        return self.there.nbytes + self.row.nbytes * (1 if self.plain else 3) + 5 * self.names.nbytes
 
     def entries(self) -> tuple[np.ndarray, np.ndarray]:
         """Document and term of each posting, as often as it weighs."""
@@ -204,41 +206,57 @@ class Queries:
         order = np.argsort((query << 32) - number)
         return query[order], term[order], weight[order], number[order]
 
-    def all_hits(self, docs: Documents) -> np.ndarray:
-        """Hits of each query (line) and document, for blocks of few documents: terms with many postings by a matrix product."""
+    def hits(self, docs: Documents) -> Iterator[np.ndarray]:
+        """Hits of some queries (lines) at a time and documents, for blocks of few documents: terms with many postings by a matrix product."""
         query, term, weight, number = self.found(docs)
         bound = np.bincount(query, weights=weight * docs.most[term], minlength=self.n).max(initial=0)
-        small = bound < 2**24  # so that float32 is exact
-        out = np.zeros((self.n, docs.n), np.float32 if small else np.int64)
+        kind = np.float32 if bound < 2**24 else np.int64  # float32 is exact that far
         often = np.bincount(term, minlength=len(docs.names)) * docs.number
-        dense = np.flatnonzero((often * CELLS > self.n * docs.n) & small)
-        if len(dense):
-            line = np.full(len(docs.names), -1)
-            line[dense] = np.arange(len(dense))
-            there = np.zeros((len(dense), docs.n), np.float32)
-            which, at = docs.postings(dense)
-            there[which, docs.row[at]] = docs.weight[at]
-            own = line[term] >= 0
-            asked = np.zeros((self.n, len(dense)), np.float32)
-            asked[query[own], line[term[own]]] = weight[own]
-            out = asked @ there
-            query, term, weight, number = query[~own], term[~own], weight[~own], number[~own]
-        for a, b in _parts(number, AT_ONCE):
-            which, at = docs.postings(term[a:b])
-            np.add.at(out.reshape(-1), query[a:b][which] * docs.n + docs.row[at], (weight[a:b][which] * docs.weight[at]).astype(out.dtype))
-        return out
+        dense = np.flatnonzero((often * CELLS > self.n * docs.n) & (kind == np.float32))
+        line = np.full(len(docs.names), -1)
+        line[dense] = np.arange(len(dense))
+        there = np.zeros((len(dense), docs.n), np.float32)
+        which, at = docs.postings(dense)
+        there[which, docs.row[at]] = docs.weight[at]
+        for first, last in _parts(np.full(self.n, docs.n + len(dense)), PRODUCT):
+            some = slice(*np.searchsorted(query, (first, last)))
+            q, t, w, own = query[some] - first, term[some], weight[some], line[term[some]] >= 0
+            asked = np.zeros((last - first, len(dense)), np.float32)
+            asked[q[own], line[t[own]]] = w[own]
+            out = (asked @ there).astype(kind, copy=False)
+            q, t, w = q[~own], t[~own], w[~own]
+            for a, b in _parts(docs.number[t], AT_ONCE):
+                which, at = docs.postings(t[a:b])
+                np.add.at(out.reshape(-1), q[a:b][which] * docs.n + docs.row[at], (w[a:b][which] * docs.weight[at]).astype(kind))
+            yield out
 
-    def best(self, docs: Documents, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Query, document and hits of the k best of each query that have its ``least`` hits; of equal hits the first documents."""
+    def all_hits(self, docs: Documents) -> np.ndarray:
+        """Hits of each query (line) and document."""
+        return np.concatenate([np.zeros((0, docs.n)), *self.hits(docs)])
+
+    def most_hits(self, docs: Documents, places: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hits and places of the k best of each query among documents in order of their places."""
+        m, keys = docs.n, [np.zeros((0, min(k, docs.n)), np.int64)]
+        for hits in self.hits(docs):
+            kind = np.int32 if m * (int(hits.max(initial=0)) + 1) < 2**31 else np.int64
+            key = hits.astype(kind) * kind(m) + np.arange(m - 1, -1, -1, dtype=kind)
+            keys.append(np.partition(key, m - k, axis=1)[:, m - k :] if m > k else key)
+        key = np.concatenate(keys)
+        return key // m, places[m - 1 - key % m]
+
+    def best(self, docs: Documents, least: np.ndarray, k: int, until: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, document and hits of the k best of each query that have its ``least`` hits, or one more from document ``until`` on; of equal hits the first documents."""
+        until = np.full(self.n, docs.n) if until is None else until
+        most = least + (until < docs.n)
         query, term, weight, number = self.found(docs)
         begin = np.searchsorted(query, np.arange(self.n + 1))
         before = np.append(0, np.cumsum(weight * docs.most[term]))
         # Common terms come first among a query's entries, so these are the first ones.
-        common = (before[1:] - before[begin[query]] <= least[query] - RARER) & (docs.line[term] >= 0)
+        common = (before[1:] - before[begin[query]] <= most[query] - RARER) & (docs.line[term] >= 0)
         rare = begin[:-1] + np.bincount(query[common], minlength=self.n)
-        need = np.maximum(1, least - (before[rare] - before[begin[:-1]]))
+        need = least - (before[rare] - before[begin[:-1]])
         whole = before[begin[1:]] - before[begin[:-1]]
-        live = np.flatnonzero((whole >= least) & (whole > 0))
+        live = np.flatnonzero((whole >= np.where(until > 0, least, most)) & (whole > 0))
         line, first = docs.line[term], docs.first[term]
         out = []
         for a, b in _parts(np.bincount(query, weights=number * ~common, minlength=self.n)[live], AT_ONCE):
@@ -257,22 +275,25 @@ class Queries:
             runs = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             hits = np.diff(np.append(runs, len(cell))) if plain else np.add.reduceat(weights, runs)
             cell = cell[runs]
-            kept = np.flatnonzero(hits >= need[q][cell >> 16])
-            cell, hits = cell[kept], hits[kept]
-            q, d = q[cell >> 16], (cell & 0xFFFF).astype(np.int64)
+            which = cell >> 16
+            kept = np.flatnonzero(hits >= need[q][which] + ((cell & 0xFFFF) >= until[q][which]))
+            hits, q, d = hits[kept], q[which[kept]], (cell[kept] & 0xFFFF).astype(np.int64)
             # Common terms not looked up yet are entries from ``start`` up to ``entry``.
             entry, start, done = rare[q], begin[q], []
+            goal = least[q] + (d >= until[q]) + before[start]
             while len(q):
                 over = entry == start
-                done.append((q[over], d[over], hits[over]))
-                open_ = ~over & (hits + before[entry] - before[start] >= least[q])
-                q, d, hits, entry, start = (x[open_] for x in (q, d, hits, entry, start))
+                if over.any():
+                    done.append((q[over], d[over], hits[over]))
+                    open_ = np.flatnonzero(~over)
+                    q, d, hits, entry, start, goal = (x[open_] for x in (q, d, hits, entry, start, goal))
                 entry = entry - 1
                 hits = hits + docs.looked_up(line[entry], d) * weight[entry]
+                open_ = np.flatnonzero(hits + before[entry] >= goal)
+                q, d, hits, entry, start, goal = (x[open_] for x in (q, d, hits, entry, start, goal))
             if done:
                 q, d, hits = map(np.concatenate, zip(*done))
-                kept = np.flatnonzero(hits >= least[q])
-                order = kept[np.lexsort((d[kept], -hits[kept], q[kept]))]
+                order = np.lexsort((d, -hits, q))
                 q, d, hits = q[order], d[order], hits[order]
                 kept = np.arange(len(q)) - np.searchsorted(q, q) < k
                 out.append((q[kept], d[kept], hits[kept]))
@@ -292,50 +313,65 @@ def _parts(cost: np.ndarray, most: float) -> Iterator[tuple[int, int]]:
 
 
 def document_blocks(keys: list[str], share: float):
-    """Rows of ``pdf``, keys and ``terms``, sorted, to (block, pdf, ids, body, n_long, long): ``long`` has the ``share`` with most terms."""
+    """Rows of ``pdf``, keys, ``place`` and ``terms``, sorted, to blocks and ``long``, the ``share`` of their documents with most terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
-        for number, (pdf, head, row, term) in enumerate(grouped(batches, keys, "pdf"), first):
-            body = document_body(row, term)
+        for number, (pdf, head, row, term) in enumerate(grouped(batches, [*keys, "place"], "pdf"), first):
+            body, places = document_body(row, term), head["place"].to_numpy()
             docs = Documents(body, len(head))
-            places = np.sort(np.argsort(-docs.sizes(), kind="stable")[: int(np.ceil(docs.n * share))])
-            columns = [pa.array([number]), pa.array([pdf]), listed(head), pa.array([body], pa.binary()), pa.array([len(places)]), pa.array([docs.only(places)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "pdf", "ids", "body", "n_long", "long"])
+            long = np.sort(np.argsort(-docs.sizes(), kind="stable")[: int(np.ceil(docs.n * share))])
+            out = {"block": pa.array([number]), "pdf": pa.array([pdf]), "ids": listed(head.select(keys)), "places": _list(places), "body": _binary(body)}
+            out |= {"long_places": _list(places[long]), "long": _binary(docs.only(long))}
+            yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
+def _list(x: np.ndarray) -> pa.Array:
+    return pa.array([x], pa.list_(pa.int64()))
+
+
+def _binary(x: bytes | np.ndarray) -> pa.Array:
+    return pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary())
+
+
 def long_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pdf, n, body) to fewer and larger rows of these, of one kind each."""
+    """(pdf, long_places, long) to fewer and larger rows of these, of one kind each, documents in order of their places."""
 
-    def block(pdf: bool, held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        ends = np.cumsum([n for n, _, _ in held])
-        body = document_body(*(np.concatenate(x) for x in zip(*((row + (end - n), term) for end, (n, row, term) in zip(ends, held)))))
-        return pa.RecordBatch.from_arrays([pa.array([pdf]), pa.array([int(ends[-1])]), pa.array([body], pa.binary())], ["pdf", "n", "body"])
+    def block(pdf: bool, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        places, ends = np.concatenate([x[0] for x in held]), np.cumsum([len(x[0]) for x in held])
+        order, to = np.argsort(places, kind="stable"), np.empty(len(places), np.int64)
+        to[order] = np.arange(len(order))
+        row = np.concatenate([to[end - len(x[0]) + x[1]] for end, x in zip(ends, held)])
+        body = document_body(row, np.concatenate([x[2] for x in held]))
+        return pa.RecordBatch.from_pydict({"pdf": pa.array([pdf]), "long_places": _list(places[order]), "long": _binary(body)})
 
     held = {True: [], False: []}
     for batch in batches:
         for i in range(batch.num_rows):
-            pdf, n, body = (c[i].as_py() for c in batch.columns)
-            if held[pdf] and sum(x[0] for x in held[pdf]) + n > LONG:
+            pdf, places, body = batch.column(0)[i].as_py(), batch.column(1)[i].values.to_numpy(), batch.column(2)[i].as_py()
+            if held[pdf] and sum(len(x[0]) for x in held[pdf]) + len(places) > LONG:
                 yield block(pdf, held[pdf])
                 held[pdf] = []
-            held[pdf].append((n, *Documents(body, n).entries()))
+            held[pdf].append((places, *Documents(body, len(places)).entries()))
     yield from (block(pdf, x) for pdf, x in held.items() if x)
 
 
-def _largest(hits: list[np.ndarray], k: int) -> np.ndarray:
-    """The k largest of each line of arrays side by side, zeros where there are fewer; the first column has the least."""
-    hits = np.concatenate([np.zeros((len(hits[0]), k), hits[0].dtype), *hits], axis=1)
-    return np.partition(hits, hits.shape[1] - k, axis=1)[:, -k:]
+def _firsts(parts: list[tuple[np.ndarray, np.ndarray]], n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each of n lines of (hits, places), in order; where there are fewer, no hits at the last place."""
+    none = np.zeros((n, k), np.int64)
+    hits, places = (np.concatenate(x, axis=1) for x in zip((none, none), *parts))
+    places = np.where(hits > 0, places, np.iinfo(np.int64).max)
+    order = np.lexsort((places, -hits), axis=-1)[:, :k]
+    return np.take_along_axis(hits, order, 1), np.take_along_axis(places, order, 1)
 
 
 def best_long(k: int):
-    """Pairs of a query block (block, n, asked) and a block of long documents (pdf, n_long, long) to (block, pdf, hits): the k most hits of each query."""
+    """Pairs of a query block (block, n, asked) and a block of long documents to (block, pdf, hits, places): the k best of each query."""
 
-    def row(block: int, pdf: bool, hits: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([pdf]), pa.array([hits.astype(np.int64).tobytes()], pa.binary())], ["block", "pdf", "hits"])
+    def row(block: int, pdf: bool, best: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"block": pa.array([block]), "pdf": pa.array([pdf]), "hits": _binary(best[0]), "places": _binary(best[1])})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, asked, best = None, None, {}
@@ -346,25 +382,27 @@ def best_long(k: int):
                     yield from (row(block, *x) for x in best.items())
                     block, best = at["block"][i].as_py(), {}
                     asked = Queries(at["asked"][i].as_py(), at["n"][i].as_py())
-                pdf, docs = at["pdf"][i].as_py(), Documents(at["long"][i].as_py(), at["n_long"][i].as_py())
-                best[pdf] = _largest([x for kind, x in best.items() if kind == pdf] + [asked.all_hits(docs)], k)
+                pdf, places = at["pdf"][i].as_py(), at["long_places"][i].values.to_numpy()
+                made = asked.most_hits(Documents(at["long"][i].as_py(), len(places)), places, k)
+                best[pdf] = _firsts([x for kind, x in best.items() if kind == pdf] + [made], asked.n, k)
         yield from (row(block, *x) for x in best.items())
 
     return run
 
 
 def with_least(k: int):
-    """(block, queries, body, best) to (block, queries, least_pdf, least_html, body): hits of the k-th best among the long documents in ``best``."""
+    """(block, queries, body, best) to blocks with ``least`` and ``last``, the hits and the place of the k-th best among the long documents in ``best``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, queries, body, best = (batch.column(c).slice(i, 1) for c in range(4))
-                n, least = len(queries[0]), []
-                for pdf in (True, False):
-                    hits = [np.frombuffer(x["hits"], np.int64).reshape(n, k) for x in best[0].as_py() or [] if x["pdf"] == pdf]
-                    least.append(pa.array([_largest(hits or [np.zeros((n, 0), np.int64)], k)[:, 0]], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays([block, queries, *least, body], ["block", "queries", "least_pdf", "least_html", "body"])
+                out = {c: batch.column(j).slice(i, 1) for j, c in enumerate(batch.schema.names)}
+                n, best = len(out["queries"][0]), out.pop("best")[0].as_py() or []
+                for kind in ("pdf", "html"):
+                    parts = [tuple(np.frombuffer(x[c], np.int64).reshape(n, k) for c in ("hits", "places")) for x in best if x["pdf"] == (kind == "pdf")]
+                    hits, places = _firsts(parts, n, k)
+                    out |= {f"least_{kind}": _list(hits[:, -1]), f"last_{kind}": _list(places[:, -1])}
+                yield pa.RecordBatch.from_pydict(out)
 
     return run
 
@@ -375,7 +413,7 @@ def query_blocks(keys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, (_, head, row, term) in enumerate(grouped(batches, keys), first):
-            yield pa.RecordBatch.from_arrays([pa.array([number]), listed(head), pa.array([query_body(row, term)], pa.binary())], ["block", "queries", "body"])
+            yield pa.RecordBatch.from_pydict({"block": pa.array([number]), "queries": listed(head), "body": _binary(query_body(row, term))})
 
     return run
 
@@ -392,7 +430,7 @@ def met(k: int, order: str):
         return pa.RecordBatch.from_arrays([keys.take(q.take(at)), ids.take(at), hits.take(at)], ["query", "document", "hits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, parts, asked, least, held, room = None, None, {}, None, {}, {}, HELD
+        block, keys, parts, asked, bounds, held, room = None, None, {}, None, {}, {}, HELD
         for batch in batches:
             at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
@@ -401,13 +439,13 @@ def met(k: int, order: str):
                     yield from (best(keys, p) for p in parts.values())
                     block, keys, parts = now, at["queries"][i].values, {}
                     asked = Queries(at["asked"][i].as_py(), len(keys))
-                    least = {True: at["least_pdf"][i].values.to_numpy().copy(), False: at["least_html"][i].values.to_numpy().copy()}
-                ids = at["ids"][i].values
+                    bounds = {kind == "pdf": [at[f"{c}_{kind}"][i].values.to_numpy().copy() for c in ("least", "last")] for kind in ("pdf", "html")}
+                ids, places, (least, last) = at["ids"][i].values, at["places"][i].values.to_numpy(), bounds[pdf]
                 docs = held.get(number) or Documents(at["body"][i].as_py(), len(ids))
-                q, d, hits = asked.best(docs, least[pdf], k)
+                q, d, hits = asked.best(docs, least, k, np.searchsorted(places, last, side="right"))
                 parts.setdefault(pdf, []).append((pa.array(q, pa.int64()), ids.take(pa.array(d, pa.int64())), pa.array(hits, pa.int64())))
-                last = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == k - 1)
-                least[pdf][q[last]] = hits[last]
+                kth = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == k - 1)
+                least[q[kth]], last[q[kth]] = hits[kth], places[d[kth]]
                 if number not in held and docs.size() <= room:
                     held[number], room = docs, room - docs.size()
         yield from (best(keys, p) for p in parts.values())
