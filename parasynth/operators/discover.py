@@ -63,13 +63,13 @@ def search_corpus(queries: DataFrame, corpus: DataFrame, max_results: int = fv.M
     wanted = queries.select(*keys, hashed("query"))
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("queries", T.ArrayType(wanted.select(*keys).schema)), T.StructField("body", T.BinaryType())])
     asked = written(_together(wanted, queries.count(), keys).mapInArrow(postings.query_blocks(keys), schema))
-    asked = written(_with_least(asked, documents, max_results, max(1, -(-int(n * share) // postings.LONG))))
+    asked = written(_with_least(asked, documents, max_results, max(1, -(-int(n * share) // postings.LONG))), batch=1)
     pairs = asked.withColumnsRenamed({"block": "asking", "body": "asked"}).hint("shuffle_replicate_nl").crossJoin(documents.drop("long_places", "long"))
     schema = T.StructType([
         T.StructField("query", wanted.select(*keys).schema), T.StructField("document", posted.select(*ids).schema), T.StructField("hits", T.LongType()),
     ])
     # Written down, as callers read the results more than once.
-    hits = written(pairs.mapInArrow(postings.met(max_results, "doc_id"), schema)).select("query.*", "document.*", "hits")
+    hits = written(pairs.mapInArrow(postings.met(max_results, "doc_id"), schema), batch=1).select("query.*", "document.*", "hits")
     typed = classify_sources(hits)
     best = Window.partitionBy(*keys, "source_type").orderBy(F.col("hits").desc(), "doc_id")
     # The filter is on the bare row number, which Spark then also applies before the shuffle.

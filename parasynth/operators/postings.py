@@ -58,7 +58,7 @@ def unpacked(body: bytes, *kinds: type) -> list[np.ndarray]:
 
 def _pairs(major: np.ndarray, minor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order and how often each comes."""
-    order = np.lexsort((minor, major))
+    order = np.argsort(major, kind="stable") if (minor[1:] >= minor[:-1]).all() else np.lexsort((minor, major))
     major, minor = major[order], minor[order]
     first = np.flatnonzero(np.append(True, (major[1:] != major[:-1]) | (minor[1:] != minor[:-1]))) if len(major) else np.zeros(0, np.int64)
     return major[first], minor[first], np.diff(np.append(first, len(order))).astype(np.int32)

@@ -119,3 +119,39 @@ def test_only_postings_that_can_matter_are_put_together(monkeypatch):
     read.clear()
     q.best(d, np.array([39]), 5)
     assert sum(read) < 10 * 60
+
+
+def test_later_documents_of_equal_hits_need_one_more(monkeypatch):
+    draw = np.random.default_rng(3)
+    for seed in range(6):
+        monkeypatch.setattr(postings, "AT_ONCE", [7, 300, 1_000_000][seed % 3])
+        row, term = np.repeat(np.arange(150), 12), (60 * draw.random(1_800) ** 2).astype(np.int64)
+        d = postings.Documents(postings.document_body(row, term if seed > 2 else term + np.tile(np.arange(12), 150) * 60), 150)
+        rows, asked = np.repeat(np.arange(40), 9), (60 * draw.random(360) ** 2).astype(np.int64) + 60 * (seed <= 2) * np.tile(np.arange(9), 40)
+        q = postings.Queries(postings.query_body(rows, asked), 40)
+        hits = q.all_hits(d)
+        best = [sorted(range(150), key=lambda j: (-hits[i, j], j)) for i in range(40)]
+        for nth in (0, 3, 8):  # what is known: a result at least as good as the nth
+            least = np.array([hits[i, best[i][nth]] for i in range(40)]).astype(int)
+            until = np.array([best[i][nth] + 1 for i in range(40)])
+            got = list(zip(*(x.tolist() for x in q.best(d, least, 4, until))))
+            assert got == [(i, j, hits[i, j]) for i in range(40) for j in best[i][: min(4, nth + 1)] if hits[i, j]]
+        top, places = q.most_hits(d, np.arange(150) // 2, 4)
+        got = [sorted(zip((-t).tolist(), p.tolist())) for t, p in zip(top, places)]
+        assert got == [[(-int(hits[i, j]), j // 2) for j in b[:4]] for i, b in enumerate(best)]
+
+
+def test_order_of_equal_hits_by_names(spark, monkeypatch):
+    """Identifiers that are strings, some equal in their first bytes, and documents in many blocks."""
+    monkeypatch.setattr(postings, "ROWS", 5), monkeypatch.setattr(discover, "BROAD", 2)
+    names = [None, "", "a", "a\0", "ab", "Zz", "é", "中文字", *(f"document-{i}" for i in range(30))]
+    corpus = [(x, f"{i}.html", " ".join(f"t{j}" for j in range(4) if i % (j + 1) == 0)) for i, x in enumerate(names)]
+    queries = [("q", i, " ".join(f"t{j}" for j in range(i + 1))) for i in range(4)]
+    key = lambda x: (x is not None, (x or "").encode())
+    found = discover.search_corpus(spark.createDataFrame(queries, "query_id string, query_pos int, query string"), spark.createDataFrame(corpus, "doc_id string, url string, text string"), 3)
+    got = [(r.query_pos, r.result_pos, r.doc_id, r.hits) for r in found.orderBy("query_pos", "result_pos").collect()]
+    want = []
+    for _, pos, text in queries:
+        hits = sorted(((-len(set(text.split()) & set(t.split())), key(x), x) for x, _, t in corpus), key=lambda h: h[:2])
+        want += [(pos, i, x, -h) for i, (h, _, x) in enumerate([h for h in hits if h[0]][:3])]
+    assert got == want
